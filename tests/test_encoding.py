@@ -1,0 +1,38 @@
+"""dense user codes, NULL last; two-phase equals the global window."""
+
+from conftest import SF_ORACLE, rows
+
+from tilescope.operators.encoding import dense_codes, dense_codes_window, encode
+from tilescope.sources.canvas import read_canvas
+from tilescope.sources.raw import raw_from_canvas
+
+
+def test_f9_order_and_null(spark):
+    df = spark.createDataFrame([("b",), (None,), ("a",), ("a",)], "user_id string")
+    codes, n = dense_codes(df, "user_id", "code")
+    assert n == 3
+    assert rows(codes) == sorted([("a", 1), ("b", 2), (None, 3)], key=repr)
+    enc = rows(encode(df, "user_id", "code"))
+    assert enc == sorted([(2,), (3,), (1,), (1,)], key=repr)
+
+
+def test_two_phase_equals_window(spark):
+    raw = raw_from_canvas(read_canvas(spark, SF_ORACLE))
+    for parts in (1, 3, 8):
+        codes, n = dense_codes(raw, "user_id", "code", partitions=parts)
+        assert n == 150
+        assert rows(codes) == rows(dense_codes_window(raw, "user_id", "code"))
+
+
+def test_no_single_partition_window(spark):
+    raw = raw_from_canvas(read_canvas(spark, SF_ORACLE))
+    codes, _ = dense_codes(raw, "user_id", "code")
+    plan = codes._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan.split("BroadcastExchange")[0]
+
+
+def test_encode_keeps_every_row(spark):
+    raw = raw_from_canvas(read_canvas(spark, SF_ORACLE))
+    enc = encode(raw, "user_id", "code")
+    assert enc.count() == raw.count()
+    assert enc.filter("code IS NULL").count() == 0

@@ -1,0 +1,67 @@
+"""Frequencies, grouping sets, top-k ties (F6), summary, empty input (F4), NULL keys (F14)."""
+
+from conftest import rows
+
+from tilescope.functions.ranges import TimeRange
+from tilescope.operators.frequency import frequency, key_concat, multi_frequency, top_frequency, top_summary
+from tilescope.operators.points import top_points
+
+DATA = [
+    ("2022-04-02 14:10:00", 1, 1, 1, "#FFFFFF"),
+    ("2022-04-02 14:11:00", 2, 1, 1, "#000000"),
+    ("2022-04-02 14:12:00", 3, 2, 2, "#000000"),
+    ("2022-04-02 14:13:00", 3, 2, 2, "#FFFFFF"),
+    ("2022-04-02 14:14:00", 4, 0, 5, "#FF4500"),
+    ("2022-04-02 16:00:00", 4, 9, 9, "#FF4500"),
+]
+RNG = TimeRange.parse("2022-04-02 14", "2022-04-02 15")
+
+
+def test_frequency_in_range(canvas):
+    got = rows(frequency(canvas(DATA), ["pixel_color"], RNG))
+    assert got == [("#000000", 2), ("#FF4500", 1), ("#FFFFFF", 2)]
+
+
+def test_top_ties_go_to_smallest_key(canvas):
+    got = rows(top_frequency(canvas(DATA), ["pixel_color"], k=1, rng=RNG), order=False)
+    assert got == [("#000000", 2)]
+    pts = rows(top_points(canvas(DATA), k=2), order=False)
+    assert pts == [(1, 1, 2), (2, 2, 2)]
+
+
+def test_top_k_is_ordered(canvas):
+    got = rows(top_frequency(canvas(DATA), ["pixel_color"], k=3), order=False)
+    assert got == [("#000000", 2), ("#FF4500", 2), ("#FFFFFF", 2)]
+
+
+def test_multi_frequency_matches_single(canvas):
+    df = canvas(DATA)
+    m = multi_frequency(df, RNG)
+    cats = rows(m.filter("grouping_set = 'category'").select("pixel_color", "count"))
+    pts = rows(m.filter("grouping_set = 'point'").select("x_coord", "y_coord", "count"))
+    assert cats == rows(frequency(df, ["pixel_color"], RNG))
+    assert pts == rows(frequency(df, ["x_coord", "y_coord"], RNG))
+
+
+def test_top_summary(canvas):
+    got = rows(top_summary(canvas(DATA), RNG))
+    assert got == [("#000000", 2, 1, 1, 2)]
+
+
+def test_top_summary_empty_range(canvas):
+    empty = TimeRange.parse("2030-01-01 00", "2030-01-01 01")
+    assert rows(top_summary(canvas(DATA), empty)) == []
+    assert rows(frequency(canvas(DATA), ["pixel_color"], empty)) == []
+
+
+def test_null_keys_are_kept(canvas):
+    data = DATA + [("2022-04-02 14:20:00", 5, None, None, None)]
+    got = rows(frequency(canvas(data), ["pixel_color"], RNG))
+    assert (None, 1) in got
+    m = rows(multi_frequency(canvas(data), RNG).filter("grouping_set = 'point' AND x_coord IS NULL"))
+    assert m == [("point", None, None, None, 1)]
+
+
+def test_key_concat(canvas):
+    got = rows(key_concat(canvas(DATA), "pixel_color"))
+    assert ("#FF4500", 2, "#FF4500,2") in got

@@ -1,0 +1,83 @@
+"""boundary behaviour of the three range modes; argument checks."""
+
+from datetime import datetime
+
+import pytest
+from conftest import rows
+
+from tilescope.functions.ranges import TimeRange, time_range
+from tilescope.sources.raw import raw_from_canvas
+
+RNG = TimeRange.parse("2022-04-02 14", "2022-04-02 15")
+
+F1 = [
+    ("2022-04-02 13:59:59.999999", 1, 0, 0, "#000000"),
+    ("2022-04-02 14:00:00", 2, 0, 0, "#000000"),
+    ("2022-04-02 14:00:00.000001", 3, 0, 0, "#000000"),
+    ("2022-04-02 14:30:00.5", 4, 0, 0, "#000000"),
+    ("2022-04-02 15:00:00", 5, 0, 0, "#000000"),
+    ("2022-04-02 15:00:00.000001", 6, 0, 0, "#000000"),
+]
+
+
+def users(df, col="user_id_encoded"):
+    return sorted(r[0] for r in df.select(col).collect())
+
+
+def test_closed_range(canvas):
+    assert users(time_range(canvas(F1), RNG, "both")) == [2, 3, 4, 5]
+
+
+def test_half_open_range(canvas):
+    assert users(time_range(canvas(F1), RNG, "left")) == [2, 3, 4]
+
+
+def test_text_range_on_six_digit_text(canvas):
+    raw = raw_from_canvas(canvas(F1))
+    # with six fraction digits everywhere, text order equals time order
+    assert sorted(int(u) for u in users(time_range(raw, RNG, "text"), "user_id")) == [2, 3, 4, 5]
+
+
+def test_text_range_with_short_fractions(spark):
+    # raw text with 0, 1, 3 and 6 fraction digits: a bound-equal value without
+    # six zeros sorts below the bound -> dropped at start, kept at end.
+    data = [
+        ("2022-04-02 14:00:00 UTC", "a"),
+        ("2022-04-02 14:00:00.0 UTC", "b"),
+        ("2022-04-02 14:00:00.000 UTC", "c"),
+        ("2022-04-02 14:00:00.000000 UTC", "d"),
+        ("2022-04-02 14:00:00.001 UTC", "e"),
+        ("2022-04-02 15:00:00 UTC", "f"),
+        ("2022-04-02 15:00:00.000 UTC", "g"),
+        ("2022-04-02 15:00:00.000000 UTC", "h"),
+        ("2022-04-02 15:00:00.000001 UTC", "i"),
+    ]
+    raw = spark.createDataFrame(data, "timestamp string, user_id string")
+    got = sorted(r[0] for r in time_range(raw, RNG, "text").select("user_id").collect())
+    assert got == ["d", "e", "f", "g", "h"]
+
+
+def test_parse_and_validate():
+    r = TimeRange.parse("2022-04-02 14", "2022-04-02 15")
+    assert r.start == datetime(2022, 4, 2, 14) and r.end == datetime(2022, 4, 2, 15)
+    assert r.text_bounds() == ("2022-04-02 14:00:00.000000 UTC", "2022-04-02 15:00:00.000000 UTC")
+    with pytest.raises(ValueError):
+        TimeRange.parse("2022-04-02 15", "2022-04-02 14")
+    with pytest.raises(ValueError):
+        TimeRange.parse("2022-04-02 15", "2022-04-02 15")
+    with pytest.raises(ValueError):
+        TimeRange.parse("2022/04/02 15", "2022-04-02 16")
+    with pytest.raises(ValueError):
+        time_range(None, r, "sideways")
+
+
+def test_none_range_keeps_all(canvas):
+    assert len(rows(time_range(canvas(F1), None))) == len(F1)
+
+
+def test_bounds_reach_parquet_scan(spark, tmp_path, canvas):
+    path = str(tmp_path / "c.parquet")
+    canvas(F1).write.parquet(path)
+    plan = time_range(spark.read.parquet(path), RNG, "both")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters" in plan
+    assert "GreaterThanOrEqual(timestamp" in plan and "LessThanOrEqual(timestamp" in plan

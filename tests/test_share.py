@@ -1,0 +1,63 @@
+"""Shares: F4 absent colour/point, F5 halves, F12 mixed case, empty input."""
+
+import pytest
+from conftest import rows
+
+from tilescope.operators.share import category_share, category_share_at
+
+
+def make(canvas, n_hit, n_total, x=0, y=0, colour="#FF4500"):
+    data = [(f"2022-04-02 14:00:{i % 60:02d}", i, x, y, colour if i < n_hit else "#000000") for i in range(n_total)]
+    return canvas(data)
+
+
+@pytest.mark.parametrize(
+    "hit,total,pct",
+    [(1, 800, 0.13), (3, 800, 0.38), (5, 800, 0.63), (1, 3, 33.33), (2, 3, 66.67), (1, 8, 12.5), (0, 5, 0.0)],
+)
+def test_percentage_rounds_half_up(canvas, hit, total, pct):
+    got = rows(category_share(make(canvas, hit, total), "#FF4500"))
+    assert got == [("#FF4500", hit, total, pct)]
+
+
+def test_mixed_case_matches(canvas):
+    df = canvas(
+        [
+            ("2022-04-02 14:00:00", 1, 0, 0, "#ff4500"),
+            ("2022-04-02 14:00:01", 2, 0, 0, "#FF4500"),
+            ("2022-04-02 14:00:02", 3, 0, 0, "#000000"),
+            ("2022-04-02 14:00:03", 4, 0, 0, None),
+        ]
+    )
+    assert rows(category_share(df, "#Ff4500")) == [("#Ff4500", 2, 4, 50.0)]
+
+
+def test_empty_input(canvas, spark):
+    df = make(canvas, 0, 0)
+    assert rows(category_share(df, "blue")) == [("blue", 0, 0, None)]
+    assert rows(category_share(df, "blue", on_empty=0.0)) == [("blue", 0, 0, 0.0)]
+
+
+def test_share_at_point(canvas):
+    df = canvas(
+        [
+            ("2022-04-02 14:00:00", 1, 349, 564, "#FF4500"),
+            ("2022-04-02 14:00:01", 2, 349, 564, "#000000"),
+            ("2022-04-02 14:00:02", 3, 349, 564, "#ff4500"),
+            ("2022-04-02 14:00:03", 4, 0, 0, "#FF4500"),
+        ]
+    )
+    got = rows(category_share_at(df, "#FF4500", 349, 564))
+    assert got == [("#FF4500", 349, 564, 3, 4, 75.0, 2, 3, 66.67)]
+    absent = rows(category_share_at(df, "#FF4500", 7, 7))
+    assert absent == [("#FF4500", 7, 7, 3, 4, 75.0, 0, 0, 0.0)]
+    none = rows(category_share_at(df, "blue", 349, 564))
+    assert none == [("blue", 349, 564, 0, 4, 0.0, 0, 3, 0.0)]
+
+
+def test_share_is_one_scan(canvas, spark, tmp_path):
+    path = str(tmp_path / "s.parquet")
+    make(canvas, 2, 10).write.parquet(path)
+    plan = category_share_at(spark.read.parquet(path), "#FF4500", 0, 0)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan

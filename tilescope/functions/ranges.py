@@ -76,6 +76,8 @@ def range_predicate(column: str | Column, rng: TimeRange, bounds: str = "both")
 
 def time_range(df: DataFrame, rng: TimeRange | None, bounds: str = "both", column: str = "timestamp") -> DataFrame:
     """Rows of ``df`` inside ``rng``; ``None`` keeps everything."""
+    if bounds not in BOUNDS:
+        raise ValueError(f"bounds must be one of {BOUNDS}, got {bounds!r}")
     if rng is None:
         return df
     return df.filter(range_predicate(column, rng, bounds))

@@ -42,7 +42,7 @@ def at_points(df: DataFrame, points: Points | DataFrame, bound: int | None = Non
         bound = len(points)
         points = points_frame(df.sparkSession, points, cols)
     keys = points.select(cols.x, cols.y)
-    return df.join(broadcast_if_bounded(keys, bound), [cols.x, cols.y], "left_semi")
+    return df.join(broadcast_if_bounded(keys, bound), [cols.x, cols.y], "left_semi").select(*df.columns)
 
 
 def top_points(df: DataFrame, k: int = 10, cols: Columns = CANVAS, count: str = "placement_count") -> DataFrame:
