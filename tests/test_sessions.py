@@ -6,7 +6,7 @@ import pytest
 from conftest import SF_ORACLE, rows
 
 from tilescope.functions.ranges import TimeRange
-from tilescope.operators.sessions import event_gaps, session_stats, sessions, sessions_by_lag
+from tilescope.operators.sessions import event_gaps, session_stats, sessions, sessions_by_lag, sessions_by_window
 from tilescope.sources.canvas import read_canvas
 from pyspark.sql import Window, functions as F
 
@@ -47,11 +47,10 @@ def test_range_clips_sessions(canvas):
     assert got == [(1, 3, 1_799_999_999)]
 
 
-def test_session_crossing_chunk_edges(canvas):
+def test_session_spanning_many_buckets(canvas):
     data = [(f"2022-04-02 {h:02d}:{m:02d}:00", 7, 0, 0, "a") for h in range(9, 13) for m in range(0, 60, 10)]
-    for chunk in (1, 2, 24):
-        got = rows(sessions(canvas(data), chunk_hours=chunk).select("events", "length_us"))
-        assert got == [(24, (3 * 60 + 50) * 60 * 1_000_000)], chunk
+    got = rows(sessions(canvas(data)).select("events", "length_us"))
+    assert got == [(24, (3 * 60 + 50) * 60 * 1_000_000)]
 
 
 def test_stats(canvas):
@@ -61,13 +60,23 @@ def test_stats(canvas):
     assert empty == [(0, None)]
 
 
-@pytest.mark.parametrize("chunk", [1, 3, 24])
-def test_chunked_sessions_equal_plain_sessions(spark, chunk):
+@pytest.mark.parametrize("minutes", [1, 15, 90])
+def test_bucketed_sessions_equal_plain_sessions(spark, minutes):
     df = read_canvas(spark, SF_ORACLE)
-    a = rows(sessions(df, chunk_hours=chunk))
-    b = rows(sessions_by_lag(df))
-    assert len(a) == 222
-    assert a == b
+    gap = timedelta(minutes=minutes)
+    a = rows(sessions(df, gap=gap))
+    assert a == rows(sessions_by_lag(df, gap=gap))
+    assert a == rows(sessions_by_window(df, gap=gap))
+    if minutes == 15:
+        assert len(a) == 222
+
+
+def test_sessions_preaggregate_before_shuffle(spark):
+    df = read_canvas(spark, SF_ORACLE)
+    plan = sessions(df)._jdf.queryExecution().executedPlan().toString()
+    first_exchange = plan.rfind("Exchange hashpartitioning")
+    assert "partial_min" in plan[first_exchange:]
+    assert "MergingSessions" not in plan
 
 
 def test_gaps_equal_plain_lag(spark):

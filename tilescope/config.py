@@ -63,6 +63,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once into the shared checkpoint folder and cut its lineage.
+
+    Used for small aggregated results that a plan reads several times (a
+    scalar subquery plus the main query), so the base table is scanned once.
+    A reliable checkpoint survives the loss of the executors that wrote it.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique output path under the shared checkpoint folder."""
     root = checkpoint_dir(spark).rstrip("/")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tilescope.config import CANVAS, Columns
+from tilescope.config import CANVAS, Columns, materialize
 from tilescope.functions.exprs import block_index, block_label, count_label, ratio_text, thousands
 from tilescope.operators.frequency import top_k
 
@@ -64,13 +64,14 @@ def block_grid(df: DataFrame, size: int = 100, dense: bool = True, cols: Columns
     """Long grid (block_y, block_x, placements).
 
     ``dense=True``: every observed row x every observed column, 0 where empty
-    (the matrix a pivot + fill would give).  The column set is one bounded
-    array (at most canvas width / size values) taken as a scalar subquery;
-    the grid is exactly as large as the output.
+    (the matrix a pivot + fill would give).  The block counts (bounded by the
+    canvas area / size^2) are checkpointed once; the column set is one
+    bounded array taken from them as a scalar subquery, and the grid is
+    exactly as large as the output.
     """
-    counts = block_counts(df, size, cols)
     if not dense:
-        return counts.select("block_y", "block_x", "placements")
+        return block_counts(df, size, cols).select("block_y", "block_x", "placements")
+    counts = materialize(block_counts(df, size, cols))
     xs = counts.select(F.array_sort(F.collect_set("block_x"))).scalar()
     grid = counts.select("block_y").distinct().select("block_y", F.explode(xs).alias("block_x"))
     return grid.join(counts, ["block_y", "block_x"], "left").select(

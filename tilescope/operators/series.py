@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tilescope.config import CANVAS, Columns
+from tilescope.config import CANVAS, Columns, materialize
 from tilescope.functions.exprs import hour_of, point_label
 from tilescope.functions.ranges import TimeRange, time_range
 from tilescope.operators.points import Points, at_points
@@ -39,10 +39,12 @@ def hourly_series(
     """Gap-free series: every hour from the first to the last observed hour, for
     every point that has at least one row, 0 where nothing was placed.
 
-    The calendar bounds are scalar subqueries (one row each); the grid is
-    points x hours, i.e. as large as the output itself.
+    The hourly counts (points x active hours, a small aggregate) are
+    checkpointed once, so the base table is scanned once although the
+    calendar bounds (scalar subqueries), the point list and the join all read
+    them.  The grid is points x hours, i.e. as large as the output itself.
     """
-    counts = hourly_counts(df, points, rng, bound, cols)
+    counts = materialize(hourly_counts(df, points, rng, bound, cols))
     lo = counts.select(F.min("hour")).scalar()
     hi = counts.select(F.max("hour")).scalar()
     grid = (
@@ -58,8 +60,18 @@ def hourly_series(
     )
 
 
+def point_labels(points) -> list[str]:
+    return [f"({int(x)}, {int(y)})" for x, y in points]
+
+
 def hourly_wide(series: DataFrame, labels: Sequence[str] | None = None) -> DataFrame:
-    """One row per hour, one column per point label (missing -> 0)."""
+    """One row per hour, one column per point label (missing -> 0).
+
+    With ``labels`` (e.g. :func:`point_labels` of the listed points) the
+    schema is fixed up front and no extra job runs; a listed point without
+    rows is then a column of zeros.  Without labels the columns are the
+    points present in the data (one extra pass to find them).
+    """
     pivoted = series.groupBy("hour").pivot("pixel", list(labels) if labels is not None else None)
     wide = pivoted.agg(F.first("placement_count"))
     value_cols = [c for c in wide.columns if c != "hour"]

@@ -1,18 +1,25 @@
 """Per-user gaps and inactivity sessions (R4), split so no user fills one task.
 
-A user may own a large share of all rows, so neither operator partitions by
-user alone.  Rows are first grouped by (user, time chunk): chunks are
-contiguous wall-clock intervals of ``chunk_hours``, so one user's rows spread
-over as many tasks as it has active chunks.  Work across chunk edges is then
-finished on per-chunk summaries, whose number per user is bounded by the time
-span, not by the row count.
+A single user may own a large share of all rows, so neither operator ever
+sends all rows of one user to one task.
+
+Sessions: any two events of a user that fall into the same ``gap``-wide time
+bucket are less than ``gap`` apart, so they always share a session.  Rows are
+therefore first reduced to one (min, max, count) per (user, bucket) with a
+plain hash aggregate, which combines map-side before the shuffle.  The
+per-user merge that follows sees at most ``span / gap`` rows per user,
+independent of how many events the user has.
+
+Gaps: every event needs its predecessor, so rows cannot be reduced; ``lag``
+runs per (user, time chunk) and the first row of a chunk takes the user's
+last event of the previous active chunk from a per-chunk summary.
 """
 
 from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tilescope.config import CANVAS, Columns
@@ -22,25 +29,36 @@ from tilescope.functions.ranges import TimeRange, time_range
 DEFAULT_GAP = timedelta(minutes=15)
 
 
-def _chunk(ts: str, chunk_hours: int):
+def _chunk(ts: str, chunk_hours: int) -> Column:
     return F.floor(hours_since_epoch(ts) / F.lit(int(chunk_hours))).cast("bigint")
 
 
 def _micros(gap: timedelta) -> int:
-    return int(round(gap.total_seconds() * 1_000_000))
+    us = int(round(gap.total_seconds() * 1_000_000))
+    if us <= 0:
+        raise ValueError("gap must be positive")
+    return us
 
 
-def event_gaps(df: DataFrame, chunk_hours: int = 24, cols: Columns = CANVAS) -> DataFrame:
+def _epoch_micros(ts: str) -> Column:
+    return micros_between(F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(ts))
+
+
+def event_gaps(df: DataFrame, chunk_hours: int = 1, cols: Columns = CANVAS) -> DataFrame:
     """Each event with its user's previous event time and the gap in seconds.
 
-    ``lag`` runs per (user, chunk); the first event of a chunk takes the last
-    event of the user's previous active chunk, looked up on a per-chunk
-    summary.  Rows with a NULL user are skipped (they form no sequence).
+    One scan: the (user, chunk) exchange feeds both the ``lag`` and the
+    per-chunk last event (the second use is a reused exchange).  Rows with a
+    NULL user are skipped (they form no sequence).
     """
-    base = df.filter(F.col(cols.user).isNotNull()).select(cols.user, cols.time).withColumn("_chunk", _chunk(cols.time, chunk_hours))
-    w = Window.partitionBy(cols.user, "_chunk").orderBy(cols.time)
-    local = base.withColumn("_prev", F.lag(cols.time).over(w))
-    last = base.groupBy(cols.user, "_chunk").agg(F.max(cols.time).alias("_last"))
+    base = (
+        df.filter(F.col(cols.user).isNotNull())
+        .select(cols.user, cols.time)
+        .withColumn("_chunk", _chunk(cols.time, chunk_hours))
+    )
+    in_chunk = Window.partitionBy(cols.user, "_chunk")
+    local = base.withColumn("_prev", F.lag(cols.time).over(in_chunk.orderBy(cols.time)))
+    last = base.withColumn("_last", F.max(cols.time).over(in_chunk)).select(cols.user, "_chunk", "_last").distinct()
     carried = last.select(
         cols.user,
         "_chunk",
@@ -61,34 +79,34 @@ def sessions(
     gap: timedelta = DEFAULT_GAP,
     rng: TimeRange | None = None,
     bounds: str = "left",
-    chunk_hours: int = 1,
     keep_zero_length: bool = False,
     cols: Columns = CANVAS,
 ) -> DataFrame:
     """Sessions: a gap strictly longer than ``gap`` starts a new session.
 
-    Phase 1: ``session_window`` per (user, chunk) gives partial sessions.
-    Phase 2: per user, partial sessions (disjoint, ordered by start) join the
-    previous one when the distance is at most ``gap``.  The result equals
-    sessionising each user's full sequence; lengths are last - first event.
-    The range filter runs first, so sessions are clipped at the range edges.
-    Users that are NULL are skipped; zero-length sessions are dropped unless
-    ``keep_zero_length``.
+    Output: user, session_start, session_end, events, length_us
+    (last - first event, integer microseconds).  The range filter runs first,
+    so sessions are clipped at the range edges.  NULL users are skipped;
+    zero-length sessions are dropped unless ``keep_zero_length``.
     """
     gap_us = _micros(gap)
-    base = time_range(df, rng, bounds, cols.time).filter(F.col(cols.user).isNotNull()).select(cols.user, cols.time)
-    partial = base.groupBy(
-        cols.user,
-        _chunk(cols.time, chunk_hours).alias("_chunk"),
-        F.session_window(cols.time, f"{gap_us} microseconds"),
-    ).agg(F.min(cols.time).alias("_s"), F.max(cols.time).alias("_e"), F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(cols.user).orderBy("_s")
+    base = time_range(df, rng, bounds, cols.time).filter(F.col(cols.user).isNotNull())
+    epoch = _epoch_micros(cols.time)
+    bucket = (epoch - F.pmod(epoch, F.lit(gap_us))).alias("_bucket")
+    buckets = base.groupBy(cols.user, bucket).agg(
+        F.min(cols.time).alias("_s"), F.max(cols.time).alias("_e"), F.count(F.lit(1)).alias("_n")
+    )
+    w = Window.partitionBy(cols.user).orderBy("_bucket")
     prev_end = F.lag("_e").over(w)
     brk = F.when(prev_end.isNull() | (micros_between(prev_end, F.col("_s")) > F.lit(gap_us)), 1).otherwise(0)
-    flagged = partial.select(cols.user, "_s", "_e", "_n", brk.alias("_brk"))
-    numbered = flagged.withColumn("_sid", F.sum("_brk").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    flagged = buckets.select(cols.user, "_bucket", "_s", "_e", "_n", brk.alias("_brk"))
+    numbered = flagged.withColumn(
+        "_sid", F.sum("_brk").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    )
     merged = numbered.groupBy(cols.user, "_sid").agg(
-        F.min("_s").alias("session_start"), F.max("_e").alias("session_end"), F.sum("_n").cast("bigint").alias("events")
+        F.min("_s").alias("session_start"),
+        F.max("_e").alias("session_end"),
+        F.sum("_n").cast("bigint").alias("events"),
     )
     out = merged.select(
         cols.user,
@@ -132,3 +150,18 @@ def sessions_by_lag(df: DataFrame, gap: timedelta = DEFAULT_GAP, cols: Columns =
         micros_between("session_start", "session_end").cast("bigint").alias("length_us"),
     )
     return out.filter(F.col("length_us") > 0)
+
+
+def sessions_by_window(df: DataFrame, gap: timedelta = DEFAULT_GAP, cols: Columns = CANVAS) -> DataFrame:
+    """Spark's own ``session_window`` per user; a second differential reference
+    (it also sends every row of a user to one task)."""
+    gap_us = _micros(gap)
+    base = df.filter(F.col(cols.user).isNotNull())
+    out = base.groupBy(cols.user, F.session_window(cols.time, f"{gap_us} microseconds")).agg(
+        F.min(cols.time).alias("session_start"), F.max(cols.time).alias("session_end"), F.count(F.lit(1)).alias("events")
+    )
+    out = out.select(
+        cols.user, "session_start", "session_end", "events",
+        micros_between("session_start", "session_end").cast("bigint").alias("length_us"),
+    )
+    return out.filter(F.col("length_us") > 0)

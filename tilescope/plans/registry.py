@@ -117,11 +117,12 @@ def q_hourly_series(spark, d):
 
 
 def q_hourly_wide(spark, d):
-    return series.hourly_wide(series.hourly_series(_canvas(spark, d), POINTS))
+    return series.hourly_wide(series.hourly_series(_canvas(spark, d), POINTS), series.point_labels(POINTS))
 
 
 def q_hourly_melt(spark, d):
-    return series.hourly_melt(series.hourly_wide(series.hourly_series(_canvas(spark, d), POINTS)))
+    wide = series.hourly_wide(series.hourly_series(_canvas(spark, d), POINTS), series.point_labels(POINTS))
+    return series.hourly_melt(wide)
 
 
 def q_user_counts_at(spark, d):

@@ -1,4 +1,8 @@
-"""The range summary as one parameterised SQL statement (bound, never interpolated)."""
+"""The range summary as one parameterised SQL statement (bound, never interpolated).
+
+One scan: both frequencies come from GROUPING SETS, and each top-1 is a
+global ``min_by`` over a (-count, key) ordering (ties to the smallest key).
+"""
 
 from __future__ import annotations
 
@@ -12,16 +16,19 @@ WITH filtered AS (
     FROM IDENTIFIER(:table)
     WHERE `timestamp` BETWEEN CAST(:start AS TIMESTAMP_NTZ) AND CAST(:end AS TIMESTAMP_NTZ)
 ),
-by_color AS (
-    SELECT pixel_color, COUNT(*) AS n FROM filtered GROUP BY pixel_color
-),
-by_point AS (
-    SELECT x_coord, y_coord, COUNT(*) AS n FROM filtered GROUP BY x_coord, y_coord
+counts AS (
+    SELECT pixel_color, x_coord, y_coord, GROUPING(pixel_color) AS by_point, COUNT(*) AS n
+    FROM filtered
+    GROUP BY GROUPING SETS ((pixel_color), (x_coord, y_coord))
 )
-SELECT c.pixel_color AS top_color, c.n AS color_count, p.x_coord AS top_x, p.y_coord AS top_y, p.n AS coord_count
-FROM (SELECT * FROM by_color ORDER BY n DESC, pixel_color ASC NULLS LAST LIMIT 1) c
-JOIN (SELECT * FROM by_point ORDER BY n DESC, x_coord ASC NULLS LAST, y_coord ASC NULLS LAST LIMIT 1) p
-  ON TRUE
+SELECT
+    min_by(pixel_color, CASE WHEN by_point = 0 THEN named_struct('n', -n, 'k', pixel_color) END) AS top_color,
+    max(CASE WHEN by_point = 0 THEN n END) AS color_count,
+    min_by(x_coord, CASE WHEN by_point = 1 THEN named_struct('n', -n, 'x', x_coord, 'y', y_coord) END) AS top_x,
+    min_by(y_coord, CASE WHEN by_point = 1 THEN named_struct('n', -n, 'x', x_coord, 'y', y_coord) END) AS top_y,
+    max(CASE WHEN by_point = 1 THEN n END) AS coord_count
+FROM counts
+HAVING max(CASE WHEN by_point = 0 THEN n END) IS NOT NULL
 """
 
 
