@@ -95,3 +95,10 @@ def test_block_size_parameter(canvas, size):
     got = rows(block_counts(df, size))
     expected = {10: [(0, 0, 1), (1, 0, 1), (15, 0, 1)], 100: [(0, 0, 2), (1, 0, 1)]}[size]
     assert got == expected
+
+
+def test_ordered_outputs(canvas):
+    df = at(canvas, [(300, 0), (0, 200), (0, 0), (5, 5)])
+    got = [tuple(r) for r in block_counts(df, ordered=True).collect()]
+    assert got == [(0, 0, 2), (3, 0, 1), (0, 2, 1)]
+    assert [r[0] for r in block_matrix(df).collect()] == [0, 2]

@@ -34,3 +34,9 @@ def test_capped_histogram(canvas):
 
 def test_empty_histogram(canvas):
     assert rows(user_histogram(data(canvas), F.lit(False))) == []
+
+
+def test_histogram_order(canvas):
+    got = [r[0] for r in placement_histogram(data(canvas), at(), ordered=True).collect()]
+    assert got == list(range(1, 9))
+    assert [r[0] for r in user_histogram(data(canvas), at()).collect()] == [1, 2, 3, 4, 5, 6]

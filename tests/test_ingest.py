@@ -105,3 +105,14 @@ def test_load_log_view_and_table(spark, tmp_path):
     assert rows(spark.sql("SELECT count(*) FROM log_table")) == [(1000,)]
     with pytest.raises(ValueError):
         load_log(spark, path, "bad;name")
+
+
+def test_latest_export(spark, tmp_path):
+    from tilescope.sources.sinks import latest_export
+
+    canvas = read_canvas(spark, SF_SMALL).limit(5)
+    assert latest_export(spark, str(tmp_path)) is None
+    a = export(canvas, str(tmp_path), template="rplace_optimized_20240101_000000.parquet")
+    b = export(canvas, str(tmp_path), template="rplace_optimized_20240102_000000.parquet")
+    assert latest_export(spark, str(tmp_path)).endswith(b.rsplit("/", 1)[1])
+    assert a != b

@@ -78,3 +78,8 @@ def test_top_categories_per_point(canvas):
         (0, 0, "(0, 0)", "c", 2, 3),
         (1, 1, "(1, 1)", "z", 1, 1),
     ]
+
+
+def test_ordered_hourly(canvas):
+    got = [r[0] for r in hourly_counts(canvas(F11), POINTS, ordered=True).collect()]
+    assert got == sorted(got)

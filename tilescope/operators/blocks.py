@@ -16,12 +16,13 @@ def with_blocks(df: DataFrame, size: int = 100, cols: Columns = CANVAS) -> DataF
     return df.withColumn("block_x", block_index(cols.x, size)).withColumn("block_y", block_index(cols.y, size))
 
 
-def block_counts(df: DataFrame, size: int = 100, cols: Columns = CANVAS) -> DataFrame:
-    """(block_x, block_y, placements) for observed blocks."""
-    return (
-        df.groupBy(block_index(cols.x, size).alias("block_x"), block_index(cols.y, size).alias("block_y"))
-        .agg(F.count(F.lit(1)).alias("placements"))
+def block_counts(df: DataFrame, size: int = 100, cols: Columns = CANVAS, ordered: bool = False) -> DataFrame:
+    """(block_x, block_y, placements) for observed blocks; ``ordered`` sorts by
+    (block_y, block_x) (a range shuffle over at most canvas / size^2 rows)."""
+    out = df.groupBy(block_index(cols.x, size).alias("block_x"), block_index(cols.y, size).alias("block_y")).agg(
+        F.count(F.lit(1)).alias("placements")
     )
+    return out.orderBy("block_y", "block_x") if ordered else out
 
 
 def block_unique_users(df: DataFrame, size: int = 100, approx_rsd: float | None = None, cols: Columns = CANVAS) -> DataFrame:
@@ -89,7 +90,7 @@ def block_matrix(df: DataFrame, size: int = 100, values: Sequence[int] | None =
     pivoted = counts.groupBy("block_y").pivot("block_x", list(values) if values is not None else None)
     wide = pivoted.agg(F.first("placements"))
     value_cols = [c for c in wide.columns if c != "block_y"]
-    return wide.fillna(0, subset=value_cols)
+    return wide.fillna(0, subset=value_cols).orderBy("block_y")
 
 
 def top_blocks(df: DataFrame, size: int = 100, k: int = 20, dense: bool = True, cols: Columns = CANVAS) -> DataFrame:

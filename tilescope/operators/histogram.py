@@ -15,9 +15,12 @@ def user_counts(df: DataFrame, where: Column | None = None, cols: Columns = CANV
     return base.groupBy(cols.user).agg(F.count(F.lit(1)).alias("placements"))
 
 
-def placement_histogram(df: DataFrame, where: Column | None = None, cols: Columns = CANVAS) -> DataFrame:
+def placement_histogram(
+    df: DataFrame, where: Column | None = None, cols: Columns = CANVAS, ordered: bool = False
+) -> DataFrame:
     """(placements, num_users): how many users placed exactly n times."""
-    return user_counts(df, where, cols).groupBy("placements").agg(F.count(F.lit(1)).alias("num_users"))
+    out = user_counts(df, where, cols).groupBy("placements").agg(F.count(F.lit(1)).alias("num_users"))
+    return out.orderBy("placements") if ordered else out
 
 
 def user_histogram(df: DataFrame, where: Column | None = None, cap: int = 6, cols: Columns = CANVAS) -> DataFrame:
@@ -35,4 +38,4 @@ def user_histogram(df: DataFrame, where: Column | None = None, cap: int = 6, col
         "num_users",
         percentage("num_users", total).alias("percentage"),
         share_annotation("num_users", total).alias("annotation"),
-    )
+    ).orderBy("placements_bin")

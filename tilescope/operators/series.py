@@ -19,14 +19,17 @@ def hourly_counts(
     rng: TimeRange | None = None,
     bound: int | None = None,
     cols: Columns = CANVAS,
+    ordered: bool = False,
 ) -> DataFrame:
-    """Placements per (hour, x, y); ``hour`` stays ``timestamp_ntz``."""
+    """Placements per (hour, x, y); ``hour`` stays ``timestamp_ntz``;
+    ``ordered`` sorts by hour (then point)."""
     base = time_range(df, rng, "both", cols.time)
     if points is not None:
         base = at_points(base, points, bound, cols)
-    return base.groupBy(hour_of(cols.time).alias("hour"), cols.x, cols.y).agg(
+    out = base.groupBy(hour_of(cols.time).alias("hour"), cols.x, cols.y).agg(
         F.count(F.lit(1)).alias("placement_count")
     )
+    return out.orderBy("hour", cols.x, cols.y) if ordered else out
 
 
 def hourly_series(
@@ -75,7 +78,7 @@ def hourly_wide(series: DataFrame, labels: Sequence[str] | None = None) -> DataF
     pivoted = series.groupBy("hour").pivot("pixel", list(labels) if labels is not None else None)
     wide = pivoted.agg(F.first("placement_count"))
     value_cols = [c for c in wide.columns if c != "hour"]
-    return wide.fillna(0, subset=value_cols)
+    return wide.fillna(0, subset=value_cols).orderBy("hour")
 
 
 def hourly_melt(wide: DataFrame) -> DataFrame:

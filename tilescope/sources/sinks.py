@@ -27,14 +27,17 @@ def export_parquet(
 
     With ``time_col`` the rows are range-partitioned and sorted by time, so
     every file and row group covers a narrow time slice and range filters
-    skip them from Parquet statistics.  The sort is one shuffle, paid once at
-    export; ``files`` sets the number of output files (default: shuffle
-    partitions).
+    skip them from Parquet statistics.  The remaining columns follow time in
+    the range key, so a burst of rows sharing one timestamp can still be
+    split across files by the sampled bounds.  The sort is one shuffle, paid
+    once at export; ``files`` sets the number of output files (default:
+    shuffle partitions).
     """
     out = df
     if time_col is not None:
         n = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        out = df.repartitionByRange(n, time_col).sortWithinPartitions(time_col)
+        keys = [time_col] + [c for c in df.columns if c != time_col]
+        out = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
     (
         out.write.mode(mode)
         .option("compression", "zstd")
@@ -42,3 +45,20 @@ def export_parquet(
         .parquet(path)
     )
     return path
+
+
+def latest_export(spark, directory: str, prefix: str = "rplace_optimized_") -> str | None:
+    """Path of the newest run-stamped export under ``directory`` (names sort by time).
+
+    Lists one directory level through the Hadoop file system of the path, so
+    it works on any shared store Spark can read; ``None`` if there is none.
+    """
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(directory)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(hpath):
+        return None
+    names = sorted(
+        st.getPath().toString() for st in fs.listStatus(hpath) if st.getPath().getName().startswith(prefix)
+    )
+    return names[-1] if names else None
