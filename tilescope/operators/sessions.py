@@ -74,6 +74,21 @@ def event_gaps(df: DataFrame, chunk_hours: int = 1, cols: Columns = CANVAS) -> D
     )
 
 
+def session_buckets(df: DataFrame, gap: timedelta = DEFAULT_GAP, cols: Columns = CANVAS) -> DataFrame:
+    """One row (user, _bucket, _s, _e, _n) per user and ``gap``-wide time bucket.
+
+    A plain hash aggregate: it combines map-side, so a user's rows reach the
+    shuffle as at most one row per bucket and task.
+    """
+    gap_us = _micros(gap)
+    base = df.filter(F.col(cols.user).isNotNull())
+    epoch = _epoch_micros(cols.time)
+    bucket = (epoch - F.pmod(epoch, F.lit(gap_us))).alias("_bucket")
+    return base.groupBy(cols.user, bucket).agg(
+        F.min(cols.time).alias("_s"), F.max(cols.time).alias("_e"), F.count(F.lit(1)).alias("_n")
+    )
+
+
 def sessions(
     df: DataFrame,
     gap: timedelta = DEFAULT_GAP,
@@ -90,12 +105,7 @@ def sessions(
     zero-length sessions are dropped unless ``keep_zero_length``.
     """
     gap_us = _micros(gap)
-    base = time_range(df, rng, bounds, cols.time).filter(F.col(cols.user).isNotNull())
-    epoch = _epoch_micros(cols.time)
-    bucket = (epoch - F.pmod(epoch, F.lit(gap_us))).alias("_bucket")
-    buckets = base.groupBy(cols.user, bucket).agg(
-        F.min(cols.time).alias("_s"), F.max(cols.time).alias("_e"), F.count(F.lit(1)).alias("_n")
-    )
+    buckets = session_buckets(time_range(df, rng, bounds, cols.time), gap, cols)
     w = Window.partitionBy(cols.user).orderBy("_bucket")
     prev_end = F.lag("_e").over(w)
     brk = F.when(prev_end.isNull() | (micros_between(prev_end, F.col("_s")) > F.lit(gap_us)), 1).otherwise(0)

@@ -503,5 +503,10 @@ FROM canvas GROUP BY 1"""
     ),
 }
 
-# table_describe has no SQL twin: DESCRIBE type names differ between engines.
-NO_ORACLE = {"table_describe"}
+# The raw log's schema is fixed (RAW_DDL), so DESCRIBE of the loaded table is
+# known; its row count comes from the events table.
+ORACLE_SQL["table_describe"] = """SELECT col_name, data_type, (SELECT count(*) FROM events) AS row_count
+FROM (VALUES ('timestamp', 'string'), ('user_id', 'string'), ('pixel_color', 'string'), ('coordinate', 'string'))
+     AS d(col_name, data_type)"""
+
+NO_ORACLE: set[str] = set()
