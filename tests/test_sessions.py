@@ -97,3 +97,26 @@ def test_gap_seconds(canvas):
 def test_custom_gap(canvas):
     got = rows(sessions(canvas(F2), gap=timedelta(hours=2)).select("user_id_encoded", "events"))
     assert got == [(1, 5)]
+
+
+def test_wall_clock_under_dst_session_zone(spark, canvas):
+    """Gaps and hours are wall-clock arithmetic on timestamp_ntz, whatever the session zone."""
+    data = [
+        ("2022-03-13 01:30:00", 1, 0, 0, "a"),  # New York skips 02:00-03:00 this night
+        ("2022-03-13 03:30:00.5", 1, 0, 0, "a"),
+        ("2022-11-06 01:30:00", 2, 0, 0, "a"),  # and repeats 01:00-02:00 this night
+        ("2022-11-06 01:40:00", 2, 0, 0, "a"),
+    ]
+    from tilescope.functions.exprs import hour_of
+
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = canvas(data)
+        gaps = sorted(r[0] for r in event_gaps(df).select("gap_seconds").collect() if r[0] is not None)
+        hours = sorted(r[0].hour for r in df.select(hour_of("timestamp")).collect())
+        sess = rows(sessions(df).select("user_id_encoded", "length_us"))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert gaps == [600.0, 7200.5]
+    assert hours == [1, 1, 1, 3]
+    assert sess == [(2, 600_000_000)]
