@@ -116,3 +116,14 @@ def test_latest_export(spark, tmp_path):
     b = export(canvas, str(tmp_path), template="rplace_optimized_20240102_000000.parquet")
     assert latest_export(spark, str(tmp_path)).endswith(b.rsplit("/", 1)[1])
     assert a != b
+
+
+def test_export_file_count_follows_size(spark):
+    from tilescope.config import estimated_bytes, target_partitions
+
+    canvas = read_canvas(spark, SF_SMALL)
+    size = estimated_bytes(canvas)
+    assert size and size > 0
+    floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert target_partitions(canvas) == floor
+    assert target_partitions(canvas, bytes_per_partition=max(1, size // 10)) >= 10

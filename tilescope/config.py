@@ -41,6 +41,27 @@ def broadcast_if_bounded(df: DataFrame, rows: int | None, limit: int = BROADCAST
     return df
 
 
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """The optimizer's size estimate of ``df`` (file sizes scaled by projection)."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - an estimate is optional
+        return None
+
+
+def target_partitions(df: DataFrame, bytes_per_partition: int = TARGET_PARTITION_BYTES) -> int:
+    """Partition count for an explicit repartition: enough for ~``bytes_per_partition``
+    each, never fewer than ``spark.sql.shuffle.partitions``."""
+    floor = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = estimated_bytes(df)
+    if size is None or size <= 0:
+        return floor
+    return max(floor, -(-size // bytes_per_partition))
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and scratch output.
 

@@ -6,6 +6,8 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 
+from tilescope.config import target_partitions
+
 DEFAULT_TEMPLATE = "rplace_optimized_%Y%m%d_%H%M%S.parquet"
 ROW_GROUP_ROWS = 100_000
 
@@ -30,12 +32,12 @@ def export_parquet(
     skip them from Parquet statistics.  The remaining columns follow time in
     the range key, so a burst of rows sharing one timestamp can still be
     split across files by the sampled bounds.  The sort is one shuffle, paid
-    once at export; ``files`` sets the number of output files (default:
-    shuffle partitions).
+    once at export; ``files`` sets the number of output files (default: the
+    optimizer's size estimate / 256 MB, at least the shuffle partitions).
     """
     out = df
     if time_col is not None:
-        n = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        n = files or target_partitions(df)
         keys = [time_col] + [c for c in df.columns if c != time_col]
         out = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
     (
