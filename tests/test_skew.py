@@ -34,10 +34,11 @@ def test_hot_user_reaches_merge_as_bucket_summaries(skewed):
     assert hot_buckets < hot_rows
 
 
-def test_hot_user_gaps_exact_and_split(skewed):
+@pytest.mark.parametrize("rows_per_chunk", [None, 4, 1000])
+def test_hot_user_gaps_exact_and_split(skewed, rows_per_chunk):
     w = Window.partitionBy("user_id_encoded").orderBy("timestamp")
     plain = skewed.select("user_id_encoded", "timestamp", F.lag("timestamp").over(w).alias("p"))
-    got = event_gaps(skewed).select("user_id_encoded", "timestamp", "prev_timestamp")
+    got = event_gaps(skewed, rows_per_chunk=rows_per_chunk).select("user_id_encoded", "timestamp", "prev_timestamp")
     # equal multisets of (user, time, previous time)
     assert rows(got) == rows(plain)
     chunks = (
@@ -59,3 +60,11 @@ def test_hot_block_distinct_users(skewed):
         ).agg(F.count(F.lit(1)).alias("placements"), F.countDistinct("user_id_encoded").alias("unique_users"))
     )
     assert got == exact
+
+
+def test_hot_hours_are_sliced(spark, canvas):
+    # one user, 40 events inside one hour: with 10 rows per chunk it becomes 4 slices
+    data = [(f"2022-04-02 10:{m:02d}:{s:02d}", 1, 0, 0, "a") for m in range(0, 60, 3) for s in (0, 30)]
+    df = canvas(data)
+    got = rows(event_gaps(df, rows_per_chunk=10).select("gap_seconds"))
+    assert got == sorted([(None,)] + [(30.0,), (150.0,)] * 19 + [(30.0,)], key=repr)

@@ -22,7 +22,7 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tilescope.config import CANVAS, Columns
+from tilescope.config import CANVAS, Columns, broadcast_if_bounded, materialize
 from tilescope.functions.exprs import hours_since_epoch, micros_between, seconds_between
 from tilescope.functions.ranges import TimeRange, time_range
 
@@ -44,27 +44,54 @@ def _epoch_micros(ts: str) -> Column:
     return micros_between(F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(ts))
 
 
-def event_gaps(df: DataFrame, chunk_hours: int = 1, cols: Columns = CANVAS) -> DataFrame:
+ROWS_PER_CHUNK = 5_000_000
+
+
+def event_gaps(
+    df: DataFrame, chunk_hours: int = 1, rows_per_chunk: int | None = ROWS_PER_CHUNK, cols: Columns = CANVAS
+) -> DataFrame:
     """Each event with its user's previous event time and the gap in seconds.
 
-    One scan: the (user, chunk) exchange feeds both the ``lag`` and the
-    per-chunk last event (the second use is a reused exchange).  Rows with a
-    NULL user are skipped (they form no sequence).
+    ``lag`` runs per (user, chunk, slice): chunks are ``chunk_hours`` of wall
+    clock; a (user, chunk) pair with more than ``rows_per_chunk`` rows is cut
+    into ceil(rows / rows_per_chunk) equal time slices.  The hot pairs come
+    from a count per (user, chunk) that combines map-side; there are at most
+    rows / rows_per_chunk of them, so the list is checkpointed once and
+    broadcast under that proven bound.  The first row of a slice takes the
+    user's last event of the previous active slice from a per-slice maximum
+    (a map-side combined aggregate, so only the ``lag`` pass shuffles
+    data-sized rows).  Rows with a NULL user are skipped.
+    ``rows_per_chunk=None`` skips the count pass (hour chunks only).
     """
+    chunk_us = int(chunk_hours) * 3_600_000_000
     base = (
         df.filter(F.col(cols.user).isNotNull())
         .select(cols.user, cols.time)
         .withColumn("_chunk", _chunk(cols.time, chunk_hours))
     )
-    in_chunk = Window.partitionBy(cols.user, "_chunk")
-    local = base.withColumn("_prev", F.lag(cols.time).over(in_chunk.orderBy(cols.time)))
-    last = base.withColumn("_last", F.max(cols.time).over(in_chunk)).select(cols.user, "_chunk", "_last").distinct()
+    if rows_per_chunk is None:
+        sliced = base.withColumn("_slice", F.lit(0).cast("bigint"))
+    else:
+        hot = materialize(
+            base.groupBy(cols.user, "_chunk")
+            .agg(F.count(F.lit(1)).alias("_rows"))
+            .filter(F.col("_rows") > F.lit(int(rows_per_chunk)))
+            .select(cols.user, "_chunk", F.ceil(F.col("_rows") / F.lit(int(rows_per_chunk))).alias("_k"))
+        )
+        offset = _epoch_micros(cols.time) - F.col("_chunk") * F.lit(chunk_us)
+        piece = F.floor(offset.cast("double") * F.col("_k") / F.lit(float(chunk_us)))
+        sliced = (
+            base.join(broadcast_if_bounded(hot, hot.count()), [cols.user, "_chunk"], "left")
+            .withColumn("_slice", F.coalesce(F.least(piece, F.col("_k") - 1), F.lit(0)).cast("bigint"))
+            .drop("_k")
+        )
+    keys = [cols.user, "_chunk", "_slice"]
+    local = sliced.withColumn("_prev", F.lag(cols.time).over(Window.partitionBy(*keys).orderBy(cols.time)))
+    last = sliced.groupBy(*keys).agg(F.max(cols.time).alias("_last"))  # combines map-side
     carried = last.select(
-        cols.user,
-        "_chunk",
-        F.lag("_last").over(Window.partitionBy(cols.user).orderBy("_chunk")).alias("_carry"),
+        *keys, F.lag("_last").over(Window.partitionBy(cols.user).orderBy("_chunk", "_slice")).alias("_carry")
     )
-    joined = local.join(carried, [cols.user, "_chunk"], "left")
+    joined = local.join(carried, keys, "left")
     prev = F.coalesce(F.col("_prev"), F.col("_carry"))
     return joined.select(
         cols.user,
