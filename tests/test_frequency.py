@@ -65,3 +65,23 @@ def test_null_keys_are_kept(canvas):
 def test_key_concat(canvas):
     got = rows(key_concat(canvas(DATA), "pixel_color"))
     assert ("#FF4500", 2, "#FF4500,2") in got
+
+
+def test_top_frequencies_one_scan_both_lists(canvas, spark, tmp_path):
+    from tilescope.operators.frequency import top_frequencies
+
+    got = rows(top_frequencies(canvas(DATA), RNG, k=2).select("grouping_set", "pixel_color", "x_coord", "y_coord", "count", "rank"))
+    assert got == sorted(
+        [
+            ("category", "#000000", None, None, 2, 1),
+            ("category", "#FFFFFF", None, None, 2, 2),
+            ("point", None, 1, 1, 2, 1),
+            ("point", None, 2, 2, 2, 2),
+        ],
+        key=repr,
+    )
+    path = str(tmp_path / "f.parquet")
+    canvas(DATA).write.parquet(path)
+    plan = top_frequencies(spark.read.parquet(path), RNG, k=2)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    assert "WindowGroupLimit" in plan

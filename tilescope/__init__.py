@@ -14,7 +14,15 @@ from tilescope.operators.blocks import (
     top_blocks,
 )
 from tilescope.operators.encoding import dense_codes, encode
-from tilescope.operators.frequency import frequency, key_concat, multi_frequency, top_frequency, top_k, top_summary
+from tilescope.operators.frequency import (
+    frequency,
+    key_concat,
+    multi_frequency,
+    top_frequencies,
+    top_frequency,
+    top_k,
+    top_summary,
+)
 from tilescope.operators.histogram import placement_histogram, user_counts, user_histogram
 from tilescope.operators.points import at_points, top_categories_at, top_points
 from tilescope.operators.series import hourly_counts, hourly_melt, hourly_series, hourly_wide

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tilescope.config import CANVAS, Columns
@@ -77,6 +77,31 @@ def multi_frequency(
     )
 
 
+def top_frequencies(
+    df: DataFrame,
+    rng: TimeRange | None = None,
+    k: int = 10,
+    bounds: str = "both",
+    cols: Columns = CANVAS,
+    count: str = "count",
+) -> DataFrame:
+    """The k most frequent categories and the k most frequent points, one scan.
+
+    ``row_number() <= k`` per grouping set plans as WindowGroupLimit: each
+    task keeps its k best rows per set before the exchange, so each set's
+    final window sees at most k rows per task.  Ties go to the smallest key.
+    """
+    m = multi_frequency(df, rng, bounds, cols, count)
+    w = Window.partitionBy("grouping_set").orderBy(
+        F.col(count).desc(),
+        F.col(cols.category).asc_nulls_last(),
+        F.col(cols.x).asc_nulls_last(),
+        F.col(cols.y).asc_nulls_last(),
+    )
+    ranked = m.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    return ranked.withColumn("rank", F.col("rank").cast("int"))
+
+
 def top_summary(
     df: DataFrame,
     rng: TimeRange | None = None,

@@ -87,6 +87,10 @@ def q_top_points(spark, d):
     return points.top_points(_canvas(spark, d), k=10)
 
 
+def q_top_frequencies(spark, d):
+    return frequency.top_frequencies(_canvas(spark, d), RANGE, k=10)
+
+
 def q_top_summary(spark, d):
     return frequency.top_summary(_canvas(spark, d), RANGE)
 
@@ -384,6 +388,15 @@ FROM canvas WHERE {IN_RANGE} GROUP BY GROUPING SETS ((pixel_color), (x_coord, y_
         "SELECT x_coord, y_coord, count(*) AS placement_count FROM canvas GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2 LIMIT 10"
     ),
     "top_summary": _TOP_SUMMARY,
+    "top_frequencies": _w(
+        f"""SELECT * FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY grouping_set
+         ORDER BY "count" DESC, pixel_color NULLS LAST, x_coord NULLS LAST, y_coord NULLS LAST) AS INTEGER) AS rank
+  FROM (SELECT CASE WHEN GROUPING(pixel_color) = 0 THEN 'category' ELSE 'point' END AS grouping_set,
+               pixel_color, x_coord, y_coord, count(*) AS "count"
+        FROM canvas WHERE {IN_RANGE} GROUP BY GROUPING SETS ((pixel_color), (x_coord, y_coord))))
+WHERE rank <= 10"""
+    ),
     "category_share": _w(
         f"""SELECT '{SHARE_VALUE}' AS color, color_placements, total_placements,
        {_pct('color_placements', 'total_placements')} AS percentage
