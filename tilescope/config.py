@@ -45,16 +45,27 @@ TARGET_PARTITION_BYTES = 256 * 1024 * 1024
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
-    """The optimizer's size estimate of ``df`` (file sizes scaled by projection)."""
+    """Bytes of the files ``df`` reads: the sum over its file-scan leaves.
+
+    Join and aggregate estimates of the optimizer can be off by orders of
+    magnitude; the sizes of the scanned files come from the file listing
+    and are exact.  ``None`` when the plan reads no files.
+    """
     try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves().iterator()
+        total = 0
+        while leaves.hasNext():
+            leaf = leaves.next()
+            if leaf.getClass().getSimpleName() == "LogicalRelation":
+                total += int(str(leaf.stats().sizeInBytes()))
+        return total or None
     except Exception:  # noqa: BLE001 - an estimate is optional
         return None
 
 
 def target_partitions(df: DataFrame, bytes_per_partition: int = TARGET_PARTITION_BYTES) -> int:
     """Partition count for an explicit repartition: enough for ~``bytes_per_partition``
-    each, never fewer than ``spark.sql.shuffle.partitions``."""
+    of scanned input each, never fewer than ``spark.sql.shuffle.partitions``."""
     floor = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     size = estimated_bytes(df)
     if size is None or size <= 0:
