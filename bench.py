@@ -63,11 +63,11 @@ def main() -> None:
 
     results: dict[str, float] = {}
     cold: dict[str, float] = {}
-    path = scratch_path(spark, "bench-compact")
-    results["compact_export"], _ = timed(
-        lambda: export_parquet(compact(raw_from_canvas(read_canvas(spark, sf_dir))), path)
-    )
-    cold["compact_export"] = results["compact_export"]
+    runs = []
+    for _ in range(2):
+        path = scratch_path(spark, "bench-compact")
+        runs.append(timed(lambda: export_parquet(compact(raw_from_canvas(read_canvas(spark, sf_dir))), path))[0])
+    cold["compact_export"], results["compact_export"] = runs[0], min(runs)
     compacted = spark.read.parquet(path)  # the loaded table, as in the reference's timings
     for name, (lo, hi) in HEADLINE.items():
         rng = TimeRange.parse(lo, hi)
