@@ -56,7 +56,7 @@ def test_compact_roundtrip(spark):
     assert dict(compacted.dtypes)["user_id_encoded"] == "bigint"
     path = scratch_path(spark, "t-compact")
     export_parquet(compacted, path, row_group_rows=300)
-    back = spark.read.parquet(path)
+    back = spark.read.parquet(path).drop("day")
     assert rows(back.drop("user_id_encoded")) == rows(canvas.drop("user_id_encoded"))
     # user codes are dense ranks of the user text
     users = sorted({str(r[0]) for r in canvas.select("user_id_encoded").collect()})
@@ -68,7 +68,7 @@ def test_compact_roundtrip(spark):
 
 def test_export_layout(spark, tmp_path):
     canvas = read_canvas(spark, SF_SMALL)
-    path = export(canvas, str(tmp_path), row_group_rows=300, files=2)
+    path = export(canvas, str(tmp_path), row_group_rows=300, files=2, day_partitions=False)
     assert "rplace_optimized_" in path
     files = sorted(p for p in __import__("glob").glob(path + "/*.parquet"))
     assert len(files) == 2
@@ -127,3 +127,25 @@ def test_export_file_count_follows_size(spark):
     floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert target_partitions(canvas) == floor
     assert target_partitions(canvas, bytes_per_partition=max(1, size // 10)) >= 10
+
+
+def test_day_directories_prune_ranges(spark, tmp_path):
+    import glob
+
+    from tilescope.functions.ranges import TimeRange, time_range
+
+    canvas = read_canvas(spark, SF_SMALL)
+    path = export_parquet(canvas, str(tmp_path / "byday"), files=4)
+    days = sorted(glob.glob(path + "/day=*"))
+    assert len(days) == 30
+    for f in glob.glob(path + "/day=*/*.parquet"):
+        ts = pq.read_table(f, columns=["timestamp"]).column(0).to_pylist()
+        assert ts == sorted(ts)
+    table = spark.read.parquet(path)
+    assert dict(table.dtypes)["day"] == "date"
+    rng = TimeRange.parse("2024-01-10 00", "2024-01-11 06")
+    got = time_range(table, rng)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan
+    assert rows(got.drop("day")) == rows(time_range(canvas, rng))
+    assert rows(time_range(table, rng, "left").drop("day")) == rows(time_range(canvas, rng, "left"))

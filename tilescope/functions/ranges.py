@@ -7,7 +7,9 @@
           sorts below a bound it equals in time, so in effect ``(start, end]``.
 
 All modes compile to plain comparisons, so both bounds reach the Parquet
-scan's ``PushedFilters``.
+scan's ``PushedFilters``.  On a table exported with day directories (a
+``day`` date column), the typed modes also bound ``day``, which prunes whole
+directories when the query is planned.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOUR_FORMAT = "%Y-%m-%d %H"
+DAY_COLUMN = "day"  # partition column written by sources.sinks.export_parquet
 BOUNDS = ("both", "left", "text")
 
 
@@ -80,4 +83,9 @@ def time_range(df: DataFrame, rng: TimeRange | None, bounds: str = "both", colum
         raise ValueError(f"bounds must be one of {BOUNDS}, got {bounds!r}")
     if rng is None:
         return df
-    return df.filter(range_predicate(column, rng, bounds))
+    pred = range_predicate(column, rng, bounds)
+    if bounds != "text" and dict(df.dtypes).get(DAY_COLUMN) == "date":
+        pred = pred & F.col(DAY_COLUMN).between(
+            F.lit(rng.start.date().isoformat()).cast("date"), F.lit(rng.end.date().isoformat()).cast("date")
+        )
+    return df.filter(pred)
