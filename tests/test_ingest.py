@@ -69,7 +69,7 @@ def test_compact_roundtrip(spark):
 def test_export_layout(spark, tmp_path):
     canvas = read_canvas(spark, SF_SMALL)
     path = export(canvas, str(tmp_path), row_group_rows=300, files=2, day_partitions=False)
-    assert "rplace_optimized_" in path
+    assert "placements_" in path
     files = sorted(p for p in __import__("glob").glob(path + "/*.parquet"))
     assert len(files) == 2
     meta = pq.ParquetFile(files[0]).metadata
@@ -83,7 +83,7 @@ def test_export_layout(spark, tmp_path):
 
 
 def test_stamped_path():
-    assert stamped_path("/x", now=datetime(2024, 1, 2, 3, 4, 5)) == "/x/rplace_optimized_20240102_030405.parquet"
+    assert stamped_path("/x", now=datetime(2024, 1, 2, 3, 4, 5)) == "/x/placements_20240102_030405.parquet"
 
 
 def test_missing_input_raises(spark, tmp_path):
@@ -112,8 +112,8 @@ def test_latest_export(spark, tmp_path):
 
     canvas = read_canvas(spark, SF_SMALL).limit(5)
     assert latest_export(spark, str(tmp_path)) is None
-    a = export(canvas, str(tmp_path), template="rplace_optimized_20240101_000000.parquet")
-    b = export(canvas, str(tmp_path), template="rplace_optimized_20240102_000000.parquet")
+    a = export(canvas, str(tmp_path), template="placements_20240101_000000.parquet")
+    b = export(canvas, str(tmp_path), template="placements_20240102_000000.parquet")
     assert latest_export(spark, str(tmp_path)).endswith(b.rsplit("/", 1)[1])
     assert a != b
 

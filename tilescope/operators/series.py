@@ -67,18 +67,20 @@ def point_labels(points) -> list[str]:
     return [f"({int(x)}, {int(y)})" for x, y in points]
 
 
-def hourly_wide(series: DataFrame, labels: Sequence[str] | None = None) -> DataFrame:
+def hourly_wide(series: DataFrame, labels: Sequence[str] | None = None, ordered: bool = True) -> DataFrame:
     """One row per hour, one column per point label (missing -> 0).
 
     With ``labels`` (e.g. :func:`point_labels` of the listed points) the
     schema is fixed up front and no extra job runs; a listed point without
     rows is then a column of zeros.  Without labels the columns are the
-    points present in the data (one extra pass to find them).
+    points present in the data (one extra pass to find them).  ``ordered``
+    sorts the rows by hour.
     """
     pivoted = series.groupBy("hour").pivot("pixel", list(labels) if labels is not None else None)
     wide = pivoted.agg(F.first("placement_count"))
     value_cols = [c for c in wide.columns if c != "hour"]
-    return wide.fillna(0, subset=value_cols).orderBy("hour")
+    wide = wide.fillna(0, subset=value_cols)
+    return wide.orderBy("hour") if ordered else wide
 
 
 def hourly_melt(wide: DataFrame) -> DataFrame:

@@ -125,8 +125,8 @@ def q_hourly_wide(spark, d):
 
 
 def q_hourly_melt(spark, d):
-    wide = series.hourly_wide(series.hourly_series(_canvas(spark, d), POINTS), series.point_labels(POINTS))
-    return series.hourly_melt(wide)
+    series_ = series.hourly_series(_canvas(spark, d), POINTS)
+    return series.hourly_melt(series.hourly_wide(series_, series.point_labels(POINTS), ordered=False))
 
 
 def q_user_counts_at(spark, d):

@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 
 from tilescope.config import target_partitions
 
-DEFAULT_TEMPLATE = "rplace_optimized_%Y%m%d_%H%M%S.parquet"
+DEFAULT_TEMPLATE = "placements_%Y%m%d_%H%M%S.parquet"
 ROW_GROUP_ROWS = 100_000
 DAY_COLUMN = "day"
 
 
 def stamped_path(directory: str, template: str = DEFAULT_TEMPLATE, now: datetime | None = None) -> str:
-    """Run-stamped output path, e.g. ``dir/rplace_optimized_20240101_120000.parquet``."""
+    """Run-stamped output path, e.g. ``dir/placements_20240101_120000.parquet``."""
     return f"{directory.rstrip('/')}/{(now or datetime.now()).strftime(template)}"
 
 
@@ -68,7 +68,7 @@ def export_parquet(
     return path
 
 
-def latest_export(spark, directory: str, prefix: str = "rplace_optimized_") -> str | None:
+def latest_export(spark, directory: str, prefix: str = "placements_") -> str | None:
     """Path of the newest run-stamped export under ``directory`` (names sort by time).
 
     Lists one directory level through the Hadoop file system of the path, so
