@@ -30,34 +30,34 @@ def export_parquet(
 ) -> str:
     """Write ZSTD Parquet with bounded row groups.
 
-    With ``time_col`` the rows are range-partitioned and sorted by time, so
-    every file and row group covers a narrow time slice and range filters
-    skip them from Parquet statistics.  The remaining columns follow time in
-    the range key, so a burst of rows sharing one timestamp can still be
-    split across files by the sampled bounds.  The sort is one shuffle, paid
-    once at export; ``files`` sets the number of range partitions (default:
-    scanned bytes / 256 MB, at least the shuffle partitions).
+    With ``time_col`` every file is sorted by time, so each row group covers
+    a narrow time slice and range filters skip row groups by statistics.
 
-    ``day_partitions`` also writes one ``day=YYYY-MM-DD`` directory per
-    calendar day of ``time_col``.  :func:`tilescope.functions.ranges.time_range`
+    ``day_partitions`` (default) writes one ``day=YYYY-MM-DD`` directory per
+    calendar day of ``time_col``; :func:`tilescope.functions.ranges.time_range`
     adds a matching ``day`` predicate, so a range query lists and reads only
-    the directories of its days (partition pruning at planning time).  Range
-    partitions cover narrow time slices, so each task writes few files.
+    the directories of its days (partition pruning at planning time).  The
+    rows are rebalanced by day (one shuffle, sizes evened out by AQE).
+
+    Without day directories the rows are range-partitioned by time (the
+    other columns break ties), so files cover disjoint time slices; this
+    costs a sampling pass.  ``files`` sets the number of range partitions
+    (default: scanned bytes / 256 MB, at least the shuffle partitions).
     """
     out, writer = df, df.write
     if time_col is not None:
-        n = files or target_partitions(df)
         keys = [time_col] + [c for c in df.columns if c != time_col]
-        ranged = df.repartitionByRange(n, *keys)
         if day_partitions:
-            # (day, time, ...) already satisfies the partitioned writer's
-            # required ordering, so it adds no second sort and files stay
-            # sorted by time.
-            ranged = ranged.withColumn(DAY_COLUMN, F.to_date(F.col(time_col)))
-            out = ranged.sortWithinPartitions(DAY_COLUMN, *keys)
+            # REBALANCE by day: one scan, no sampling pass; AQE splits a day
+            # that holds many rows into several tasks and merges small ones.
+            # (day, time, ...) satisfies the partitioned writer's ordering, so
+            # no second sort runs and every file is sorted by time.
+            dated = df.withColumn(DAY_COLUMN, F.to_date(F.col(time_col)))
+            out = dated.hint("rebalance", DAY_COLUMN).sortWithinPartitions(DAY_COLUMN, *keys)
             writer = out.write.partitionBy(DAY_COLUMN)
         else:
-            out = ranged.sortWithinPartitions(*keys)
+            n = files or target_partitions(df)
+            out = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
             writer = out.write
     (
         writer.mode(mode)
