@@ -31,7 +31,7 @@ CANVAS = Columns()
 # list, a top-k, a count read from a checkpoint) and stays below this bound.
 # Anything else goes through a shuffle join and AQE decides at run time from
 # measured shuffle sizes.
-BROADCAST_ROW_LIMIT = 2_000_000
+BROADCAST_ROW_LIMIT = 1_000_000
 
 
 def broadcast_if_bounded(df: DataFrame, rows: int | None, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
