@@ -85,3 +85,17 @@ def test_top_frequencies_one_scan_both_lists(canvas, spark, tmp_path):
     plan = top_frequencies(spark.read.parquet(path), RNG, k=2)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1
     assert "WindowGroupLimit" in plan
+
+
+def test_null_key_loses_ties(canvas, spark):
+    from tilescope.plans.sql import sql_top_summary
+
+    data = [
+        ("2022-04-02 14:10:00", 1, None, None, None),
+        ("2022-04-02 14:11:00", 2, 3, 3, "#000000"),
+    ]
+    df = canvas(data)
+    assert rows(top_summary(df, RNG)) == [("#000000", 1, 3, 3, 1)]
+    df.createOrReplaceTempView("null_ties")
+    assert rows(sql_top_summary(spark, "null_ties", RNG)) == [("#000000", 1, 3, 3, 1)]
+    assert rows(top_frequency(df, ["pixel_color"], k=1), order=False) == [("#000000", 1)]

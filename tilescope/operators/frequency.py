@@ -117,8 +117,11 @@ def top_summary(
     m = multi_frequency(df, rng, bounds, cols, count="n")
     is_cat = F.col("grouping_set") == "category"
     is_pt = ~is_cat
-    cat_order = F.when(is_cat, F.struct((-F.col("n")).alias("a"), F.col(cols.category).alias("b")))
-    pt_order = F.when(is_pt, F.struct((-F.col("n")).alias("a"), F.col(cols.x).alias("b"), F.col(cols.y).alias("c")))
+    def key(c: str):  # NULL keys sort last, as in top_k
+        return [F.col(c).isNull().alias(f"{c}_null"), F.col(c).alias(c)]
+
+    cat_order = F.when(is_cat, F.struct((-F.col("n")).alias("n"), *key(cols.category)))
+    pt_order = F.when(is_pt, F.struct((-F.col("n")).alias("n"), *key(cols.x), *key(cols.y)))
     out = m.agg(
         F.min_by(cols.category, cat_order).alias("top_color"),
         F.max(F.when(is_cat, F.col("n"))).alias("color_count"),

@@ -65,7 +65,7 @@ def event_gaps(
     """
     chunk_us = int(chunk_hours) * 3_600_000_000
     base = (
-        df.filter(F.col(cols.user).isNotNull())
+        df.filter(F.col(cols.user).isNotNull() & F.col(cols.time).isNotNull())
         .select(cols.user, cols.time)
         .withColumn("_chunk", _chunk(cols.time, chunk_hours))
     )
@@ -108,7 +108,7 @@ def session_buckets(df: DataFrame, gap: timedelta = DEFAULT_GAP, cols: Columns =
     shuffle as at most one row per bucket and task.
     """
     gap_us = _micros(gap)
-    base = df.filter(F.col(cols.user).isNotNull())
+    base = df.filter(F.col(cols.user).isNotNull() & F.col(cols.time).isNotNull())
     epoch = _epoch_micros(cols.time)
     bucket = (epoch - F.pmod(epoch, F.lit(gap_us))).alias("_bucket")
     return base.groupBy(cols.user, bucket).agg(

@@ -22,10 +22,13 @@ counts AS (
     GROUP BY GROUPING SETS ((pixel_color), (x_coord, y_coord))
 )
 SELECT
-    min_by(pixel_color, CASE WHEN by_point = 0 THEN named_struct('n', -n, 'k', pixel_color) END) AS top_color,
+    min_by(pixel_color, CASE WHEN by_point = 0
+        THEN named_struct('n', -n, 'kn', pixel_color IS NULL, 'k', pixel_color) END) AS top_color,
     max(CASE WHEN by_point = 0 THEN n END) AS color_count,
-    min_by(x_coord, CASE WHEN by_point = 1 THEN named_struct('n', -n, 'x', x_coord, 'y', y_coord) END) AS top_x,
-    min_by(y_coord, CASE WHEN by_point = 1 THEN named_struct('n', -n, 'x', x_coord, 'y', y_coord) END) AS top_y,
+    min_by(x_coord, CASE WHEN by_point = 1
+        THEN named_struct('n', -n, 'xn', x_coord IS NULL, 'x', x_coord, 'yn', y_coord IS NULL, 'y', y_coord) END) AS top_x,
+    min_by(y_coord, CASE WHEN by_point = 1
+        THEN named_struct('n', -n, 'xn', x_coord IS NULL, 'x', x_coord, 'yn', y_coord IS NULL, 'y', y_coord) END) AS top_y,
     max(CASE WHEN by_point = 1 THEN n END) AS coord_count
 FROM counts
 HAVING max(CASE WHEN by_point = 0 THEN n END) IS NOT NULL
