@@ -50,3 +50,11 @@ def test_oracle_agrees(spark, duck, name):
     cols = [d[0] for d in rel.description]
     assert sorted(cols) == sorted(df.columns)
     assert got == _canon(cols, rel.fetchall())
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_plan_invariants(spark, name):
+    """No Python evaluation and no pairwise join in any registered query."""
+    plan = entry.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert bad not in plan, (name, bad)

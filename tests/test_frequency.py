@@ -99,3 +99,20 @@ def test_null_key_loses_ties(canvas, spark):
     df.createOrReplaceTempView("null_ties")
     assert rows(sql_top_summary(spark, "null_ties", RNG)) == [("#000000", 1, 3, 3, 1)]
     assert rows(top_frequency(df, ["pixel_color"], k=1), order=False) == [("#000000", 1)]
+
+
+def test_frequency_on_raw_text_log(spark):
+    """Week-1 style: count the raw text coordinate inside a text range."""
+    from tilescope.sources.raw import RAW_DDL
+
+    raw = spark.createDataFrame(
+        [
+            ("2022-04-02 14:00:00 UTC", "a", "#000000", "1,1"),  # sorts below the start bound: out
+            ("2022-04-02 14:00:00.000000 UTC", "b", "#000000", "1,1"),
+            ("2022-04-02 14:30:00.5 UTC", "c", "#FFFFFF", "2,2"),
+            ("2022-04-02 15:00:00 UTC", "d", "#FFFFFF", "2,2"),
+        ],
+        RAW_DDL,
+    )
+    got = rows(frequency(raw, ["coordinate"], RNG, bounds="text", cols=__import__("tilescope").Columns(time="timestamp")))
+    assert got == [("1,1", 1), ("2,2", 2)]
