@@ -1,0 +1 @@
+"""Column expressions and time-range arguments (no Spark actions)."""

@@ -1,0 +1,2 @@
+"""DataFrame operators: frequencies, shares, points, series, histograms, blocks,
+sessions and user encoding."""

@@ -1,0 +1 @@
+"""Composite jobs (ingest, compaction), parameterised SQL and the query registry."""

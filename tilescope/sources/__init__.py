@@ -1,0 +1 @@
+"""Readers and writers: raw CSV log, canvas views, Parquet export."""

@@ -1,0 +1 @@
+"""Structured Streaming forms of the hourly and session operators."""
