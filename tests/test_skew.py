@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tilescope.operators.blocks import block_unique_users
-from tilescope.operators.sessions import event_gaps, session_buckets, sessions, sessions_by_lag
+from tilescope.operators.sessions import event_gaps, gap_slices, session_buckets, sessions, sessions_by_lag
 from tilescope.sources.canvas import read_canvas
 
 HOT = -1
@@ -68,3 +68,18 @@ def test_hot_hours_are_sliced(spark, canvas):
     df = canvas(data)
     got = rows(event_gaps(df, rows_per_chunk=10).select("gap_seconds"))
     assert got == sorted([(None,)] + [(30.0,), (150.0,)] * 19 + [(30.0,)], key=repr)
+    sizes = sorted(r[0] for r in gap_slices(df, rows_per_chunk=10).select("rows").collect())
+    assert sizes == [10, 10, 10, 10]
+
+
+def test_burst_is_split_by_count(spark, canvas):
+    # 60 events in one minute (one per second) plus 10 spread over the hour:
+    # slices follow row counts, not equal time spans
+    data = [(f"2022-04-02 10:30:{s:02d}", 1, 0, 0, "a") for s in range(60)]
+    data += [(f"2022-04-02 10:{m:02d}:00", 1, 0, 0, "a") for m in (0, 5, 10, 15, 20, 40, 45, 50, 55, 59)]
+    df = canvas(data)
+    sizes = [r[0] for r in gap_slices(df, rows_per_chunk=10).select("rows").collect()]
+    assert sum(sizes) == 70 and max(sizes) <= 11 and len(sizes) >= 7
+    w = Window.partitionBy("user_id_encoded").orderBy("timestamp")
+    plain = df.select("user_id_encoded", "timestamp", F.lag("timestamp").over(w).alias("p"))
+    assert rows(event_gaps(df, rows_per_chunk=10).select("user_id_encoded", "timestamp", "prev_timestamp")) == rows(plain)

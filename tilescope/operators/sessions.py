@@ -45,6 +45,73 @@ def _epoch_micros(ts: str) -> Column:
 
 
 ROWS_PER_CHUNK = 5_000_000
+_SECOND_US = 1_000_000
+
+
+def _gap_base(df: DataFrame, chunk_hours: int, cols: Columns) -> DataFrame:
+    return (
+        df.filter(F.col(cols.user).isNotNull() & F.col(cols.time).isNotNull())
+        .select(cols.user, cols.time)
+        .withColumn("_chunk", _chunk(cols.time, chunk_hours))
+    )
+
+
+def _with_slices(base: DataFrame, chunk_hours: int, rows_per_chunk: int | None, cols: Columns) -> DataFrame:
+    """Add ``_slice``: 0 for ordinary (user, chunk) pairs; for a pair with more
+    than ``rows_per_chunk`` rows, consecutive time slices of about
+    ``rows_per_chunk`` rows each.
+
+    Slice bounds come from per-second counts of the hot pairs only (a
+    map-side combined aggregate, at most chunk seconds rows per pair); a
+    running sum over them marks the seconds where a new slice starts.  Each
+    hot pair keeps a short sorted array of those seconds (all arrays together
+    hold at most rows / rows_per_chunk entries), broadcast under that proven
+    bound.  A slice holds at most ``rows_per_chunk`` rows plus one second of
+    the user's rows, whatever the shape of a burst.
+    """
+    zero = base.withColumn("_slice", F.lit(0).cast("bigint"))
+    if rows_per_chunk is None:
+        return zero
+    r = int(rows_per_chunk)
+    hot = materialize(
+        base.groupBy(cols.user, "_chunk")
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .filter(F.col("_rows") > F.lit(r))
+        .select(cols.user, "_chunk")
+    )
+    n_hot = hot.count()
+    if n_hot == 0:
+        return zero
+    chunk_us = int(chunk_hours) * 3_600_000_000
+    second = F.floor((_epoch_micros(cols.time) - F.col("_chunk") * F.lit(chunk_us)) / F.lit(_SECOND_US)).cast("bigint")
+    hot_rows = base.join(broadcast_if_bounded(hot, n_hot), [cols.user, "_chunk"], "left_semi")
+    per_second = hot_rows.groupBy(cols.user, "_chunk", second.alias("_sec")).agg(F.count(F.lit(1)).alias("_c"))
+    w = Window.partitionBy(cols.user, "_chunk").orderBy("_sec")
+    before = F.coalesce(F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    piece = per_second.select(cols.user, "_chunk", "_sec", F.floor(before / F.lit(r)).alias("_piece"))
+    starts = piece.select(
+        cols.user, "_chunk", "_sec", (F.col("_piece") > F.lag("_piece", 1, 0).over(w)).alias("_new")
+    ).filter("_new")
+    bounds = materialize(
+        starts.groupBy(cols.user, "_chunk").agg(F.array_sort(F.collect_list("_sec")).alias("_bounds"))
+    )
+    with_bounds = base.join(broadcast_if_bounded(bounds, n_hot), [cols.user, "_chunk"], "left")
+    sliced = F.when(F.col("_bounds").isNull(), F.lit(0)).otherwise(
+        F.size(F.filter("_bounds", lambda b: b <= second))
+    )
+    return with_bounds.withColumn("_slice", sliced.cast("bigint")).drop("_bounds")
+
+
+def gap_slices(
+    df: DataFrame, chunk_hours: int = 1, rows_per_chunk: int | None = ROWS_PER_CHUNK, cols: Columns = CANVAS
+) -> DataFrame:
+    """Rows per (user, chunk, slice): the task sizes of :func:`event_gaps`."""
+    base = _gap_base(df, chunk_hours, cols)
+    return (
+        _with_slices(base, chunk_hours, rows_per_chunk, cols)
+        .groupBy(cols.user, "_chunk", "_slice")
+        .agg(F.count(F.lit(1)).alias("rows"))
+    )
 
 
 def event_gaps(
@@ -53,38 +120,15 @@ def event_gaps(
     """Each event with its user's previous event time and the gap in seconds.
 
     ``lag`` runs per (user, chunk, slice): chunks are ``chunk_hours`` of wall
-    clock; a (user, chunk) pair with more than ``rows_per_chunk`` rows is cut
-    into ceil(rows / rows_per_chunk) equal time slices.  The hot pairs come
-    from a count per (user, chunk) that combines map-side; there are at most
-    rows / rows_per_chunk of them, so the list is checkpointed once and
-    broadcast under that proven bound.  The first row of a slice takes the
-    user's last event of the previous active slice from a per-slice maximum
-    (a map-side combined aggregate, so only the ``lag`` pass shuffles
-    data-sized rows).  Rows with a NULL user are skipped.
-    ``rows_per_chunk=None`` skips the count pass (hour chunks only).
+    clock, and a (user, chunk) pair with more than ``rows_per_chunk`` rows is
+    cut into consecutive slices of about that many rows (see
+    :func:`_with_slices`).  The first row of a slice takes the user's last
+    event of the previous active slice from a per-slice maximum (a map-side
+    combined aggregate), so only the ``lag`` pass shuffles data-sized rows.
+    Rows with a NULL user or time are skipped.  ``rows_per_chunk=None``
+    skips the hot-pair pass (chunks only).
     """
-    chunk_us = int(chunk_hours) * 3_600_000_000
-    base = (
-        df.filter(F.col(cols.user).isNotNull() & F.col(cols.time).isNotNull())
-        .select(cols.user, cols.time)
-        .withColumn("_chunk", _chunk(cols.time, chunk_hours))
-    )
-    if rows_per_chunk is None:
-        sliced = base.withColumn("_slice", F.lit(0).cast("bigint"))
-    else:
-        hot = materialize(
-            base.groupBy(cols.user, "_chunk")
-            .agg(F.count(F.lit(1)).alias("_rows"))
-            .filter(F.col("_rows") > F.lit(int(rows_per_chunk)))
-            .select(cols.user, "_chunk", F.ceil(F.col("_rows") / F.lit(int(rows_per_chunk))).alias("_k"))
-        )
-        offset = _epoch_micros(cols.time) - F.col("_chunk") * F.lit(chunk_us)
-        piece = F.floor(offset.cast("double") * F.col("_k") / F.lit(float(chunk_us)))
-        sliced = (
-            base.join(broadcast_if_bounded(hot, hot.count()), [cols.user, "_chunk"], "left")
-            .withColumn("_slice", F.coalesce(F.least(piece, F.col("_k") - 1), F.lit(0)).cast("bigint"))
-            .drop("_k")
-        )
+    sliced = _with_slices(_gap_base(df, chunk_hours, cols), chunk_hours, rows_per_chunk, cols)
     keys = [cols.user, "_chunk", "_slice"]
     local = sliced.withColumn("_prev", F.lag(cols.time).over(Window.partitionBy(*keys).orderBy(cols.time)))
     last = sliced.groupBy(*keys).agg(F.max(cols.time).alias("_last"))  # combines map-side
