@@ -11,8 +11,10 @@ per-user merge that follows sees at most ``span / gap`` rows per user,
 independent of how many events the user has.
 
 Gaps: every event needs its predecessor, so rows cannot be reduced; ``lag``
-runs per (user, time chunk) and the first row of a chunk takes the user's
-last event of the previous active chunk from a per-chunk summary.
+runs per (user, hour chunk, slice), where only (user, hour) pairs with very
+many rows are cut into slices of about ``rows_per_chunk`` rows, and the first
+row of a slice takes the user's last event of the previous active slice from
+a per-slice summary.
 """
 
 from __future__ import annotations
