@@ -173,6 +173,10 @@ def q_sessions(spark, d):
     return sessions.sessions(_canvas(spark, d))
 
 
+def q_sessions_in_range(spark, d):
+    return sessions.sessions(_canvas(spark, d), rng=RANGE, bounds="left")
+
+
 def q_session_stats(spark, d):
     return sessions.session_stats(sessions.sessions(_canvas(spark, d)))
 
@@ -340,18 +344,22 @@ _DENSE_CTE = """dg AS (SELECT ys.block_y, xs.block_x, coalesce(bc.placements, 0)
           FROM (SELECT DISTINCT block_y FROM bc) ys CROSS JOIN (SELECT DISTINCT block_x FROM bc) xs
           LEFT JOIN bc ON bc.block_y = ys.block_y AND bc.block_x = xs.block_x)"""
 
-_SESSIONS_CTES = (
-    """gp AS (SELECT user_id_encoded, "timestamp" AS t,
+def _sessions_ctes(where: str = "TRUE") -> tuple[str, ...]:
+    return (
+        f"""gp AS (SELECT user_id_encoded, "timestamp" AS t,
               CASE WHEN lag("timestamp") OVER w IS NULL
                      OR epoch_us("timestamp") - epoch_us(lag("timestamp") OVER w) > 900000000 THEN 1 ELSE 0 END AS brk
-           FROM canvas WHERE user_id_encoded IS NOT NULL
+           FROM canvas WHERE user_id_encoded IS NOT NULL AND ({where})
            WINDOW w AS (PARTITION BY user_id_encoded ORDER BY "timestamp"))""",
-    """sn AS (SELECT user_id_encoded, t, sum(brk) OVER (PARTITION BY user_id_encoded ORDER BY t, brk DESC
+        """sn AS (SELECT user_id_encoded, t, sum(brk) OVER (PARTITION BY user_id_encoded ORDER BY t, brk DESC
               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid FROM gp)""",
-    """ss AS (SELECT user_id_encoded, min(t) AS session_start, max(t) AS session_end, count(*) AS events,
+        """ss AS (SELECT user_id_encoded, min(t) AS session_start, max(t) AS session_end, count(*) AS events,
                   epoch_us(max(t)) - epoch_us(min(t)) AS length_us
            FROM sn GROUP BY user_id_encoded, sid HAVING max(t) > min(t))""",
-)
+    )
+
+
+_SESSIONS_CTES = _sessions_ctes()
 
 _TOP_SUMMARY = _w(
     """SELECT tc.pixel_color AS top_color, tc.n AS color_count, tp.x_coord AS top_x, tp.y_coord AS top_y, tp.n AS coord_count
@@ -476,6 +484,7 @@ FROM canvas WHERE user_id_encoded IS NOT NULL
 WINDOW w AS (PARTITION BY user_id_encoded ORDER BY "timestamp")"""
     ),
     "sessions": _w("SELECT * FROM ss", *_SESSIONS_CTES),
+    "sessions_in_range": _w("SELECT * FROM ss", *_sessions_ctes(IN_HALF_OPEN)),
     "session_stats": _w(
         "SELECT count(*) AS total_sessions, sum(length_us) / nullif(count(*), 0) / 1e6 AS avg_session_seconds FROM ss",
         *_SESSIONS_CTES,
