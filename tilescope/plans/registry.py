@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tilescope.config import CANVAS, scratch_path
+from tilescope.config import CANVAS, Columns, scratch_path
 from tilescope.functions.exprs import block_index, block_label, count_label, thousands
 from tilescope.functions.ranges import TimeRange, time_range
 from tilescope.operators import blocks, frequency, histogram, points, series, sessions, share
@@ -75,6 +75,11 @@ def q_point_frequency(spark, d):
     return frequency.frequency(_canvas(spark, d), [CANVAS.x, CANVAS.y], RANGE)
 
 
+def q_text_coordinate_frequency(spark, d):
+    raw = raw_from_canvas(_canvas(spark, d))
+    return frequency.frequency(raw, ["coordinate"], RANGE, bounds="text", cols=Columns(time="timestamp"))
+
+
 def q_multi_frequency(spark, d):
     return frequency.multi_frequency(_canvas(spark, d), RANGE)
 
@@ -384,6 +389,11 @@ ORACLE_SQL: dict[str, str] = {
     "range_text": _w(f"SELECT * FROM raw WHERE \"timestamp\" BETWEEN '{_TLO}' AND '{_THI}'", RAW_CTE),
     "category_frequency": _w(f'SELECT pixel_color, count(*) AS "count" FROM canvas WHERE {IN_RANGE} GROUP BY 1'),
     "point_frequency": _w(f'SELECT x_coord, y_coord, count(*) AS "count" FROM canvas WHERE {IN_RANGE} GROUP BY 1, 2'),
+    "text_coordinate_frequency": _w(
+        f'''SELECT coordinate, count(*) AS "count" FROM raw
+WHERE "timestamp" BETWEEN '{_TLO}' AND '{_THI}' GROUP BY coordinate''',
+        RAW_CTE,
+    ),
     "multi_frequency": _w(
         f"""SELECT CASE WHEN GROUPING(pixel_color) = 0 THEN 'category' ELSE 'point' END AS grouping_set,
        pixel_color, x_coord, y_coord, count(*) AS "count"
