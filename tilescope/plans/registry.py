@@ -146,6 +146,10 @@ def q_placement_histogram_capped(spark, d):
     return histogram.user_histogram(_canvas(spark, d), _hist_where(), cap=6)
 
 
+def q_placement_histogram_at_point(spark, d):
+    return histogram.user_histogram(_canvas(spark, d), _at_share_point(), cap=6)
+
+
 def q_block_counts(spark, d):
     return blocks.block_counts(_canvas(spark, d), BLOCK)
 
@@ -459,6 +463,16 @@ FROM (SELECT *, CAST(sum(num_users) OVER () AS BIGINT) AS tot FROM
       (SELECT least(placements, 6) AS placements_bin, count(*) AS num_users FROM u GROUP BY 1))""",
         _HIST_CTE,
     ),
+    "placement_histogram_at_point": _w(
+        f"""SELECT placements_bin,
+       CASE WHEN placements_bin < 6 THEN CAST(placements_bin AS VARCHAR) ELSE '6+' END AS bin_label,
+       num_users, {_pct('num_users', 'tot')} AS percentage,
+       {_fixed2('num_users * 100', 'tot', 10)} || '%' || chr(10) || CAST(num_users AS VARCHAR) AS annotation
+FROM (SELECT *, CAST(sum(num_users) OVER () AS BIGINT) AS tot FROM
+      (SELECT least(placements, 6) AS placements_bin, count(*) AS num_users FROM (
+         SELECT user_id_encoded, count(*) AS placements FROM canvas
+         WHERE x_coord = {SHARE_POINT[0]} AND y_coord = {SHARE_POINT[1]} GROUP BY 1) GROUP BY 1))"""
+    ),
     "block_counts": _w("SELECT * FROM bc", _BLOCKS_CTE),
     "block_matrix": _w(
         "SELECT block_y, "
