@@ -1,6 +1,7 @@
 """Bench: headline range queries plus every registered query; prints one JSON line.
 
-Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
+Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
+TILESCOPE_EVENT_LOG (optional folder for Spark's event log: stage and task times).
 
 Headline (the reference's baseline query): most-placed category and point in
 1-, 3- and 6-hour ranges.  As in the reference, the log is compacted once

@@ -135,6 +135,10 @@ def local_session(cores: int | str = "*", partitions: int = 8, app: str = "tiles
     )
     for k, v in session_defaults().items():
         builder = builder.config(k, v)
+    event_log = os.environ.get("TILESCOPE_EVENT_LOG")  # stage / task times without the UI
+    if event_log:
+        os.makedirs(event_log, exist_ok=True)
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
