@@ -2,10 +2,11 @@
 
 Usage: python tools/task_skew.py [sf_dir] [out_dir]
 
-Derives a table from ``events`` in which one user holds half of all rows
-(the canvas plus a copy of it assigned to a single user), runs each variant
-with Spark's event log on, and reports for every variant the largest number
-of shuffle records a single task read, and the total.
+Derives two tables from ``events``: one where a single user holds half of
+all rows (the canvas plus a copy assigned to one user), one where a single
+point does (the copy placed at (0, 0)).  Runs each variant with Spark's
+event log on and reports the largest number of shuffle records a single task
+read, and the total.
 """
 
 from __future__ import annotations
@@ -23,15 +24,25 @@ from pyspark.sql import Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 
-def variants(skewed):
+def variants(hot_user, hot_point):
+    from tilescope.operators.blocks import block_unique_users, top_blocks
+    from tilescope.operators.histogram import user_histogram
+    from tilescope.operators.points import top_categories_at, top_points
     from tilescope.operators.sessions import event_gaps, sessions, sessions_by_window
 
     w = Window.partitionBy("user_id_encoded").orderBy("timestamp")
+    at_origin = (F.col("x_coord") == 0) & (F.col("y_coord") == 0)
     return {
-        "sessions (bucket summaries)": lambda: sessions(skewed),
-        "sessions via session_window": lambda: sessions_by_window(skewed),
-        "event_gaps (sliced, 20k rows per slice)": lambda: event_gaps(skewed, rows_per_chunk=20_000),
-        "plain lag per user": lambda: skewed.select("user_id_encoded", "timestamp", F.lag("timestamp").over(w)),
+        "hot user: sessions (bucket summaries)": lambda: sessions(hot_user),
+        "hot user: Spark session_window per user": lambda: sessions_by_window(hot_user),
+        "hot user: event_gaps (slices of 20k rows)": lambda: event_gaps(hot_user, rows_per_chunk=20_000),
+        "hot user: plain lag per user": lambda: hot_user.select("user_id_encoded", "timestamp", F.lag("timestamp").over(w)),
+        "hot point: block_unique_users": lambda: block_unique_users(hot_point),
+        "hot point: top_blocks (dense grid)": lambda: top_blocks(hot_point),
+        "hot point: top_points": lambda: top_points(hot_point),
+        "hot point: top_categories_at": lambda: top_categories_at(hot_point, [(0, 0), (704, 0)]),
+        "hot point: user_histogram at the point": lambda: user_histogram(hot_point, at_origin),
+        "hot point: plain rows per point (no combine)": lambda: hot_point.repartition("x_coord", "y_coord"),
     }
 
 
@@ -60,10 +71,12 @@ def main() -> None:
     # into one task and hide where the work goes.
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     canvas = read_canvas(spark, sf_dir)
-    skewed = canvas.unionByName(canvas.withColumn("user_id_encoded", F.lit(-1).cast("bigint")))
+    hot_user = canvas.unionByName(canvas.withColumn("user_id_encoded", F.lit(-1).cast("bigint")))
+    hot_point = canvas.unionByName(canvas.withColumn("x_coord", F.lit(0)).withColumn("y_coord", F.lit(0)))
     rows = canvas.count() * 2
-    names = list(variants(skewed))
-    for name, build in variants(skewed).items():
+    built = variants(hot_user, hot_point)
+    names = list(built)
+    for name, build in built.items():
         spark.sparkContext.setJobDescription(name)
         build().write.format("noop").mode("overwrite").save()
     spark.sparkContext.setJobDescription(None)
@@ -88,7 +101,7 @@ def main() -> None:
                 read = (metrics.get("Shuffle Read Metrics") or {}).get("Total Records Read", 0)
                 if owner and read:
                     per_task[owner].append(read)
-    print(f"input rows: {rows}; the hot user holds {rows // 2}")
+    print(f"input rows: {rows}; the hot user (or point) holds {rows // 2}")
     print("| variant | largest task (shuffle records read) | all shuffle records read |")
     print("| --- | --- | --- |")
     for name in names:
