@@ -11,7 +11,7 @@ per-user merge that follows sees at most ``span / gap`` rows per user,
 independent of how many events the user has.
 
 Gaps: every event needs its predecessor, so rows cannot be reduced; ``lag``
-runs per (user, hour chunk, slice), where only (user, hour) pairs with very
+runs per (user, day chunk, slice), where only (user, day) pairs with very
 many rows are cut into slices of about ``rows_per_chunk`` rows, and the first
 row of a slice takes the user's last event of the previous active slice from
 a per-slice summary.
@@ -105,7 +105,7 @@ def _with_slices(base: DataFrame, chunk_hours: int, rows_per_chunk: int | None,
 
 
 def gap_slices(
-    df: DataFrame, chunk_hours: int = 1, rows_per_chunk: int | None = ROWS_PER_CHUNK, cols: Columns = CANVAS
+    df: DataFrame, chunk_hours: int = 24, rows_per_chunk: int | None = ROWS_PER_CHUNK, cols: Columns = CANVAS
 ) -> DataFrame:
     """Rows per (user, chunk, slice): the task sizes of :func:`event_gaps`."""
     base = _gap_base(df, chunk_hours, cols)
@@ -117,14 +117,14 @@ def gap_slices(
 
 
 def event_gaps(
-    df: DataFrame, chunk_hours: int = 1, rows_per_chunk: int | None = ROWS_PER_CHUNK, cols: Columns = CANVAS
+    df: DataFrame, chunk_hours: int = 24, rows_per_chunk: int | None = ROWS_PER_CHUNK, cols: Columns = CANVAS
 ) -> DataFrame:
     """Each event with its user's previous event time and the gap in seconds.
 
     ``lag`` runs per (user, chunk, slice): chunks are ``chunk_hours`` of wall
-    clock, and a (user, chunk) pair with more than ``rows_per_chunk`` rows is
-    cut into consecutive slices of about that many rows (see
-    :func:`_with_slices`).  The first row of a slice takes the user's last
+    clock (a day by default, so a sparse user has few chunk summaries), and a
+    (user, chunk) pair with more than ``rows_per_chunk`` rows is cut into
+    consecutive slices of about that many rows (see :func:`_with_slices`).  The first row of a slice takes the user's last
     event of the previous active slice from a per-slice maximum (a map-side
     combined aggregate), so only the ``lag`` pass shuffles data-sized rows.
     Rows with a NULL user or time are skipped.  ``rows_per_chunk=None``
