@@ -149,3 +149,8 @@ def test_day_directories_prune_ranges(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(day" in plan
     assert rows(got.drop("day")) == rows(time_range(canvas, rng))
     assert rows(time_range(table, rng, "left").drop("day")) == rows(time_range(canvas, rng, "left"))
+    midnight = TimeRange.parse("2024-01-10 00", "2024-01-12 00")
+    left_plan = time_range(table, midnight, "left")._jdf.queryExecution().executedPlan().toString()
+    assert "(day#" in left_plan and "<= 2024-01-11)" in left_plan
+    assert rows(time_range(table, midnight, "left").drop("day")) == rows(time_range(canvas, midnight, "left"))
+    assert rows(time_range(table, midnight, "both").drop("day")) == rows(time_range(canvas, midnight, "both"))

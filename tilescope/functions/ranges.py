@@ -15,7 +15,7 @@ directories when the query is planned.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -85,7 +85,10 @@ def time_range(df: DataFrame, rng: TimeRange | None, bounds: str = "both", colum
         return df
     pred = range_predicate(column, rng, bounds)
     if bounds != "text" and dict(df.dtypes).get(DAY_COLUMN) == "date":
+        # the last day that can hold a row: an exclusive end at midnight
+        # excludes that day's directory
+        last = rng.end - timedelta(microseconds=1) if bounds == "left" else rng.end
         pred = pred & F.col(DAY_COLUMN).between(
-            F.lit(rng.start.date().isoformat()).cast("date"), F.lit(rng.end.date().isoformat()).cast("date")
+            F.lit(rng.start.date().isoformat()).cast("date"), F.lit(last.date().isoformat()).cast("date")
         )
     return df.filter(pred)
