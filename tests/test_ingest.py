@@ -154,3 +154,19 @@ def test_day_directories_prune_ranges(spark, tmp_path):
     assert "(day#" in left_plan and "<= 2024-01-11)" in left_plan
     assert rows(time_range(table, midnight, "left").drop("day")) == rows(time_range(canvas, midnight, "left"))
     assert rows(time_range(table, midnight, "both").drop("day")) == rows(time_range(canvas, midnight, "both"))
+
+
+def test_ingest_csv_end_to_end(spark, tmp_path):
+    from tilescope.plans.ingest import ingest_csv
+    from tilescope.sources.sinks import latest_export
+
+    canvas = read_canvas(spark, SF_SMALL)
+    csv = str(tmp_path / "log")
+    write_raw_csv(raw_from_canvas(canvas), csv)
+    out = ingest_csv(spark, csv, str(tmp_path / "out"))
+    assert latest_export(spark, str(tmp_path / "out")).endswith(out.rsplit("/", 1)[1])
+    back = spark.read.parquet(out)
+    assert back.count() == 1000
+    assert rows(back.select("timestamp", "x_coord", "y_coord", "pixel_color")) == rows(
+        canvas.select("timestamp", "x_coord", "y_coord", "pixel_color")
+    )

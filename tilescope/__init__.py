@@ -28,7 +28,7 @@ from tilescope.operators.points import at_points, top_categories_at, top_points
 from tilescope.operators.series import hourly_counts, hourly_melt, hourly_series, hourly_wide
 from tilescope.operators.sessions import event_gaps, session_stats, sessions
 from tilescope.operators.share import category_share, category_share_at
-from tilescope.plans.ingest import compact, export, load_log, parse_raw
+from tilescope.plans.ingest import compact, export, ingest_csv, load_log, parse_raw
 from tilescope.sources.canvas import canvas_from_events, read_canvas
 from tilescope.sources.raw import raw_from_canvas, read_raw_csv, write_raw_csv
 

@@ -86,3 +86,13 @@ def export(df: DataFrame, directory: str, template: str | None = None, **kwargs)
     """Write the compacted table under a run-stamped name; returns the path."""
     path = stamped_path(directory, template) if template else stamped_path(directory)
     return export_parquet(df, path, **kwargs)
+
+
+def ingest_csv(spark: SparkSession, csv_path: str, directory: str, infer: bool = False, **kwargs) -> str:
+    """Raw CSV log -> compacted, day-partitioned ZSTD Parquet under a run-stamped
+    name in ``directory``; returns the written path.
+
+    Two passes over the log: distinct users for the codes, then encode and
+    write.  ``kwargs`` go to :func:`tilescope.sources.sinks.export_parquet`.
+    """
+    return export(compact(read_raw_csv(spark, csv_path, infer=infer)), directory, **kwargs)
