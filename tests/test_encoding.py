@@ -36,3 +36,28 @@ def test_encode_keeps_every_row(spark):
     enc = encode(raw, "user_id", "code")
     assert enc.count() == raw.count()
     assert enc.filter("code IS NULL").count() == 0
+
+
+def test_encode_through_shuffle_join(spark, monkeypatch):
+    """Above the broadcast bound the codes are joined with a shuffle join (NULL-safe)."""
+    import tilescope.operators.encoding as enc_mod
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(enc_mod, "broadcast_if_bounded", lambda df, rows, limit=10: df)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        raw = raw_from_canvas(read_canvas(spark, SF_ORACLE))
+        raw = raw.withColumn("user_id", F.when(F.col("user_id") == "7", F.lit(None)).otherwise(F.col("user_id")))
+        enc = encode(raw, "user_id", "code")
+        plan = enc._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
+        window_codes = {r[0]: r[1] for r in dense_codes_window(raw, "user_id", "code").collect()}
+        got = enc.select("code").collect()
+        want = [(window_codes[r[0]],) for r in raw.select("user_id").collect()]
+        assert sorted(got) == sorted(want)
+        assert window_codes[None] == max(window_codes.values())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
