@@ -29,3 +29,30 @@ def test_stream_matches_batch(spark, tmp_path):
     sess = run_stream(spark, sessions_stream(stream, watermark="0 seconds"), tmp_path, "sess_out")
     got_s = set(rows(sess))
     assert got_s and got_s <= set(rows(sessions(batch)))
+
+
+def test_session_stream_watermark_drops_late_rows(spark, tmp_path, canvas):
+    src = str(tmp_path / "live")
+    batch1 = [
+        ("2022-04-02 10:00:00", 1, 0, 0, "a"),
+        ("2022-04-02 10:05:00", 1, 0, 0, "a"),
+        ("2022-04-02 12:00:00", 3, 0, 0, "a"),  # moves the watermark to 11:50
+    ]
+    canvas(batch1).write.parquet(f"{src}/b1")
+    stream = spark.readStream.schema(CANVAS_SCHEMA).option("recursiveFileLookup", "true").parquet(src)
+    q = (
+        sessions_stream(stream, watermark="10 minutes")
+        .writeStream.outputMode("append")
+        .format("memory")
+        .queryName("live_sessions")
+        .option("checkpointLocation", str(tmp_path / "ckpt"))
+        .start()
+    )
+    try:
+        q.processAllAvailable()
+        canvas([("2022-04-02 10:10:00", 1, 0, 0, "a")]).write.parquet(f"{src}/b2")  # later than the watermark
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = rows(spark.table("live_sessions").select("user_id_encoded", "events", "length_us"))
+    assert got == [(1, 2, 300_000_000)]
