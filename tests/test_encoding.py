@@ -61,3 +61,35 @@ def test_encode_through_shuffle_join(spark, monkeypatch):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_hot_user_join_is_split_by_aqe(spark, monkeypatch):
+    """Above the broadcast bound, AQE splits the hot user's partition of the join."""
+    import tilescope.operators.encoding as enc_mod
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(enc_mod, "broadcast_if_bounded", lambda df, rows, limit=10: df)
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        canvas = read_canvas(spark, SF_ORACLE)
+        hot = canvas.unionByName(canvas.withColumn("user_id_encoded", F.lit(-1).cast("bigint")))
+        enc = encode(raw_from_canvas(hot), "user_id", "code")
+        out = enc.collect()  # runs this DataFrame's own adaptive plan
+        plan = enc._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan
+        assert len(out) == 20_000 and all(r["code"] is not None for r in out)
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
