@@ -170,3 +170,18 @@ def test_ingest_csv_end_to_end(spark, tmp_path):
     assert rows(back.select("timestamp", "x_coord", "y_coord", "pixel_color")) == rows(
         canvas.select("timestamp", "x_coord", "y_coord", "pixel_color")
     )
+
+
+def test_inferred_utc_text_under_other_session_zone(spark, tmp_path):
+    path = write_csv(tmp_path, ['2022-04-01 12:44:10.315 UTC,1,#FF4500,"42,43"'])
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = read_raw_csv(spark, path, infer=True)
+        got = df.collect()[0][0]
+        typ = dict(df.dtypes)["timestamp"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    if typ == "timestamp_ntz":
+        assert got == datetime(2022, 4, 1, 12, 44, 10, 315000)
+    else:  # the reader kept it as text
+        assert typ == "string"

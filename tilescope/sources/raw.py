@@ -26,8 +26,8 @@ def read_raw_csv(spark: SparkSession, path: str, infer: bool = False) -> DataFra
     """Scan the CSV log: header row, quoted fields, one record per line (splittable).
 
     ``infer=False`` uses the fixed four-string schema.  ``infer=True`` lets the
-    reader pick types; a timestamp it infers is zoned, so it is turned back
-    into ``timestamp_ntz``.
+    reader pick types; a timestamp it infers is zoned, so it is turned into
+    the ``timestamp_ntz`` of its UTC wall clock.
     """
     reader = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", False)
     if not infer:
@@ -35,7 +35,10 @@ def read_raw_csv(spark: SparkSession, path: str, infer: bool = False) -> DataFra
     df = reader.option("inferSchema", True).csv(path)
     ts_type = dict(df.dtypes).get("timestamp")
     if ts_type == "timestamp":
-        df = df.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+        # an inferred zoned value is an instant; keep its UTC wall clock
+        # whatever the session zone is
+        local = F.col("timestamp").cast("timestamp_ntz")
+        df = df.withColumn("timestamp", F.convert_timezone(F.current_timezone(), F.lit("UTC"), local))
     return df
 
 
