@@ -83,3 +83,11 @@ def test_top_categories_per_point(canvas):
 def test_ordered_hourly(canvas):
     got = [r[0] for r in hourly_counts(canvas(F11), POINTS, ordered=True).collect()]
     assert got == sorted(got)
+
+
+def test_point_predicate_reaches_parquet_scan(spark, canvas, tmp_path):
+    path = str(tmp_path / "pts.parquet")
+    canvas(F11).write.parquet(path)
+    plan = at_points(spark.read.parquet(path), POINTS)._jdf.queryExecution().executedPlan().toString()
+    pushed = plan[plan.index("PushedFilters"):]
+    assert "EqualTo(x_coord,0)" in pushed and "EqualTo(y_coord,1)" in pushed and "Or(" in pushed
