@@ -3,7 +3,18 @@
 Every function takes and returns DataFrames; the caller owns the session.
 """
 
-from tilescope.config import CANVAS, Columns
+from tilescope.config import CANVAS, Columns, materialize
+from tilescope.functions.exprs import (
+    bin_label,
+    block_label,
+    count_label,
+    hour_of,
+    percentage,
+    point_label,
+    ratio_text,
+    share_annotation,
+    thousands,
+)
 from tilescope.functions.ranges import TimeRange, time_range
 from tilescope.operators.blocks import (
     block_counts,
@@ -25,11 +36,12 @@ from tilescope.operators.frequency import (
 )
 from tilescope.operators.histogram import placement_histogram, user_counts, user_histogram
 from tilescope.operators.points import at_points, top_categories_at, top_points
-from tilescope.operators.series import hourly_counts, hourly_melt, hourly_series, hourly_wide
-from tilescope.operators.sessions import event_gaps, session_stats, sessions
+from tilescope.operators.series import hourly_counts, hourly_melt, hourly_series, hourly_wide, point_labels
+from tilescope.operators.sessions import event_gaps, gap_slices, session_stats, sessions
 from tilescope.operators.share import category_share, category_share_at
 from tilescope.plans.ingest import compact, export, ingest_csv, load_log, parse_raw
 from tilescope.sources.canvas import canvas_from_events, read_canvas
 from tilescope.sources.raw import raw_from_canvas, read_raw_csv, write_raw_csv
+from tilescope.sources.sinks import export_parquet, latest_export, stamped_path
 
-__all__ = [name for name in dir() if not name.startswith("_")]
+__all__ = [name for name in dir() if not name.startswith("_") and name not in {"config", "functions", "operators", "plans", "sources"}]
