@@ -102,3 +102,14 @@ def test_ordered_outputs(canvas):
     got = [tuple(r) for r in block_counts(df, ordered=True).collect()]
     assert got == [(0, 0, 2), (3, 0, 1), (0, 2, 1)]
     assert [r[0] for r in block_matrix(df).collect()] == [0, 2]
+
+
+def test_sparse_ranking_and_negative_blocks(canvas):
+    df = at(canvas, [(-150, -1), (-150, -2), (0, 0), (250, 99)])
+    dense = rows(block_grid(df))
+    # observed rows -1, 0 and columns -2, 0, 2 -> 6 cells
+    assert len(dense) == 6 and sum(r[2] for r in dense) == 4
+    assert (-1, 0, 0) in dense and (0, -2, 0) in dense
+    sparse = [r[:4] for r in top_blocks(df, k=10, dense=False).collect()]
+    assert sparse[0][1:] == (-2, -1, 2)
+    assert len(sparse) == 3  # empty cells do not compete without the dense grid

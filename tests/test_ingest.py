@@ -185,3 +185,13 @@ def test_inferred_utc_text_under_other_session_zone(spark, tmp_path):
         assert got == datetime(2022, 4, 1, 12, 44, 10, 315000)
     else:  # the reader kept it as text
         assert typ == "string"
+
+
+def test_quarantine_keeps_null_coordinates_as_good_rows(spark):
+    raw = spark.createDataFrame(
+        [("2022-04-01 00:00:00 UTC", "a", "#000000", None), ("2022-04-01 00:00:01 UTC", "b", "#000000", "x,1")],
+        RAW_DDL,
+    )
+    good, bad = parse_raw(raw, "quarantine")
+    assert [r["user_id"] for r in good.collect()] == ["a"]
+    assert [r["coordinate"] for r in bad.collect()] == ["x,1"]
