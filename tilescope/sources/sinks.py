@@ -37,7 +37,9 @@ def export_parquet(
     calendar day of ``time_col``; :func:`tilescope.functions.ranges.time_range`
     adds a matching ``day`` predicate, so a range query lists and reads only
     the directories of its days (partition pruning at planning time).  The
-    rows are rebalanced by day (one shuffle, sizes evened out by AQE).
+    rows are rebalanced by day (one shuffle, sizes evened out by AQE; with
+    AQE off the hint is a plain hash by day, and a day holding most rows
+    would be written by one task).
 
     Without day directories the rows are range-partitioned by time (the
     other columns break ties), so files cover disjoint time slices; this
