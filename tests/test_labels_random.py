@@ -43,3 +43,30 @@ def test_ratio_text_matches_exact_rule(spark):
     df = spark.createDataFrame(pairs, "a bigint, b bigint").select("a", "b", ratio_text("a", "b", 2).alias("t"))
     wrong = [(a, b, t, ratio_rule(a, b)) for a, b, t in df.collect() if t != ratio_rule(a, b)]
     assert not wrong, wrong[:5]
+
+
+def test_percentage_matches_oracle_expression(spark):
+    import duckdb
+
+    from tilescope.functions.exprs import percentage
+
+    rnd = random.Random(5)
+    pairs = [(rnd.randrange(0, 5000), rnd.randrange(1, 5000)) for _ in range(2000)]
+    pairs += [(k, d) for d in (8, 16, 80, 400, 800, 1600, 8000) for k in range(1, 160, 3)]  # halves
+    pairs += [(0, 0), (3, 0)]
+    got = {
+        (a, b): p
+        for a, b, p in spark.createDataFrame(pairs, "a bigint, b bigint")
+        .select("a", "b", percentage("a", "b").alias("p"))
+        .collect()
+    }
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t (a BIGINT, b BIGINT)")
+    con.executemany("INSERT INTO t VALUES (?, ?)", pairs)
+    want = {
+        (a, b): p
+        for a, b, p in con.execute(
+            "SELECT a, b, round((100.0::DOUBLE * a / nullif(b, 0)) * 100.0, 0) / 100.0 FROM t"
+        ).fetchall()
+    }
+    assert got == want
