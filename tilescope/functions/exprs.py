@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tilescope.constants import LABEL_MAX_DECIMALS, LABEL_SIGNIFICANT_DIGITS, LABEL_UNITS, PERCENT_DECIMALS
+
 
 def _c(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -20,8 +22,9 @@ def percentage(part: str | Column, whole: str | Column, on_empty: float | None =
     Rounding goes through ``round(x * 100, 0) / 100`` on doubles, which is the
     form that agrees with the SQL oracle on ties.
     """
+    scale = float(10**PERCENT_DECIMALS)
     ratio = F.try_divide(F.lit(100.0) * _c(part), _c(whole))
-    pct = F.round(ratio * F.lit(100.0), 0) / F.lit(100.0)
+    pct = F.round(ratio * F.lit(scale), 0) / F.lit(scale)
     if on_empty is not None:
         pct = F.coalesce(pct, F.lit(float(on_empty)))
     return pct
@@ -66,23 +69,30 @@ def count_label(n: str | Column) -> Column:
     """
     n = _c(n).cast("bigint")
 
-    def scaled(unit: int) -> Column:
-        return n.cast("decimal(20,0)") / F.lit(unit).cast("decimal(20,0)")
-
     def fixed(unit: int, decimals: int) -> Column:
-        text = F.round(scaled(unit), decimals).cast("string")
+        value = n.cast("decimal(20,0)") / F.lit(unit).cast("decimal(20,0)")
+        text = F.round(value, decimals).cast("string")
         if decimals == 0:
             return text
         return F.regexp_replace(F.regexp_replace(text, "0+$", ""), "\\.$", "")
 
-    return (
-        F.when(n < 1_000, n.cast("string"))
-        .when(n < 100_000, F.concat(fixed(1_000, 2), F.lit("K")))
-        .when(n < 1_000_000, F.concat(fixed(1_000, 1), F.lit("K")))
-        .when(n < 100_000_000, F.concat(fixed(1_000_000, 2), F.lit("M")))
-        .when(n < 1_000_000_000, F.concat(fixed(1_000_000, 1), F.lit("M")))
-        .otherwise(F.concat(fixed(1_000_000, 0), F.lit("M")))
-    )
+    units = sorted(LABEL_UNITS)  # ascending, e.g. thousands then millions
+    label = F.when(n < units[0][0], n.cast("string"))
+    for i, (unit, suffix) in enumerate(units):
+        upper = units[i + 1][0] if i + 1 < len(units) else None
+        digits = 1
+        while True:
+            decimals = max(0, min(LABEL_MAX_DECIMALS, LABEL_SIGNIFICANT_DIGITS - digits))
+            hi = unit * 10**digits
+            if upper is not None and hi >= upper:
+                label = label.when(n < upper, F.concat(fixed(unit, decimals), F.lit(suffix)))
+                break
+            if upper is None and decimals == 0:
+                label = label.otherwise(F.concat(fixed(unit, 0), F.lit(suffix)))
+                break
+            label = label.when(n < hi, F.concat(fixed(unit, decimals), F.lit(suffix)))
+            digits += 1
+    return label
 
 
 def ratio_text(num: str | Column, den: str | Column, decimals: int = 2) -> Column:
@@ -93,9 +103,9 @@ def ratio_text(num: str | Column, den: str | Column, decimals: int = 2) -> Colum
     return _fixed_text(scaled, F.lit(decimals))
 
 
-def share_annotation(part: str | Column, whole: str | Column) -> Column:
+def share_annotation(part: str | Column, whole: str | Column, decimals: int = 1) -> Column:
     """Bar annotation: percentage with one decimal, newline, raw count."""
-    return F.concat(ratio_text(_c(part) * 100, whole, 1), F.lit("%\n"), _c(part).cast("string"))
+    return F.concat(ratio_text(_c(part) * 100, whole, decimals), F.lit("%\n"), _c(part).cast("string"))
 
 
 def block_letters(block_y: str | Column) -> Column:

@@ -20,7 +20,9 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOUR_FORMAT = "%Y-%m-%d %H"
+from tilescope.constants import HOUR_ARGUMENT_FORMAT
+
+HOUR_FORMAT = HOUR_ARGUMENT_FORMAT
 DAY_COLUMN = "day"  # partition column written by sources.sinks.export_parquet
 BOUNDS = ("both", "left", "text")
 

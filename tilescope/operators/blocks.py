@@ -8,15 +8,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tilescope.config import CANVAS, Columns, materialize
+from tilescope.constants import BLOCK_SIZE, RATIO_DECIMALS, TOP_BLOCKS, TOP_INTENSITY_BLOCKS
 from tilescope.functions.exprs import block_index, block_label, count_label, ratio_text, thousands
 from tilescope.operators.frequency import top_k
 
 
-def with_blocks(df: DataFrame, size: int = 100, cols: Columns = CANVAS) -> DataFrame:
+def with_blocks(df: DataFrame, size: int = BLOCK_SIZE, cols: Columns = CANVAS) -> DataFrame:
     return df.withColumn("block_x", block_index(cols.x, size)).withColumn("block_y", block_index(cols.y, size))
 
 
-def block_counts(df: DataFrame, size: int = 100, cols: Columns = CANVAS, ordered: bool = False) -> DataFrame:
+def block_counts(df: DataFrame, size: int = BLOCK_SIZE, cols: Columns = CANVAS, ordered: bool = False) -> DataFrame:
     """(block_x, block_y, placements) for observed blocks; ``ordered`` sorts by
     (block_y, block_x) (a range shuffle over at most canvas / size^2 rows)."""
     out = df.groupBy(block_index(cols.x, size).alias("block_x"), block_index(cols.y, size).alias("block_y")).agg(
@@ -25,7 +26,7 @@ def block_counts(df: DataFrame, size: int = 100, cols: Columns = CANVAS, ordered
     return out.orderBy("block_y", "block_x") if ordered else out
 
 
-def block_unique_users(df: DataFrame, size: int = 100, approx_rsd: float | None = None, cols: Columns = CANVAS) -> DataFrame:
+def block_unique_users(df: DataFrame, size: int = BLOCK_SIZE, approx_rsd: float | None = None, cols: Columns = CANVAS) -> DataFrame:
     """Placements and distinct users per block.
 
     Exact distinct plans as a two-level aggregate (block, user) -> block, both
@@ -41,7 +42,7 @@ def block_unique_users(df: DataFrame, size: int = 100, approx_rsd: float | None
 
 
 def block_intensity(
-    df: DataFrame, size: int = 100, k: int | None = 10, approx_rsd: float | None = None, cols: Columns = CANVAS
+    df: DataFrame, size: int = BLOCK_SIZE, k: int | None = TOP_INTENSITY_BLOCKS, approx_rsd: float | None = None, cols: Columns = CANVAS
 ) -> DataFrame:
     """Placements per user per observed block, optionally the top k by ratio.
 
@@ -56,12 +57,12 @@ def block_intensity(
         "placements",
         "unique_users",
         F.try_divide(F.col("placements").cast("double"), F.col("unique_users")).alias("ppu"),
-        ratio_text("placements", "unique_users", 2).alias("ppu_text"),
+        ratio_text("placements", "unique_users", RATIO_DECIMALS).alias("ppu_text"),
     )
     return out if k is None else top_k(out, k, "ppu", ["block_y", "block_x"])
 
 
-def block_grid(df: DataFrame, size: int = 100, dense: bool = True, cols: Columns = CANVAS) -> DataFrame:
+def block_grid(df: DataFrame, size: int = BLOCK_SIZE, dense: bool = True, cols: Columns = CANVAS) -> DataFrame:
     """Long grid (block_y, block_x, placements).
 
     ``dense=True``: every observed row x every observed column, 0 where empty
@@ -80,7 +81,7 @@ def block_grid(df: DataFrame, size: int = 100, dense: bool = True, cols: Columns
     )
 
 
-def block_matrix(df: DataFrame, size: int = 100, values: Sequence[int] | None = None, cols: Columns = CANVAS) -> DataFrame:
+def block_matrix(df: DataFrame, size: int = BLOCK_SIZE, values: Sequence[int] | None = None, cols: Columns = CANVAS) -> DataFrame:
     """Wide matrix: one row per observed block_y, one column per block_x, 0 if empty.
 
     Without ``values`` the pivot first reads the distinct block_x values
@@ -93,7 +94,7 @@ def block_matrix(df: DataFrame, size: int = 100, values: Sequence[int] | None =
     return wide.fillna(0, subset=value_cols).orderBy("block_y")
 
 
-def top_blocks(df: DataFrame, size: int = 100, k: int = 20, dense: bool = True, cols: Columns = CANVAS) -> DataFrame:
+def top_blocks(df: DataFrame, size: int = BLOCK_SIZE, k: int = TOP_BLOCKS, dense: bool = True, cols: Columns = CANVAS) -> DataFrame:
     """Blocks ranked by placements (empty cells of the dense grid compete too)."""
     grid = block_grid(df, size, dense, cols)
     ranked = top_k(grid, k, "placements", ["block_y", "block_x"])

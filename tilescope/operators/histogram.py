@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tilescope.config import CANVAS, Columns
+from tilescope.constants import HISTOGRAM_CAP, SHARE_DECIMALS
 from tilescope.functions.exprs import bin_label, percentage, share_annotation
 
 
@@ -23,7 +24,9 @@ def placement_histogram(
     return out.orderBy("placements") if ordered else out
 
 
-def user_histogram(df: DataFrame, where: Column | None = None, cap: int = 6, cols: Columns = CANVAS) -> DataFrame:
+def user_histogram(
+    df: DataFrame, where: Column | None = None, cap: int = HISTOGRAM_CAP, cols: Columns = CANVAS
+) -> DataFrame:
     """Capped histogram: counts of ``cap`` or more share one bin labelled ``cap+``.
 
     The share uses a total over at most ``cap`` rows, so its window never
@@ -37,5 +40,5 @@ def user_histogram(df: DataFrame, where: Column | None = None, cap: int = 6, col
         bin_label("placements_bin", cap).alias("bin_label"),
         "num_users",
         percentage("num_users", total).alias("percentage"),
-        share_annotation("num_users", total).alias("annotation"),
+        share_annotation("num_users", total, SHARE_DECIMALS).alias("annotation"),
     ).orderBy("placements_bin")

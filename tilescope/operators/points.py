@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tilescope.config import CANVAS, Columns, broadcast_if_bounded
+from tilescope.constants import TOP_CATEGORIES_PER_POINT, TOP_POINTS
 from tilescope.functions.exprs import point_label
 from tilescope.operators.frequency import frequency, top_k
 
@@ -45,13 +46,13 @@ def at_points(df: DataFrame, points: Points | DataFrame, bound: int | None = Non
     return df.join(broadcast_if_bounded(keys, bound), [cols.x, cols.y], "left_semi").select(*df.columns)
 
 
-def top_points(df: DataFrame, k: int = 10, cols: Columns = CANVAS, count: str = "placement_count") -> DataFrame:
+def top_points(df: DataFrame, k: int = TOP_POINTS, cols: Columns = CANVAS, count: str = "placement_count") -> DataFrame:
     """The k most used points (R7); ties go to the smaller (x, y)."""
     return top_k(frequency(df, [cols.x, cols.y], cols=cols, count=count), k, count, [cols.x, cols.y])
 
 
 def top_categories_at(
-    df: DataFrame, points: Points | DataFrame, k: int = 3, bound: int | None = None, cols: Columns = CANVAS
+    df: DataFrame, points: Points | DataFrame, k: int = TOP_CATEGORIES_PER_POINT, bound: int | None = None, cols: Columns = CANVAS
 ) -> DataFrame:
     """For each listed point, its k most frequent categories.
 

@@ -25,10 +25,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tilescope.config import CANVAS, Columns, broadcast_if_bounded, materialize
+from tilescope.constants import SESSION_GAP
 from tilescope.functions.exprs import hours_since_epoch, micros_between, seconds_between
 from tilescope.functions.ranges import TimeRange, time_range
 
-DEFAULT_GAP = timedelta(minutes=15)
+DEFAULT_GAP = SESSION_GAP
 
 
 def _chunk(ts: str, chunk_hours: int) -> Column:

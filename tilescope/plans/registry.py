@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tilescope.config import CANVAS, Columns, scratch_path
+from tilescope.constants import BLOCK_SIZE, HISTOGRAM_CAP
 from tilescope.functions.exprs import block_index, block_label, count_label, thousands
 from tilescope.functions.ranges import TimeRange, time_range
 from tilescope.operators import blocks, frequency, histogram, points, series, sessions, share
@@ -29,7 +30,8 @@ POINTS = [(704, 0), (900, 0), (304, 30)]
 SHARE_VALUE = "Click"
 SHARE_POINT = (704, 0)
 HIST_BLOCK_X = 0
-BLOCK = 100
+BLOCK = BLOCK_SIZE
+CAP = HISTOGRAM_CAP
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -143,11 +145,11 @@ def q_placement_histogram(spark, d):
 
 
 def q_placement_histogram_capped(spark, d):
-    return histogram.user_histogram(_canvas(spark, d), _hist_where(), cap=6)
+    return histogram.user_histogram(_canvas(spark, d), _hist_where(), cap=CAP)
 
 
 def q_placement_histogram_at_point(spark, d):
-    return histogram.user_histogram(_canvas(spark, d), _at_share_point(), cap=6)
+    return histogram.user_histogram(_canvas(spark, d), _at_share_point(), cap=CAP)
 
 
 def q_block_counts(spark, d):
@@ -456,20 +458,20 @@ WHERE x_coord = {SHARE_POINT[0]} AND y_coord = {SHARE_POINT[1]} GROUP BY 1"""
     "placement_histogram": _w("SELECT placements, count(*) AS num_users FROM u GROUP BY 1", _HIST_CTE),
     "placement_histogram_capped": _w(
         f"""SELECT placements_bin,
-       CASE WHEN placements_bin < 6 THEN CAST(placements_bin AS VARCHAR) ELSE '6+' END AS bin_label,
+       CASE WHEN placements_bin < {CAP} THEN CAST(placements_bin AS VARCHAR) ELSE '{CAP}+' END AS bin_label,
        num_users, {_pct('num_users', 'tot')} AS percentage,
        {_fixed2('num_users * 100', 'tot', 10)} || '%' || chr(10) || CAST(num_users AS VARCHAR) AS annotation
 FROM (SELECT *, CAST(sum(num_users) OVER () AS BIGINT) AS tot FROM
-      (SELECT least(placements, 6) AS placements_bin, count(*) AS num_users FROM u GROUP BY 1))""",
+      (SELECT least(placements, {CAP}) AS placements_bin, count(*) AS num_users FROM u GROUP BY 1))""",
         _HIST_CTE,
     ),
     "placement_histogram_at_point": _w(
         f"""SELECT placements_bin,
-       CASE WHEN placements_bin < 6 THEN CAST(placements_bin AS VARCHAR) ELSE '6+' END AS bin_label,
+       CASE WHEN placements_bin < {CAP} THEN CAST(placements_bin AS VARCHAR) ELSE '{CAP}+' END AS bin_label,
        num_users, {_pct('num_users', 'tot')} AS percentage,
        {_fixed2('num_users * 100', 'tot', 10)} || '%' || chr(10) || CAST(num_users AS VARCHAR) AS annotation
 FROM (SELECT *, CAST(sum(num_users) OVER () AS BIGINT) AS tot FROM
-      (SELECT least(placements, 6) AS placements_bin, count(*) AS num_users FROM (
+      (SELECT least(placements, {CAP}) AS placements_bin, count(*) AS num_users FROM (
          SELECT user_id_encoded, count(*) AS placements FROM canvas
          WHERE x_coord = {SHARE_POINT[0]} AND y_coord = {SHARE_POINT[1]} GROUP BY 1) GROUP BY 1))"""
     ),

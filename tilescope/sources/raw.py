@@ -6,16 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tilescope.config import CANVAS, Columns
+from tilescope.constants import RAW_TIME_SUFFIX, RAW_TIME_TEXT
 
 RAW_DDL = "timestamp STRING, user_id STRING, pixel_color STRING, coordinate STRING"
 RAW_COLUMNS = ("timestamp", "user_id", "pixel_color", "coordinate")
-TEXT_TIME_PATTERN = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+TEXT_TIME_PATTERN = RAW_TIME_TEXT
 
 
 def raw_from_canvas(df: DataFrame, cols: Columns = CANVAS) -> DataFrame:
     """Render typed rows in the raw log's text form (six fraction digits + `` UTC``)."""
     return df.select(
-        F.concat(F.date_format(F.col(cols.time), TEXT_TIME_PATTERN), F.lit(" UTC")).alias("timestamp"),
+        F.concat(F.date_format(F.col(cols.time), TEXT_TIME_PATTERN), F.lit(RAW_TIME_SUFFIX)).alias("timestamp"),
         F.col(cols.user).cast("string").alias("user_id"),
         F.col(cols.category).alias("pixel_color"),
         F.concat_ws(",", F.col(cols.x).cast("string"), F.col(cols.y).cast("string")).alias("coordinate"),

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tilescope.config import target_partitions
+from tilescope.constants import PARQUET_COMPRESSION, ROW_GROUP_ROWS
 
 DEFAULT_TEMPLATE = "placements_%Y%m%d_%H%M%S.parquet"
-ROW_GROUP_ROWS = 100_000
 DAY_COLUMN = "day"
 
 
@@ -63,7 +63,7 @@ def export_parquet(
             writer = out.write
     (
         writer.mode(mode)
-        .option("compression", "zstd")
+        .option("compression", PARQUET_COMPRESSION)
         .option("parquet.block.row.count.limit", row_group_rows)
         .parquet(path)
     )
