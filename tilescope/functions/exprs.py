@@ -1,7 +1,8 @@
 """Column expressions shared by the analytics (all JVM-side built-ins).
 
 Decimal rounding rules are exact: counts are integers, so every rounded text
-is computed from integer arithmetic with HALF_UP, never from a binary float.
+is computed with HALF_UP from integer or exact decimal arithmetic, never from
+a binary float.
 """
 
 from __future__ import annotations
