@@ -132,6 +132,7 @@ def local_session(cores: int | str = "*", partitions: int = 8, app: str = "tiles
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", os.environ.get("TILESCOPE_DRIVER_MEMORY", "8g"))
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="tilescope-wh-"))
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in session_defaults().items():
         builder = builder.config(k, v)
