@@ -58,3 +58,19 @@ def test_plan_invariants(spark, name):
     plan = entry.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert bad not in plan, (name, bad)
+
+
+def test_every_query_has_rows_at_the_check_scale():
+    """No registered query is trivially empty on the sf0.01 tables."""
+    from conftest import SF_ORACLE
+
+    from tilescope.plans.registry import POINTS, SHARE_POINT
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{SF_ORACLE}/events.parquet')")
+    empty = [n for n, sql in entry.oracle_sql().items() if con.execute(f"SELECT count(*) FROM ({sql})").fetchone()[0] == 0]
+    assert not empty
+    canvas = entry.oracle_sql()["canvas_projection"]
+    for x, y in list(POINTS) + [SHARE_POINT]:
+        n = con.execute(f"SELECT count(*) FROM ({canvas}) WHERE x_coord = {x} AND y_coord = {y}").fetchone()[0]
+        assert n > 0, (x, y)
