@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tilescope.config import checkpoint_dir
 
@@ -23,24 +24,32 @@ def fold(doc_id: Column, parts: int) -> Column:
     return F.crc32(doc_id.cast("string")) % F.lit(parts)
 
 
-def ranked(df: DataFrame, group: list[str], bucket: Column, order: list[Column], rank: str) -> DataFrame:
+def ranked(df: DataFrame, group: list[str], bucket: Column, order: list[Column], rank: str, total: str | None = None) -> DataFrame:
     """Exact rank from 0 of every row in its group, without a window over a whole group.
 
     ``bucket`` must not decrease along ``order``.  Rows are counted by (group,
     bucket), running sums over these counts give each bucket's first rank, and
     row_number runs inside single buckets only; both sides are hashed alike, so
-    rows move once.
+    rows move once.  ``total`` names a column for the group's row count.
     """
     keyed = df.withColumn("_bucket", bucket)
     sizes = keyed.groupBy(*group, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*(group or [F.lit(0)])).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    whole = Window.partitionBy(*(group or [F.lit(0)]))
+    sizes = sizes.select(
+        *group, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"), F.sum("_n").over(whole).alias("_all")
+    )
     inside = F.row_number().over(Window.partitionBy(*group, "_bucket").orderBy(*order)) - F.lit(1)
     numbered = keyed.withColumn("_inside", inside)
     a, b = numbered.alias("a"), sizes.alias("b")
     same = F.lit(True)
     for k in [*group, "_bucket"]:
         same = same & F.col(f"a.`{k}`").eqNullSafe(F.col(f"b.`{k}`"))
-    return a.join(b, same).select(
-        *[F.col(f"a.`{c}`") for c in df.columns], (F.col("b._before") + F.col("a._inside")).cast("long").alias(rank)
-    )
+    extra = [F.col("b._all").alias(total)] if total else []
+    place = (F.col("b._before") + F.col("a._inside")).cast("long").alias(rank)
+    return a.join(b, same).select(*[F.col(f"a.`{c}`") for c in df.columns], place, *extra)
+
+
+def widened(schema: StructType, ddl: str) -> StructType:
+    """``schema`` with the fields of a DDL string behind its own."""
+    return StructType([*schema.fields, *StructType.fromDDL(ddl).fields])

@@ -27,9 +27,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-from tilescope.llm.common import fold
+from tilescope.llm.common import fold, widened
 from tilescope.llm.textkit import slices, text_array
 
 UNKNOWN = "und"
@@ -212,9 +211,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text", block: int = 512
                 new = [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(phrase, pa.float64())]
                 yield pa.RecordBatch.from_arrays([*part.columns, *new], names=[*part.schema.names, *added])
 
-    schema = StructType(list(base.schema.fields))
-    for name, kind in zip(added, ("string", "double", "double")):
-        schema = schema.add(name, kind)
+    schema = widened(base.schema, "lang_pred string, score double, phrase_length double")
     return base.mapInArrow(run, schema)
 
 
