@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
-from tilescope.llm import repeats, sharding, warc
+from tilescope.llm import contamination, fingerprints, repeats, sharding, warc
 from tilescope.llm.languages import op6_language_id
 from tilescope.llm.mixing import op1_mixing
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op3_decontamination": contamination.op3_decontamination,
     "op4_sharding": sharding.op4_sharding,
     "op5_suffix_array": repeats.op5_suffix_array,
     "op6_language_id": op6_language_id,
+    "op7_fingerprints": fingerprints.op7_fingerprints,
     "op9_warc": warc.op9_warc,
     "op10_substring_dedup": repeats.op10_substring_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_decontamination": contamination.ORACLE_SQL,
     "op4_sharding": sharding.ORACLE_SQL,
     "op9_warc": warc.ORACLE_SQL,
     **repeats.ORACLE_SQL,

@@ -42,7 +42,7 @@ FILTER_BITS = 28  # log2 of the filter's size in bits: 32 MB
 FEWER_BITS = 2  # the filter of hashes that occur twice is so much smaller
 PROBES = 3
 BUCKET_BYTES = 24 << 20  # input bytes of text for each bucket of hashes
-FLUSH = 2_000_000  # rows a task gathers before it hands them on
+FLUSH = 1_000_000  # rows a task gathers before it hands them on
 
 
 class Filter:
@@ -219,17 +219,24 @@ def repeated_windows(keyed: DataFrame, k: int, bits: int, pick: Callable[[Words]
         first = ids[order][np.flatnonzero(new)[np.cumsum(new) - 1]]  # the least id of each run of equal windows
         go = order[ids[order] > first]
         ids, k1, at = ids[go], k1[go], at[go]
-        order = np.lexsort((k1, ids))
+        rows = list(pack(_bucket(mix(k1.view(np.uint64)), bits), id=ids, k1=k1, at=at))
+        cols = [pa.array([c[n] for _, c in rows], pa.binary()) for n in ("id", "k1", "at")]
+        return pa.Table.from_arrays([pa.array([b for b, _ in rows], pa.int32()), *cols], names=["part", "id", "k1", "at"])
+
+    def gather(table: pa.Table) -> pa.Table:
+        ids, k1, at = unpack(table, "id", np.int64), unpack(table, "k1", np.int64), unpack(table, "at", np.uint32)
+        order = np.lexsort((at, k1, ids))
         ids, k1, at = ids[order], k1[order], at[order]
         new = np.ones(len(ids), bool)
         new[1:] = (ids[1:] != ids[:-1]) | (k1[1:] != k1[:-1])
         lo = np.flatnonzero(new)
-        hi = np.append(lo[1:], len(ids))
-        blobs = [at[a:b].tobytes() for a, b in zip(lo, hi)]
+        blobs = [x.tobytes() for x in np.split(at, lo[1:])] if len(lo) else []
         return pa.table({"id": ids[lo], "k1": k1[lo], "at": pa.array(blobs, pa.binary())})
 
     rows = keyed.mapInArrow(emit, "bucket int, h binary, id binary, k1 binary, at binary")
-    return rows.groupBy("bucket").applyInArrow(compare, "id long, k1 long, at binary")
+    met = rows.groupBy("bucket").applyInArrow(compare, "part int, id binary, k1 binary, at binary")
+    # by document; its positions come from every bucket
+    return met.groupBy("part").applyInArrow(gather, "id long, k1 long, at binary")
 
 
 def later_copies(keyed: DataFrame) -> DataFrame:
@@ -247,8 +254,9 @@ def without_repeats(docs: DataFrame, windows: DataFrame, keyed: DataFrame, k: in
     base = docs.drop(*added, "_id", "_k1", "_whole", "_at")
     whole = later_copies(keyed).select("id", "k1", F.lit(True).alias("whole"), F.lit(None).cast("binary").alias("at"))
     marks = windows.select("id", "k1", F.lit(False).alias("whole"), "at").unionByName(whole)
+    # two rows a document at most
     marks = marks.groupBy(F.col("id").alias("_id"), F.col("k1").alias("_k1")).agg(
-        F.max("whole").alias("_whole"), F.collect_list("at").alias("_at")
+        F.max("whole").alias("_whole"), F.first("at", ignorenulls=True).alias("_at")
     )
     body = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
     joined = base.join(marks, (F.col(doc_id).cast("long") == F.col("_id")) & (body == F.col("_k1")), "left").drop("_id", "_k1")
@@ -262,14 +270,13 @@ def without_repeats(docs: DataFrame, windows: DataFrame, keyed: DataFrame, k: in
                 kept_text, n_words, n_removed, spans = [], [], [], []
                 for i in range(part.num_rows):
                     words = texts[i].as_buffer().to_pybytes().split()
-                    gone = np.zeros(0, np.int64)
                     runs: list[tuple[int, int]] = []
                     if whole[i].as_py() and len(words) >= k:
                         runs = [(0, len(words))]
-                    elif at[i].is_valid and len(at[i].as_py()):
-                        gone = np.sort(np.frombuffer(b"".join(at[i].as_py()), np.uint32).astype(np.int64))
+                    elif at[i].is_valid:
+                        gone = np.frombuffer(at[i].as_buffer(), np.uint32).astype(np.int64)
                         cuts = np.flatnonzero(np.diff(gone) > k) + 1
-                        runs = [(int(x[0]), int(x[-1] - x[0]) + k) for x in np.split(gone, cuts)] if len(gone) else []
+                        runs = [(int(x[0]), int(x[-1] - x[0]) + k) for x in np.split(gone, cuts)]
                     left, to = [], 0
                     for a, n in runs:
                         left += words[to:a]
