@@ -49,7 +49,7 @@ def small(df: DataFrame, limit: int) -> DataFrame:
 
 def item_tables(items: DataFrame, item_id: str, text: str, k: int, percent: int) -> tuple[DataFrame, list[int]]:
     """(item, width, h, n, need, part, in_sketch) for every shingle of every item, and the widths in use."""
-    w = items.select(F.col(item_id).alias("item"), words(F.col(text)).alias("w")).where(F.size("w") > 0)
+    w = kept(items.select(F.col(item_id).alias("item"), words(F.col(text)).alias("w"))).where(F.size("w") > 0)
     w = w.withColumn("width", F.least(F.size("w"), F.lit(k)))
     by_width = F.lit(None).cast("array<bigint>")
     for width in range(k, 0, -1):
@@ -59,7 +59,7 @@ def item_tables(items: DataFrame, item_id: str, text: str, k: int, percent: int)
     sets = sets.distinct().withColumn("key", F.xxhash64("item", "width", "s"))
     sets = sets.withColumn("need", F.expr(f"(n * {percent} + 99) div 100").cast("int"))
     sets = sets.withColumn("part", F.floor(F.log2(F.col("n"))).cast("int"))
-    rows = sets.select("item", "key", "width", "n", "need", "part", F.explode("s").alias("h"))
+    rows = sets.select("item", "key", "width", "n", "need", "part", F.explode_outer("s").alias("h"))
     rank = F.row_number().over(Window.partitionBy("key").orderBy("h"))
     table = kept(rows.withColumn("in_sketch", rank <= F.col("n") - F.col("need") + F.lit(1)))
     return table, sorted(r.width for r in table.select("width").distinct().collect())
@@ -79,7 +79,6 @@ def contaminated(
     holds at least ``percent`` of an item's shingles."""
     table, widths = item_tables(items, item_id, text, k, percent)
     sketch = small(table.where("in_sketch").select("h", "width", F.col("key").alias("item_key"), "need", "part"), limit)
-    least = {r.width: r for r in table.groupBy("width").agg(F.min("need").alias("need")).collect()}
     base = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_key"), F.col(text).alias("text"))
 
     def probes(rows: DataFrame, carry: list[str]) -> DataFrame:
@@ -87,8 +86,10 @@ def contaminated(
         w = rows.select(*carry, words(F.col("text")).alias("w"))
         out = None
         for width in widths:
-            sets = w.select(*carry, shingles(F.col("w"), width).alias("s")).where(F.size("s") >= least[width].need)
-            one = sets.select(*carry, F.lit(width).alias("width"), F.size("s").alias("size"), F.explode("s").alias("h"))
+            sets = w.select(*carry, shingles(F.col("w"), width).alias("s"))
+            # a filter on the sets (also one inferred from a plain explode) would be pushed down
+            # through their lambdas and tokenise the text once for each word
+            one = sets.select(*carry, F.lit(width).alias("width"), F.size("s").alias("size"), F.explode_outer("s").alias("h"))
             out = one if out is None else out.unionByName(one)
         return out
 

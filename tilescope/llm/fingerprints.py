@@ -66,12 +66,13 @@ def with_signature(df: DataFrame, text: str, out: str) -> DataFrame:
         nth, F.flatten(F.transform(F.col(firsts), lambda start, i: F.sequence(F.lit(0), until(i) - start - F.lit(1))))
     )
 
-    # element hash (register first) and position
-    def element(x: Column, i: Column) -> Column:
-        h = F.xxhash64(F.shiftright(x, POSITION_BITS), F.get(F.col(nth), i))
+    # element hash (register first) and position; a column that is used once is inlined where it
+    # stands, so it must not stand inside a lambda
+    def element(x: Column, n: Column) -> Column:
+        h = F.xxhash64(F.shiftright(x, POSITION_BITS), n)
         return F.shiftleft(h, POSITION_BITS).bitwiseOR(_last_bits(x, POSITION_BITS))
 
-    df = df.withColumn(keyed, F.sort_array(F.transform(F.col(order), element)))
+    df = df.withColumn(keyed, F.sort_array(F.zip_with(F.col(order), F.col(nth), element)))
     register = lambda x: F.shiftrightunsigned(x, 64 - BIN_BITS)
     # the least TUPLE of each register
     df = df.withColumn(
