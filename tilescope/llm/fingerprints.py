@@ -155,9 +155,9 @@ def fingerprinted(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
         )
     )
     whole = rows.join(ring, F.col("key") == F.col("_key")).drop("_key")
-    starts = whole.groupBy(F.col("previous").alias("_of")).agg(
-        F.min(F.struct(F.md5("text").alias("m"), F.expr("substring(text, 1, ask)").alias("t")))["t"].alias("start")
-    )
+    # doc_id is there only so that both uses of the texts share one shuffle of the same columns
+    first = F.struct(F.md5("text").alias("m"), F.expr("substring(text, 1, ask)").alias("t"), "doc_id")
+    starts = whole.groupBy(F.col("previous").alias("_of")).agg(F.min(first)["t"].alias("start"))
     both = whole.join(starts, F.col("key") == F.col("_of")).withColumn("n_chars", F.length("text").cast("long"))
     both = both.withColumn(
         "edited",
