@@ -53,3 +53,11 @@ def ranked(df: DataFrame, group: list[str], bucket: Column, order: list[Column],
 def widened(schema: StructType, ddl: str) -> StructType:
     """``schema`` with the fields of a DDL string behind its own."""
     return StructType([*schema.fields, *StructType.fromDDL(ddl).fields])
+
+
+BROADCAST_ROWS = 1_000_000
+
+
+def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast if the rows, of a few fixed columns and computed already, are few enough."""
+    return F.broadcast(df) if df.count() <= limit else df

@@ -26,9 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tilescope.llm.common import kept, read
-
-BROADCAST_ROWS = 1_000_000
+from tilescope.llm.common import BROADCAST_ROWS, kept, read, small
 
 
 def words(text: Column) -> Column:
@@ -42,11 +40,6 @@ def shingles(w: Column, k: int) -> Column:
     return F.when(F.size(w) >= k, F.array_distinct(hashes)).otherwise(F.array().cast("array<bigint>"))
 
 
-def small(df: DataFrame, limit: int) -> DataFrame:
-    """Hint a broadcast if the rows, computed already, are few enough."""
-    return F.broadcast(df) if df.count() <= limit else df
-
-
 def item_tables(items: DataFrame, item_id: str, text: str, k: int, percent: int) -> tuple[DataFrame, list[int]]:
     """(item, width, h, n, need, part, in_sketch) for every shingle of every item, and the widths in use."""
     w = kept(items.select(F.col(item_id).alias("item"), words(F.col(text)).alias("w"))).where(F.size("w") > 0)
