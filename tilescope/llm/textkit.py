@@ -104,9 +104,10 @@ def window_hash(h: np.ndarray, k: int) -> np.ndarray:
     with np.errstate(over="ignore"):
         while k:
             if k & 1:  # append `block` behind what is there
-                tail = np.zeros_like(h)
-                tail[: len(h) - size or None] = block[size:] if size else block
-                out, size = out * scale + tail, size + width
+            tail = np.zeros_like(h)
+            there = max(0, len(h) - size)
+            tail[:there] = block[size : size + there]
+            out, size = out * scale + tail, size + width
             k >>= 1
             if k:
                 ahead = np.zeros_like(h)
