@@ -99,15 +99,15 @@ class Words:
 def window_hash(h: np.ndarray, k: int) -> np.ndarray:
     """sum h[i+j] * B**(k-1-j) over j < k for each i, zero-padded, by doubling."""
     base = np.uint64(0x9FB21C651E98DF25)
-    out, size, power = np.zeros_like(h), 0, np.uint64(1)
+    out, size = np.zeros_like(h), 0
     block, width, scale = h, 1, base
     with np.errstate(over="ignore"):
         while k:
             if k & 1:  # append `block` behind what is there
-            tail = np.zeros_like(h)
-            there = max(0, len(h) - size)
-            tail[:there] = block[size : size + there]
-            out, size = out * scale + tail, size + width
+                tail = np.zeros_like(h)
+                there = max(0, len(h) - size)
+                tail[:there] = block[size : size + there]
+                out, size = out * scale + tail, size + width
             k >>= 1
             if k:
                 ahead = np.zeros_like(h)
