@@ -144,16 +144,16 @@ def test_day_directories_prune_ranges(spark, tmp_path):
     table = spark.read.parquet(path)
     assert dict(table.dtypes)["day"] == "date"
     rng = TimeRange.parse("2024-01-10 00", "2024-01-11 06")
-    got = time_range(table, rng)
+    got = time_range(table, rng, day_column="day")
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(day" in plan
     assert rows(got.drop("day")) == rows(time_range(canvas, rng))
-    assert rows(time_range(table, rng, "left").drop("day")) == rows(time_range(canvas, rng, "left"))
+    assert rows(time_range(table, rng, "left", day_column="day").drop("day")) == rows(time_range(canvas, rng, "left"))
     midnight = TimeRange.parse("2024-01-10 00", "2024-01-12 00")
-    left_plan = time_range(table, midnight, "left")._jdf.queryExecution().executedPlan().toString()
+    left_plan = time_range(table, midnight, "left", day_column="day")._jdf.queryExecution().executedPlan().toString()
     assert "(day#" in left_plan and "<= 2024-01-11)" in left_plan
-    assert rows(time_range(table, midnight, "left").drop("day")) == rows(time_range(canvas, midnight, "left"))
-    assert rows(time_range(table, midnight, "both").drop("day")) == rows(time_range(canvas, midnight, "both"))
+    assert rows(time_range(table, midnight, "left", day_column="day").drop("day")) == rows(time_range(canvas, midnight, "left"))
+    assert rows(time_range(table, midnight, "both", day_column="day").drop("day")) == rows(time_range(canvas, midnight, "both"))
 
 
 def test_ingest_csv_end_to_end(spark, tmp_path):
@@ -195,3 +195,77 @@ def test_quarantine_keeps_null_coordinates_as_good_rows(spark):
     good, bad = parse_raw(raw, "quarantine")
     assert [r["user_id"] for r in good.collect()] == ["a"]
     assert [r["coordinate"] for r in bad.collect()] == ["x,1"]
+
+
+def test_a_day_column_of_the_callers_own(spark, tmp_path, canvas):
+    from datetime import date
+
+    from pyspark.sql import functions as F
+    from tilescope.functions.ranges import TimeRange, time_range
+
+    own = canvas([("2022-04-04 10:30", 1, 0, 0, "red"), ("2022-04-04 10:40", 2, 0, 0, "red")]).withColumn("day", F.lit(date(1999, 1, 1)))
+    rng = TimeRange.parse("2022-04-04 10", "2022-04-04 11")
+    assert time_range(own, rng).count() == 2
+    with pytest.raises(ValueError, match="day"):
+        export_parquet(own, str(tmp_path / "x"))
+
+
+def test_an_unfinished_export_is_not_the_latest(tmp_path, spark):
+    from tilescope.sources.sinks import latest_export
+
+    for name, mark in (("placements_1", True), ("placements_2", False)):
+        (tmp_path / name / "_temporary").mkdir(parents=True)
+        if mark:
+            (tmp_path / name / "_SUCCESS").touch()
+    assert latest_export(spark, str(tmp_path)).endswith("placements_1")
+
+
+def test_nulls_stay_null_in_concatenated_text(spark, canvas):
+    from tilescope.operators.frequency import key_concat
+    from tilescope.sources.raw import raw_from_canvas
+
+    df = canvas([("2022-04-04 10:30", 1, None, 5, None)])
+    assert raw_from_canvas(df).first().coordinate is None
+    assert key_concat(df, "pixel_color").first().key_count is None
+
+
+def test_hours_and_text_in_a_skipped_hour(spark, canvas):
+    from tilescope.functions.exprs import hour_of
+    from tilescope.sources.raw import raw_from_canvas
+
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        df = canvas([(f"2022-03-13 0{h}:30", 1, 0, 0, "red") for h in (1, 2, 3)])
+        hours = sorted(str(r[0]) for r in df.select(hour_of("timestamp").cast("string")).collect())
+        assert hours == [f"2022-03-13 0{h}:00:00" for h in (1, 2, 3)]
+        text = sorted(r.timestamp for r in raw_from_canvas(df).collect())
+        assert text == [f"2022-03-13 0{h}:30:00.000000 UTC" for h in (1, 2, 3)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_nulls_on_the_axes_keep_their_counts(spark, canvas):
+    from tilescope.operators.blocks import block_counts, block_grid
+    from tilescope.operators.series import hourly_counts, hourly_series
+
+    df = canvas([("2022-04-04 10:30", 1, None, None, "red"), ("2022-04-04 11:30", 1, None, 5, "red"), ("2022-04-04 11:40", 1, 5, 5, "red")])
+    total = lambda d, c: sum(r[c] for r in d.collect())
+    assert total(block_grid(df), "placements") == total(block_counts(df), "placements") == 3
+    points = [(5, 5)]
+    assert total(hourly_series(df, points), "placement_count") == total(hourly_counts(df, points), "placement_count")
+
+
+def test_session_mean_beyond_bigint(spark):
+    from tilescope.operators.sessions import session_stats
+
+    long = spark.range(4).selectExpr("9000000000000000000L AS length_us")
+    assert session_stats(long).first().avg_session_seconds == 9e12
+
+
+def test_ratio_text_is_exact(spark):
+    from pyspark.sql import functions as F
+    from tilescope.functions.exprs import ratio_text
+
+    df = spark.createDataFrame([(5343234315116731, 917077201)], "a long, b long")
+    assert df.select(ratio_text(F.col("a"), F.col("b"))).first()[0] == "5826373.51"

@@ -52,8 +52,8 @@ def thousands(n: str | Column) -> Column:
 def _fixed_text(scaled: Column, decimals: Column) -> Column:
     """Text of ``scaled / 10^decimals`` for a non-negative integer ``scaled``."""
     p = F.pow(F.lit(10), decimals).cast("bigint")
-    whole = ((scaled - scaled % p) / p).cast("bigint")  # exact below 2^53
-    frac = (scaled - whole * p).cast("string")
+    frac = (scaled % p).cast("string")
+    whole = F.call_function("div", scaled, p)
     return F.when(decimals == 0, whole.cast("string")).otherwise(
         F.concat(whole.cast("string"), F.lit("."), F.lpad(frac, decimals, "0"))
     )
@@ -100,7 +100,9 @@ def ratio_text(num: str | Column, den: str | Column, decimals: int = 2) -> Colum
     """``num / den`` as fixed-point text, decimal HALF_UP, NULL when den is 0."""
     num, den = _c(num).cast("bigint"), _c(den).cast("bigint")
     p = 10**decimals
-    scaled = F.floor(F.try_divide(num * p * 2 + den, den * 2)).cast("bigint")
+    wide = lambda x: x.cast("decimal(38,0)")
+    twice = wide(num) * wide(F.lit(2 * p)) + wide(den)
+    scaled = F.when(den != 0, F.call_function("div", twice.cast("decimal(38,0)"), wide(den * 2)))
     return _fixed_text(scaled, F.lit(decimals))
 
 
@@ -131,8 +133,10 @@ def block_label(block_y: str | Column, block_x: str | Column, x_base: int = 0) -
 
 
 def hour_of(ts: str | Column) -> Column:
-    """Start of the hour, kept as ``timestamp_ntz`` (date_trunc returns a zoned type)."""
-    return F.date_trunc("hour", _c(ts)).cast("timestamp_ntz")
+    """Start of the hour as ``timestamp_ntz``, from its parts: no time zone is involved."""
+    t = _c(ts).cast("timestamp_ntz")
+    none = F.lit(0)
+    return F.make_timestamp_ntz(F.year(t), F.month(t), F.day(t), F.hour(t), none, none.cast("decimal(16,6)"))
 
 
 def micros_between(a: str | Column, b: str | Column) -> Column:

@@ -7,9 +7,9 @@
           sorts below a bound it equals in time, so in effect ``(start, end]``.
 
 All modes compile to plain comparisons, so both bounds reach the Parquet
-scan's ``PushedFilters``.  On a table exported with day directories (a
-``day`` date column), the typed modes also bound ``day``, which prunes whole
-directories when the query is planned.
+scan's ``PushedFilters``.  On a table exported with day directories,
+``time_range(..., day_column="day")`` also bounds that column in the typed modes,
+which prunes whole directories when the query is planned.
 """
 
 from __future__ import annotations
@@ -79,18 +79,24 @@ def range_predicate(column: str | Column, rng: TimeRange, bounds: str = "both")
     raise ValueError(f"bounds must be one of {BOUNDS}, got {bounds!r}")
 
 
-def time_range(df: DataFrame, rng: TimeRange | None, bounds: str = "both", column: str = "timestamp") -> DataFrame:
-    """Rows of ``df`` inside ``rng``; ``None`` keeps everything."""
+def time_range(
+    df: DataFrame, rng: TimeRange | None, bounds: str = "both", column: str = "timestamp", day_column: str | None = None
+) -> DataFrame:
+    """Rows of ``df`` inside ``rng``; ``None`` keeps everything.
+
+    ``day_column`` names a DATE column that holds the day of ``column`` (an export's
+    partition column); the typed modes then bound it too, which prunes directories.
+    """
     if bounds not in BOUNDS:
         raise ValueError(f"bounds must be one of {BOUNDS}, got {bounds!r}")
     if rng is None:
         return df
     pred = range_predicate(column, rng, bounds)
-    if bounds != "text" and dict(df.dtypes).get(DAY_COLUMN) == "date":
+    if bounds != "text" and day_column is not None:
         # the last day that can hold a row: an exclusive end at midnight
         # excludes that day's directory
         last = rng.end - timedelta(microseconds=1) if bounds == "left" else rng.end
-        pred = pred & F.col(DAY_COLUMN).between(
+        pred = pred & F.col(day_column).between(
             F.lit(rng.start.date().isoformat()).cast("date"), F.lit(last.date().isoformat()).cast("date")
         )
     return df.filter(pred)

@@ -17,6 +17,9 @@ def with_blocks(df: DataFrame, size: int = BLOCK_SIZE, cols: Columns = CANVAS) -
     return df.withColumn("block_x", block_index(cols.x, size)).withColumn("block_y", block_index(cols.y, size))
 
 
+_AXIS = "x"  # field that carries a column of the grid, null included
+
+
 def block_counts(df: DataFrame, size: int = BLOCK_SIZE, cols: Columns = CANVAS, ordered: bool = False) -> DataFrame:
     """(block_x, block_y, placements) for observed blocks; ``ordered`` sorts by
     (block_y, block_x) (a range shuffle over at most canvas / size^2 rows)."""
@@ -74,9 +77,12 @@ def block_grid(df: DataFrame, size: int = BLOCK_SIZE, dense: bool = True, cols:
     if not dense:
         return block_counts(df, size, cols).select("block_y", "block_x", "placements")
     counts = materialize(block_counts(df, size, cols))
-    xs = counts.select(F.array_sort(F.collect_set("block_x"))).scalar()
-    grid = counts.select("block_y").distinct().select("block_y", F.explode(xs).alias("block_x"))
-    return grid.join(counts, ["block_y", "block_x"], "left").select(
+    # collect_set leaves nulls out, a struct around them keeps them
+    xs = counts.select(F.array_sort(F.collect_set(F.struct(F.col("block_x").alias(_AXIS))))).scalar()
+    grid = counts.select("block_y").distinct().select("block_y", F.explode(xs).alias("_c")).select("block_y", F.col("_c")[_AXIS].alias("block_x"))
+    c = counts.select(F.col("block_y").alias("_y"), F.col("block_x").alias("_x"), "placements")
+    same = F.col("block_y").eqNullSafe(F.col("_y")) & F.col("block_x").eqNullSafe(F.col("_x"))
+    return grid.join(c, same, "left").select(
         "block_y", "block_x", F.coalesce(F.col("placements"), F.lit(0)).cast("bigint").alias("placements")
     )
 

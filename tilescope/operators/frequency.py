@@ -135,4 +135,4 @@ def top_summary(
 def key_concat(df: DataFrame, key: str, count: str = "count") -> DataFrame:
     """``key || ',' || count`` text next to the typed columns (no re-parsing)."""
     freq = frequency(df, [key], count=count)
-    return freq.select(key, count, F.concat_ws(",", F.col(key), F.col(count).cast("string")).alias("key_count"))
+    return freq.select(key, count, F.concat(F.col(key).cast("string"), F.lit(","), F.col(count).cast("string")).alias("key_count"))

@@ -55,7 +55,12 @@ def hourly_series(
         .distinct()
         .select(cols.x, cols.y, F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 HOUR"))).alias("hour"))
     )
-    dense = grid.join(counts, ["hour", cols.x, cols.y], "left")
+    c = counts.select(*[F.col(n).alias(f"_{n}") for n in ("hour", cols.x, cols.y)], "placement_count")
+    # a point with a null coordinate is a point like others
+    same = F.col("hour") == F.col("_hour")
+    for n in (cols.x, cols.y):
+        same = same & F.col(n).eqNullSafe(F.col(f"_{n}"))
+    dense = grid.join(c, same, "left")
     return dense.select(
         F.col("hour").cast("timestamp_ntz").alias("hour"),
         point_label(cols.x, cols.y).alias("pixel"),

@@ -205,7 +205,7 @@ def sessions(
 def session_stats(sess: DataFrame) -> DataFrame:
     """(total_sessions, avg_session_seconds); the mean is sum of integer
     microseconds / count / 1e6, so it does not depend on row order."""
-    agg = sess.agg(F.count(F.lit(1)).alias("total_sessions"), F.sum("length_us").alias("_us"))
+    agg = sess.agg(F.count(F.lit(1)).alias("total_sessions"), F.sum(F.col("length_us").cast("decimal(38,0)")).alias("_us"))
     return agg.select(
         "total_sessions",
         (F.try_divide(F.col("_us").cast("double"), F.col("total_sessions")) / F.lit(1e6)).alias("avg_session_seconds"),

@@ -13,13 +13,20 @@ RAW_COLUMNS = ("timestamp", "user_id", "pixel_color", "coordinate")
 TEXT_TIME_PATTERN = RAW_TIME_TEXT
 
 
+def _time_text(ts):
+    """``YYYY-MM-DD HH:MM:SS.ffffff`` of a wall clock, from its text: no time zone is involved."""
+    text = ts.cast("timestamp_ntz").cast("string")
+    fraction = F.rpad(F.substring(text, 21, 6), 6, "0")
+    return F.concat(F.substring(text, 1, 19), F.lit("."), fraction)
+
+
 def raw_from_canvas(df: DataFrame, cols: Columns = CANVAS) -> DataFrame:
     """Render typed rows in the raw log's text form (six fraction digits + `` UTC``)."""
     return df.select(
-        F.concat(F.date_format(F.col(cols.time), TEXT_TIME_PATTERN), F.lit(RAW_TIME_SUFFIX)).alias("timestamp"),
+        F.concat(_time_text(F.col(cols.time)), F.lit(RAW_TIME_SUFFIX)).alias("timestamp"),
         F.col(cols.user).cast("string").alias("user_id"),
         F.col(cols.category).alias("pixel_color"),
-        F.concat_ws(",", F.col(cols.x).cast("string"), F.col(cols.y).cast("string")).alias("coordinate"),
+        F.concat(F.col(cols.x).cast("string"), F.lit(","), F.col(cols.y).cast("string")).alias("coordinate"),
     )
 
 

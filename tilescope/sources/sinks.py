@@ -35,8 +35,9 @@ def export_parquet(
 
     ``day_partitions`` (default) writes one ``day=YYYY-MM-DD`` directory per
     calendar day of ``time_col``; :func:`tilescope.functions.ranges.time_range`
-    adds a matching ``day`` predicate, so a range query lists and reads only
-    the directories of its days (partition pruning at planning time).  The
+    with ``day_column="day"`` adds a matching predicate, so a range query lists and
+    reads only the directories of its days (partition pruning at planning time).
+    A table that has a ``day`` column of its own is refused.  The
     rows are rebalanced by day (one shuffle, sizes evened out by AQE; with
     AQE off the hint is a plain hash by day, and a day holding most rows
     would be written by one task).
@@ -54,6 +55,8 @@ def export_parquet(
             # that holds many rows into several tasks and merges small ones.
             # (day, time, ...) satisfies the partitioned writer's ordering, so
             # no second sort runs and every file is sorted by time.
+            if DAY_COLUMN in df.columns:
+                raise ValueError(f"the table has a column {DAY_COLUMN!r} of its own; rename it or use day_partitions=False")
             dated = df.withColumn(DAY_COLUMN, F.to_date(F.col(time_col)))
             out = dated.hint("rebalance", DAY_COLUMN).sortWithinPartitions(DAY_COLUMN, *keys)
             writer = out.write.partitionBy(DAY_COLUMN)
@@ -71,7 +74,8 @@ def export_parquet(
 
 
 def latest_export(spark, directory: str, prefix: str = "placements_") -> str | None:
-    """Path of the newest run-stamped export under ``directory`` (names sort by time).
+    """Path of the newest run-stamped export under ``directory`` (names sort by time)
+    that was finished (has its ``_SUCCESS`` mark).
 
     Lists one directory level through the Hadoop file system of the path, so
     it works on any shared store Spark can read; ``None`` if there is none.
@@ -81,7 +85,7 @@ def latest_export(spark, directory: str, prefix: str = "placements_") -> str | N
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(hpath):
         return None
-    names = sorted(
-        st.getPath().toString() for st in fs.listStatus(hpath) if st.getPath().getName().startswith(prefix)
-    )
+    done = lambda path: fs.exists(jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS"))
+    found = (st.getPath() for st in fs.listStatus(hpath) if st.getPath().getName().startswith(prefix))
+    names = sorted(path.toString() for path in found if done(path))
     return names[-1] if names else None
