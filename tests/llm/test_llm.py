@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tilescope.llm import attention, contamination, fingerprints, jaccard, languages, links, mixing, repeats, scoring, sharding, textkit, warc
 
@@ -442,7 +443,7 @@ def test_scores_match_brute_force(spark, docs):
         assert (r.n_tokens, r.n_known, r.train_tokens) == (len(t), sum(count[x] > 0 for x in t), n)
         assert r.base_score == pytest.approx(sum(np.log10((count[x] + 1) / (n + v + 1)) for x in t))
         assert r.score < 0
-    assert scoring.scored(empty(spark), empty(spark).doc_id == 1).count() == 0
+    assert scoring.scored(empty(spark), F.col("doc_id") == 1).count() == 0
 
 
 def test_training_helps_on_held_out_text(spark):
