@@ -157,8 +157,9 @@ def test_jaccard_classes_match_brute_force(docs):
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, brute_classes(rows)))
 
 
-@pytest.mark.parametrize("leaf", [2, 5])
-def test_large_regions_split_by_document_pivots(spark, monkeypatch, leaf):
+@pytest.mark.parametrize("leaf, brought", [(2, 1 << 20), (5, 1 << 20), (2, -1)])
+def test_large_regions_split_by_document_pivots(spark, monkeypatch, leaf, brought):
+    monkeypatch.setattr(links, "BROADCAST_BYTES", brought)  # sets are shuffled beyond it: the same links
     monkeypatch.setattr(jaccard, "LEAF", leaf)
     monkeypatch.setattr(links, "LEAF", leaf)
     r = random.Random(leaf)
