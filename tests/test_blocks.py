@@ -113,3 +113,23 @@ def test_sparse_ranking_and_negative_blocks(canvas):
     sparse = [r[:4] for r in top_blocks(df, k=10, dense=False).collect()]
     assert sparse[0][1:] == (-2, -1, 2)
     assert len(sparse) == 3  # empty cells do not compete without the dense grid
+
+
+def test_letters_have_no_end(spark):
+    df = spark.createDataFrame([(y,) for y in [18277, 18278, 2**31 - 1, -1, -27, None]], "y long")
+    assert [r[0] for r in df.select(block_letters("y")).collect()] == ["ZZZ", "AAAA", "FXSHRXX", "-A", "-AA", None]
+
+
+def test_top_blocks_equals_the_ranked_grid(canvas):
+    df = at(canvas, [(i * 100, i * 100) for i in range(6)] + [(0, 0), (None, 5)])
+    grid = sorted(rows(block_grid(df)), key=lambda r: (-r[2], r[0], r[1] is None, r[1] or 0))
+    for k in (3, 7, 8, 20, 100):
+        got = [(r.block_y, r.block_x, r.placements) for r in top_blocks(df, k=k).collect()]
+        assert got == grid[:k]
+    assert "Join" not in top_blocks(df)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_matrix_of_other_values(canvas):
+    df = at(canvas, [(0, 0), (5, 5), (300, 0), (0, 200)], users=[1, 1, 2, 3])
+    assert rows(block_matrix(df, value="ppu")) == [(0, 2.0, 1.0), (2, 1.0, 0.0)]
+    assert rows(block_matrix(df, value="ppu_text")) == [(0, "2.00", "1.00"), (2, "1.00", "0.00")]

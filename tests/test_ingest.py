@@ -269,3 +269,44 @@ def test_ratio_text_is_exact(spark):
 
     df = spark.createDataFrame([(5343234315116731, 917077201)], "a long, b long")
     assert df.select(ratio_text(F.col("a"), F.col("b"))).first()[0] == "5826373.51"
+
+
+def test_damaged_lines_raise_or_are_set_aside(spark, tmp_path):
+    good = '2022-04-01 12:44:10.315 UTC,u1,#FF4500,"42,43"'
+    for bad in ("2022-04-01 12:44:10 UTC,u2", good + ",more", good.replace("2022", "20x2"), good.replace("43", "y")):
+        path = write_csv(tmp_path, [good, bad])
+        with pytest.raises(Exception):
+            parse_raw(read_raw_csv(spark, path))[0].collect()
+        kept, aside = parse_raw(read_raw_csv(spark, path, mode="quarantine"), "quarantine")
+        assert [r.user_id for r in kept.collect()] == ["u1"] and kept.count() == 1
+        assert aside.count() == 1 and "2022" in aside.first().timestamp or "20x2" in aside.first().timestamp
+    with pytest.raises(Exception):
+        read_raw_csv(spark, write_csv(tmp_path, [good, "2022-04-01 12:44:10 UTC,u2"])).select("user_id").collect()
+
+
+def test_a_header_in_another_order_raises(spark, tmp_path):
+    p = tmp_path / "other.csv"
+    p.write_text('user_id,timestamp,pixel_color,coordinate\nu1,2022-04-01 12:44:10 UTC,#FF4500,"42,43"\n')
+    for mode in ("strict", "quarantine"):
+        with pytest.raises(Exception):
+            read_raw_csv(spark, str(p), mode=mode).collect()
+
+
+def test_inferred_instants_in_a_repeated_hour(spark, tmp_path):
+    path = write_csv(tmp_path, [f'2022-11-06T0{h}:30:00.000Z,1,#FF4500,"42,43"' for h in (5, 6)])
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        df = read_raw_csv(spark, path, infer=True)
+        assert dict(df.dtypes)["timestamp"] == "timestamp_ntz"
+        assert sorted(str(r[0]) for r in df.select("timestamp").collect()) == [f"2022-11-06 0{h}:30:00" for h in (5, 6)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_a_persistent_load_does_not_overwrite(spark, tmp_path):
+    path = write_csv(tmp_path, ['2022-04-01 12:44:10.315 UTC,u1,#FF4500,"42,43"'])
+    t = load_log(spark, path, "default.kept_log", persistent=True)
+    assert t.row_count() == 1 and t.describe().count() == 4
+    with pytest.raises(AnalysisException):
+        load_log(spark, path, "default.kept_log", persistent=True)

@@ -112,19 +112,23 @@ def share_annotation(part: str | Column, whole: str | Column, decimals: int = 1)
 
 
 def block_letters(block_y: str | Column) -> Column:
-    """Row letters by value: A..Z, then AA..ZZ, then AAA..ZZZ (bijective base 26)."""
+    """Row letters by value: A..Z, then AA..ZZ, and so on (bijective base 26).
+
+    Rows below 0 count from -A (row -1) the other way.
+    """
     y = _c(block_y).cast("bigint")
-    def ch(v: Column) -> Column:
-        return F.char(F.lit(65) + v)
-
-    two = y - 26
-    three = y - 26 - 26 * 26
-    return (
-        F.when(y < 0, F.lit(None).cast("string"))
-        .when(y < 26, ch(y))
-        .when(two < 26 * 26, F.concat(ch(F.floor(two / 26)), ch(two % 26)))
-        .when(three < 26 * 26 * 26, F.concat(ch(F.floor(three / 676)), ch(F.floor(three / 26) % 26), ch(three % 26)))
-    )
+    start = F.struct(F.when(y < 0, -y - 1).otherwise(y).alias("left"), F.lit("").alias("text"))
+
+    def letter(done: Column, _: Column) -> Column:
+        left = done["left"]
+        more = F.struct(
+            (F.call_function("div", left, F.lit(26)) - 1).alias("left"), F.concat(F.char(F.lit(65) + left % 26), done["text"]).alias("text")
+        )
+        return F.when(left < 0, done).otherwise(more)
+
+    # 14 letters cover every bigint
+    text = F.aggregate(F.sequence(F.lit(1), F.lit(14)), start, letter, lambda done: done["text"])
+    return F.when(y.isNotNull(), F.concat(F.when(y < 0, "-").otherwise(""), text))
 
 
 def block_label(block_y: str | Column, block_x: str | Column, x_base: int = 0) -> Column:
@@ -144,6 +148,18 @@ def micros_between(a: str | Column, b: str | Column) -> Column:
     return F.timestamp_diff("MICROSECOND", _c(a), _c(b))
 
 
+def instant_of(ts: str | Column) -> Column:
+    """The instant whose UTC wall clock is the ``timestamp_ntz``, whatever the session zone."""
+    return F.timestamp_micros(micros_between(F.lit("1970-01-01").cast("timestamp_ntz"), _c(ts)))
+
+
+def wall_clock(ts: str | Column) -> Column:
+    """UTC wall clock of an instant as ``timestamp_ntz``, whatever the session zone."""
+    seconds = (F.unix_micros(_c(ts)).cast("decimal(20,0)") / F.lit(1_000_000).cast("decimal(7,0)")).cast("decimal(18,6)")
+    none = F.lit(0)
+    return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(none, none, none, seconds)
+
+
 def seconds_between(a: str | Column, b: str | Column) -> Column:
     """``b - a`` in fractional seconds (microsecond exact before the division)."""
     return micros_between(a, b) / F.lit(1e6)

@@ -87,23 +87,48 @@ def block_grid(df: DataFrame, size: int = BLOCK_SIZE, dense: bool = True, cols:
     )
 
 
-def block_matrix(df: DataFrame, size: int = BLOCK_SIZE, values: Sequence[int] | None = None, cols: Columns = CANVAS) -> DataFrame:
+def block_matrix(
+    df: DataFrame, size: int = BLOCK_SIZE, values: Sequence[int] | None = None, cols: Columns = CANVAS, value: str = "placements"
+) -> DataFrame:
     """Wide matrix: one row per observed block_y, one column per block_x, 0 if empty.
 
+    ``value`` is ``placements``, ``unique_users``, ``ppu`` or ``ppu_text``.
     Without ``values`` the pivot first reads the distinct block_x values
-    (bounded by the canvas width / size).
+    (bounded by the canvas width / size) from the blocks, checkpointed so that
+    the table is aggregated once.
     """
-    counts = block_counts(df, size, cols)
-    pivoted = counts.groupBy("block_y").pivot("block_x", list(values) if values is not None else None)
-    wide = pivoted.agg(F.first("placements"))
+    if value not in ("placements", "unique_users", "ppu", "ppu_text"):
+        raise ValueError(f"no block value {value!r}")
+    cells = block_counts(df, size, cols) if value == "placements" else block_intensity(df, size, None, cols=cols)
+    cells = cells.select("block_y", "block_x", value)
+    if values is None:
+        cells = materialize(cells)
+    pivoted = cells.groupBy("block_y").pivot("block_x", list(values) if values is not None else None)
+    wide = pivoted.agg(F.first(value))
     value_cols = [c for c in wide.columns if c != "block_y"]
-    return wide.fillna(0, subset=value_cols).orderBy("block_y")
+    return wide.fillna("0.00" if value == "ppu_text" else 0, subset=value_cols).orderBy("block_y")
+
+
+def block_labels(df: DataFrame, size: int = BLOCK_SIZE, cols: Columns = CANVAS) -> DataFrame:
+    """(block_x, block_y, placements, placements_label): the short K/M label of every heat-map cell."""
+    return block_counts(df, size, cols).withColumn("placements_label", count_label("placements"))
 
 
 def top_blocks(df: DataFrame, size: int = BLOCK_SIZE, k: int = TOP_BLOCKS, dense: bool = True, cols: Columns = CANVAS) -> DataFrame:
-    """Blocks ranked by placements (empty cells of the dense grid compete too)."""
-    grid = block_grid(df, size, dense, cols)
-    ranked = top_k(grid, k, "placements", ["block_y", "block_x"])
+    """Blocks ranked by placements (empty cells of the dense grid compete too).
+
+    Empty cells only matter if fewer than ``k`` blocks are observed; then the
+    k best are all of them, and the grid is built from these few rows.
+    """
+    ranked = top_k(block_counts(df, size, cols), k, "placements", ["block_y", "block_x"])
+    if dense:
+        found = ranked.agg(F.collect_list(F.struct("block_y", "block_x", "placements")).alias("cells"))
+        cell = lambda y, x: F.struct(y.alias("block_y"), x.alias("block_x"), F.lit(0).cast("bigint").alias("placements"))
+        ys, xs = F.array_distinct(F.col("cells.block_y")), F.array_distinct(F.col("cells.block_x"))
+        grid = F.flatten(F.transform(ys, lambda y: F.transform(xs, lambda x: cell(y, x))))
+        cells = F.when(F.size("cells") < k, F.concat("cells", grid)).otherwise(F.col("cells"))
+        every = found.select(F.inline(cells)).groupBy("block_y", "block_x").agg(F.sum("placements").alias("placements"))
+        ranked = top_k(every, k, "placements", ["block_y", "block_x"])
     return ranked.select(
         block_label("block_y", "block_x", x_base=0).alias("label"),
         "block_x",

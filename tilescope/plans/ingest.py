@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tilescope.config import CANVAS
 from tilescope.operators.encoding import encode
-from tilescope.sources.raw import read_raw_csv
+from tilescope.sources.raw import CORRUPT, read_raw_csv
 from tilescope.sources.sinks import export_parquet, stamped_path
 
 
@@ -20,7 +20,7 @@ class LoadedTable:
 
     def describe(self) -> DataFrame:
         """(col_name, data_type) of the table."""
-        return self.spark.sql(f"DESCRIBE TABLE {self.name}").select("col_name", "data_type")
+        return self.spark.sql("DESCRIBE TABLE IDENTIFIER(:name)", args={"name": self.name}).select("col_name", "data_type")
 
     def row_count(self) -> int:
         return self.spark.table(self.name).count()
@@ -30,13 +30,14 @@ def load_log(spark: SparkSession, path: str, table: str, infer: bool = False, pe
     """Read the CSV log into a named table.
 
     ``persistent=False`` registers a temporary view (nothing is copied);
-    ``persistent=True`` writes a managed Parquet table with ``saveAsTable``.
+    ``persistent=True`` writes a managed Parquet table with ``saveAsTable``, which may
+    be named ``catalog.schema.table``; a table that exists already raises.
     """
-    if not table.replace("_", "").isalnum():
+    if not all(part.replace("_", "").isalnum() for part in table.split(".")):
         raise ValueError(f"invalid table name {table!r}")
     df = read_raw_csv(spark, path, infer=infer)
     if persistent:
-        df.write.mode("overwrite").format("parquet").saveAsTable(table)
+        df.write.mode("error").format("parquet").saveAsTable(table)
     else:
         df.createOrReplaceTempView(table)
     return LoadedTable(table, spark)
@@ -47,7 +48,8 @@ def parse_raw(raw: DataFrame, mode: str = "strict") -> tuple[DataFrame, DataFram
 
     The timestamp text (with its `` UTC`` suffix) becomes ``timestamp_ntz``;
     ``x,y`` is split into two ints, extra parts ignored.  ``strict`` fails on
-    a bad coordinate (ANSI cast); ``quarantine`` returns bad rows separately.
+    a bad coordinate or time (ANSI cast); ``quarantine`` returns bad rows
+    separately, with those that the reader marked as corrupt.
     """
     if mode not in ("strict", "quarantine"):
         raise ValueError("mode must be 'strict' or 'quarantine'")
@@ -56,9 +58,11 @@ def parse_raw(raw: DataFrame, mode: str = "strict") -> tuple[DataFrame, DataFram
         x, y = part(1).cast("int"), part(2).cast("int")
     else:
         x, y = part(1).try_cast("int"), part(2).try_cast("int")
-    parsed = raw.withColumn("_x", x).withColumn("_y", y)
+    time = F.regexp_replace(F.col("timestamp").cast("string"), " UTC$", "")
+    time = time.cast("timestamp_ntz") if mode == "strict" else time.try_cast("timestamp_ntz")
+    parsed = raw.withColumn("_x", x).withColumn("_y", y).withColumn("_t", time)
     typed_cols = [
-        F.regexp_replace(F.col("timestamp"), " UTC$", "").cast("timestamp_ntz").alias(CANVAS.time),
+        F.col("_t").alias(CANVAS.time),
         F.col("user_id"),
         F.col("pixel_color").alias(CANVAS.category),
         F.col("_x").alias(CANVAS.x),
@@ -67,6 +71,9 @@ def parse_raw(raw: DataFrame, mode: str = "strict") -> tuple[DataFrame, DataFram
     if mode == "strict":
         return parsed.select(*typed_cols), None
     bad_pred = F.col("coordinate").isNotNull() & (F.col("_x").isNull() | F.col("_y").isNull())
+    bad_pred = bad_pred | (F.col("timestamp").isNotNull() & F.col("_t").isNull())
+    if CORRUPT in raw.columns:
+        bad_pred = bad_pred | F.col(CORRUPT).isNotNull()
     return parsed.filter(~bad_pred).select(*typed_cols), parsed.filter(bad_pred).select(*raw.columns)
 
 

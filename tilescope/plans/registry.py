@@ -160,6 +160,14 @@ def q_block_matrix(spark, d):
     return blocks.block_matrix(_canvas(spark, d), BLOCK)
 
 
+def q_block_ppu_matrix(spark, d):
+    return blocks.block_matrix(_canvas(spark, d), BLOCK, values=range(20), value="ppu")
+
+
+def q_block_count_labels(spark, d):
+    return blocks.block_labels(_canvas(spark, d), BLOCK)
+
+
 def q_block_grid_dense(spark, d):
     return blocks.block_grid(_canvas(spark, d), BLOCK, dense=True)
 
@@ -482,6 +490,16 @@ FROM (SELECT *, CAST(sum(num_users) OVER () AS BIGINT) AS tot FROM
         + " FROM bc GROUP BY block_y",
         _BLOCKS_CTE,
     ),
+    "block_ppu_matrix": _w(
+        "SELECT block_y, "
+        + ", ".join(f'coalesce(max(CASE WHEN block_x = {i} THEN ppu END), 0.0) AS "{i}"' for i in range(20))
+        + " FROM pu GROUP BY block_y",
+        f"""pu AS (SELECT {BLOCK_X} AS block_x, {BLOCK_Y} AS block_y,
+               count(*)::DOUBLE / nullif(count(DISTINCT user_id_encoded), 0) AS ppu FROM canvas GROUP BY 1, 2)""",
+    ),
+    "block_count_labels": _w(
+        "SELECT block_x, block_y, placements, " + _count_label_sql("placements") + " AS placements_label FROM bc", _BLOCKS_CTE
+    ),
     "block_grid_dense": _w("SELECT * FROM dg", _BLOCKS_CTE, _DENSE_CTE),
     "top_blocks": _w(
         """SELECT chr(65 + block_y) || CAST(block_x AS VARCHAR) AS label, block_x, block_y, placements,

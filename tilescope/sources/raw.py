@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tilescope.config import CANVAS, Columns
 from tilescope.constants import RAW_TIME_SUFFIX, RAW_TIME_TEXT
+from tilescope.functions.exprs import wall_clock
 
 RAW_DDL = "timestamp STRING, user_id STRING, pixel_color STRING, coordinate STRING"
 RAW_COLUMNS = ("timestamp", "user_id", "pixel_color", "coordinate")
 TEXT_TIME_PATTERN = RAW_TIME_TEXT
+CORRUPT = "_corrupt_record"  # text of a line that has too few or too many fields
 
 
 def _time_text(ts):
@@ -30,23 +33,30 @@ def raw_from_canvas(df: DataFrame, cols: Columns = CANVAS) -> DataFrame:
     )
 
 
-def read_raw_csv(spark: SparkSession, path: str, infer: bool = False) -> DataFrame:
+def read_raw_csv(spark: SparkSession, path: str, infer: bool = False, mode: str = "strict") -> DataFrame:
     """Scan the CSV log: header row, quoted fields, one record per line (splittable).
 
     ``infer=False`` uses the fixed four-string schema.  ``infer=True`` lets the
     reader pick types; a timestamp it infers is zoned, so it is turned into
     the ``timestamp_ntz`` of its UTC wall clock.
+
+    A line with too few or too many fields raises in ``strict``; in ``quarantine`` its
+    text is in a further column, ``_corrupt_record``, which :func:`parse_raw` sends to
+    the bad side.  A header with other names or another order than the fixed schema
+    raises in both.  Lines are checked whole, so columns are not pruned in this scan.
     """
+    if mode not in ("strict", "quarantine"):
+        raise ValueError("mode must be 'strict' or 'quarantine'")
     reader = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", False)
-    if not infer:
-        return reader.schema(RAW_DDL).csv(path)
-    df = reader.option("inferSchema", True).csv(path)
-    ts_type = dict(df.dtypes).get("timestamp")
-    if ts_type == "timestamp":
-        # an inferred zoned value is an instant; keep its UTC wall clock
-        # whatever the session zone is
-        local = F.col("timestamp").cast("timestamp_ntz")
-        df = df.withColumn("timestamp", F.convert_timezone(F.current_timezone(), F.lit("UTC"), local))
+    reader = reader.option("enforceSchema", False).option("columnPruning", False)
+    strict = mode == "strict"
+    schema = spark.createDataFrame([], RAW_DDL).schema if not infer else reader.option("inferSchema", True).csv(path).schema
+    if strict:
+        df = reader.option("mode", "FAILFAST").schema(schema).csv(path)
+    else:
+        df = reader.option("columnNameOfCorruptRecord", CORRUPT).schema(StructType([*schema.fields, StructField(CORRUPT, StringType())])).csv(path)
+    if dict(df.dtypes).get("timestamp") == "timestamp":
+        df = df.withColumn("timestamp", wall_clock("timestamp"))
     return df
 
 

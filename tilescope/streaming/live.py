@@ -13,28 +13,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tilescope.config import CANVAS, Columns
-from tilescope.functions.exprs import micros_between
+from tilescope.functions.exprs import instant_of, micros_between, wall_clock
 from tilescope.operators.sessions import DEFAULT_GAP
 
 
 def _event_time(stream: DataFrame, cols: Columns) -> DataFrame:
-    # Watermarks and event-time windows need a zoned timestamp column.
-    return stream.withColumn("_event_time", F.col(cols.time).cast("timestamp"))
+    # Watermarks and event-time windows need a zoned timestamp column; it is taken as UTC.
+    return stream.withColumn("_event_time", instant_of(cols.time))
 
 
-def hourly_counts_stream(stream: DataFrame, watermark: str = "1 hour", cols: Columns = CANVAS) -> DataFrame:
+def hourly_counts_stream(stream: DataFrame, watermark: str, cols: Columns = CANVAS) -> DataFrame:
     """Placements per (hour, x, y), emitted once an hour is past the watermark."""
     timed = _event_time(stream, cols).withWatermark("_event_time", watermark)
     agg = timed.groupBy(F.window("_event_time", "1 hour"), cols.x, cols.y).agg(
         F.count(F.lit(1)).alias("placement_count")
     )
     return agg.select(
-        F.col("window.start").cast("timestamp_ntz").alias("hour"), cols.x, cols.y, "placement_count"
+        wall_clock("window.start").alias("hour"), cols.x, cols.y, "placement_count"
     )
 
 
 def sessions_stream(
-    stream: DataFrame, gap: timedelta = DEFAULT_GAP, watermark: str = "1 hour", cols: Columns = CANVAS
+    stream: DataFrame, watermark: str, gap: timedelta = DEFAULT_GAP, cols: Columns = CANVAS
 ) -> DataFrame:
     """Inactivity sessions per user; a session is emitted when it closes."""
     gap_us = int(round(gap.total_seconds() * 1_000_000))
