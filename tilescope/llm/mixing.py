@@ -6,11 +6,12 @@ and must be taken before slot ceil((k + 1) / w), its deadline.  Earliest deadlin
 over the released blocks meets every deadline, so after any number t of slots a
 source has given less than one block more or less than w * t.
 
-Weights are whole shares of a period (``period`` slots, largest remainders), so the
-schedule of one period, made on the driver, repeats: block k of a source with share
-q takes the slot of its block k mod q, in period k div q.  Spark only ranks the rows
-within their sources and looks the slot up in that table of ``period`` rows.
+Releases and deadlines come from the target weights themselves, as exact fractions of
+their decimal notation.  The driver makes the whole schedule, one entry a block, from a
+heap of one block a source; ``CHUNK`` entries at a time go to the scratch folder if there
+are more of them.  Spark ranks the rows within their sources and looks the slot up.
 
+``weight`` is a source's target share and ``given`` its share of the schedule's slots.
 ``repeat=True``: sources start over (``epoch`` counts from 0) until every row of every
 source was used at least once, and the schedule ends with that slot; the bound holds
 all through it but for the shorter last block of a source.  ``repeat=False``: each
@@ -24,19 +25,28 @@ replaced.  More than ``MAX_SOURCES`` sources raise ValueError.
 from __future__ import annotations
 
 import heapq
+import math
+from collections.abc import Iterator
+from fractions import Fraction
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tilescope.llm.common import ranked, read
+from tilescope.config import scratch_path
+from tilescope.llm.common import BROADCAST_ROWS, ranked, read
 from tilescope.llm.sharding import KEY_BITS, bucket_bits, seeded_key
 
 MAX_SOURCES = 10_000
-ADDED = ["slot", "in_block", "block", "epoch", "release", "deadline", "weight"]
+CHUNK = 1 << 20
+ADDED = ["slot", "in_block", "block", "epoch", "release", "deadline", "weight", "given"]
 
 
 def shares(weights: list[float], period: int) -> list[int]:
-    """Whole shares of the period, at least one each, by largest remainders."""
+    """Whole shares of the period, at least one each, by largest remainders.
+
+    They are not the weights, so ``mixed`` does not use them.
+    """
     total = sum(weights)
     exact = [w / total * (period - len(weights)) for w in weights]
     out = [1 + int(x) for x in exact]
@@ -46,24 +56,64 @@ def shares(weights: list[float], period: int) -> list[int]:
     return out
 
 
-def schedule(q: list[int]) -> list[tuple[int, int, int, int, int]]:
-    """(source, block, slot, release, deadline) of one period of sum(q) slots."""
+def whole(weights: list[float]) -> list[int]:
+    """Whole numbers in the exact proportions of the weights' decimal notation."""
+    exact = [Fraction(str(w)) for w in weights]
+    common = math.lcm(*[x.denominator for x in exact])
+    out = [int(x * common) for x in exact]
+    by = math.gcd(*out)
+    return [x // by for x in out]
+
+
+def entries(q: list[int]) -> Iterator[tuple[int, int, int, int, int]]:
+    """(source, block, slot, release, deadline) of slot after slot, without end; source s has the share q[s] / sum(q)."""
     period = sum(q)
     release = lambda s, k: k * period // q[s]
     deadline = lambda s, k: -(-(k + 1) * period // q[s])
     waiting = [(0, s, 0) for s in range(len(q))]  # by release
     heapq.heapify(waiting)
     ready: list[tuple[int, int, int]] = []  # by deadline
-    out = []
-    for slot in range(period):
+    slot = 0
+    while True:
         while waiting and waiting[0][0] <= slot:
             _, s, k = heapq.heappop(waiting)
             heapq.heappush(ready, (deadline(s, k), s, k))
         due, s, k = heapq.heappop(ready)  # never empty: released work is at least the slots gone by
-        out.append((s, k, slot, release(s, k), due))
-        if k + 1 < q[s]:
-            heapq.heappush(waiting, (release(s, k + 1), s, k + 1))
-    return out
+        yield s, k, slot, release(s, k), due
+        heapq.heappush(waiting, (release(s, k + 1), s, k + 1))
+        slot += 1
+
+
+def schedule(q: list[int]) -> list[tuple[int, int, int, int, int]]:
+    """(source, block, slot, release, deadline) of the sum(q) slots after which all repeats."""
+    return [e for _, e in zip(range(sum(q)), entries(q))]
+
+
+def plan_of(spark, q: list[int], blocks: list[int], repeat: bool) -> tuple[DataFrame, list[int], int]:
+    """The schedule until every source has given its blocks once, the blocks given by source, and the slots."""
+    names = ["_s", "block", "slot", "release", "deadline"]
+    kinds = [pa.int32(), *[pa.int64()] * 4]
+    table = lambda rows: pa.table([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+    given, rows, path, total = [0] * len(q), [], None, 0
+    open_ = len(q)
+    for entry in entries(q):
+        s, k, slot = entry[:3]
+        given[s] += 1
+        open_ -= given[s] == blocks[s]
+        if repeat or k < blocks[s]:
+            rows.append(entry)
+            total += 1
+        if len(rows) == CHUNK and open_:
+            path = path or scratch_path(spark, "schedule")
+            spark.createDataFrame(table(rows)).write.mode("append").parquet(path)
+            rows = []
+        if not open_:
+            break
+    plan = spark.createDataFrame(table(rows))
+    if path:
+        plan.write.mode("append").parquet(path)
+        plan = spark.read.parquet(path)
+    return F.broadcast(plan) if total <= BROADCAST_ROWS else plan, given if repeat else list(blocks), slot + 1
 
 
 def mixed(
@@ -76,11 +126,14 @@ def mixed(
     seed: int = 5,
     doc_id: str = "doc_id",
     source: str = "source",
+    content: str | None = None,
 ) -> DataFrame:
-    """``docs`` with slot, in_block, block, epoch, release, deadline and weight.
+    """``docs`` with slot, in_block, block, epoch, release, deadline, weight and given.
 
     ``weights`` gives the target by source; without it, weights follow the sources' row
-    counts to the power ``alpha``.  Sources without a weight raise ValueError.
+    counts to the power ``alpha``.  Sources without a weight raise ValueError.  ``period``
+    has no effect any more: the schedule is as long as the input.  ``content`` names a
+    column with a hash of the row, where its columns are not all there.
     """
     spark = docs.sparkSession
     base = docs.drop(*ADDED)
@@ -94,54 +147,41 @@ def mixed(
         raise ValueError(f"no weight for {lost[:5]}")
     else:
         target = [float(weights[r.s]) for r in counts]
-    out_types = "slot long, in_block int, block long, epoch int, release long, deadline long, weight double"
+    out_types = "slot long, in_block int, block long, epoch int, release long, deadline long, weight double, given double"
     if not counts:
         return base.select("*", *[F.lit(None).cast(t.split()[1]).alias(t.split()[0]) for t in out_types.split(", ")])
-    period = max(period, 4 * len(counts))
-    q = shares(target, period)
+    q = whole(target)
     blocks = [-(-r.n // block_rows) for r in counts]
-    table = schedule(q)
-    at = {(s, k): slot for s, k, slot, _, _ in table}
-    slot_of = lambda s, k: k // q[s] * period + at[s, k % q[s]]
-    slots = max(slot_of(s, b - 1) for s, b in enumerate(blocks)) + 1
-    full, part = divmod(slots, period)
-    begun = [0] * len(q)
-    for s, _, slot, _, _ in table:
-        begun[s] += slot < part
-    take = [full * q[s] + begun[s] if repeat else blocks[s] for s in range(len(q))]
+    plan, take, slots = plan_of(spark, q, blocks, repeat)
     kind = base.schema[source].dataType.simpleString()
     facts = spark.createDataFrame(
-        [(r.s, i, q[i], blocks[i], take[i]) for i, r in enumerate(counts)],
-        f"_source {kind}, _s int, _q long, _blocks long, _take long",
+        [(r.s, i, q[i] / sum(q), take[i] / slots, blocks[i], take[i]) for i, r in enumerate(counts)],
+        f"_source {kind}, _s int, weight double, given double, _blocks long, _take long",
     )
-    plan = spark.createDataFrame(table, "_s int, _k long, _slot long, _release long, _deadline long")
 
     total = sum(r.n for r in counts)
     # rank the ids within their sources; ties are rows that are alike in every column
-    rest = [F.coalesce(F.xxhash64(*[F.col(f"`{c}`") for c in base.columns]), F.lit(0))]
+    rest = [F.col(content) if content else row_hash(base)]
     keyed = base.withColumn("_key", seeded_key(seed, F.col(doc_id), *rest)).withColumn("_tie", rest[0])
     placed = ranked(
         keyed, [source], F.shiftright("_key", KEY_BITS - bucket_bits(total)), [F.col("_key"), F.col("_tie")], "_rank"
     ).drop("_key", "_tie")
-    # both tables are bounded: MAX_SOURCES rows, and one row a slot of the period
     rows = placed.join(F.broadcast(facts), F.col(source).eqNullSafe(F.col("_source")))
     rows = rows.withColumn("_block", F.expr(f"_rank div {block_rows}"))
     rows = rows.withColumn("epoch", F.explode(F.expr("sequence(0, cast((_take - 1 - _block) div _blocks as int))")))
-    rows = rows.withColumn("block", F.col("_block") + F.col("epoch") * F.col("_blocks"))
-    rows = rows.withColumn("_k", F.expr("block % _q")).withColumn("_shift", F.expr(f"(block div _q) * {period}"))
-    rows = rows.join(F.broadcast(plan), ["_s", "_k"])
+    rows = rows.withColumn("block", F.col("_block") + F.col("epoch") * F.col("_blocks")).join(plan, ["_s", "block"])
     return rows.select(
         *[F.col(f"`{c}`") for c in base.columns],
-        (F.col("_slot") + F.col("_shift")).alias("slot"),
+        "slot",
         F.expr(f"cast(_rank % {block_rows} as int)").alias("in_block"),
-        "block",
-        "epoch",
-        (F.col("_release") + F.col("_shift")).alias("release"),
-        (F.col("_deadline") + F.col("_shift")).alias("deadline"),
-        (F.col("_q") / F.lit(period)).alias("weight"),
+        *ADDED[2:],
     )
 
 
+def row_hash(docs: DataFrame) -> Column:
+    return F.coalesce(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]), F.lit(0))
+
+
 def op1_mixing(spark, sf_dir: str) -> DataFrame:
     return mixed(read(spark, sf_dir, "documents").select("doc_id", "source"))
 
