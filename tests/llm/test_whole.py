@@ -6,7 +6,8 @@ from collections import Counter
 
 import pytest
 
-from tilescope.llm import mixing
+import corpus_pipeline
+from tilescope.llm import languages, mixing, sharding
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -39,3 +40,40 @@ def test_schedule_of_many_and_of_rare_sources_keeps_the_target():
             assert slot == t and release <= slot < due and given[s] == k
             given[s] += 1
         assert all(abs(given[s] - w * 12_000) < 1 + 1e-9 for s, w in enumerate(weights))
+
+
+def test_final_rows_follow_the_mixture(spark, tmp_path):
+    counts = {"hot": 3000, "a": 1000, "b": 1000, None: 1000}
+    docs = of_sources(spark, counts)
+    names = [n for n, _ in corpus_pipeline.STAGES]
+    assert names[-2:] == ["mixing", "sharding"]
+    total = sum(n**0.7 for n in counts.values())
+    for weights in (None, {"hot": 0.1, "a": 0.3, "b": 0.4, None: 0.2}):
+        mixing.mix_documents(spark, docs, "", weights).write.mode("overwrite").parquet(str(tmp_path))
+        out = sharding.shard_documents(spark, spark.read.parquet(str(tmp_path)), "").collect()
+        target = weights or {s: n**0.7 / total for s, n in counts.items()}
+        assert {r.doc_id for r in out} == set(range(6000)) and len(out) == 6000
+        size = Counter(r.shard for r in out)
+        assert set(size.values()) == {250} and all(r.slot < 250 for r in out)
+        rows = [r.source for r in sorted(out, key=lambda r: (r.shard, r.slot))]
+        until = min(max(i for i, x in enumerate(rows) if x == s) for s in counts)
+        assert until > 2000
+        for t in range(250, until - 64, 250):
+            for s, w in target.items():
+                assert abs(rows[:t].count(s) - w * t) < 128
+
+
+def test_stages_of_the_pipeline_hand_the_mixture_on(spark, tmp_path):
+    docs = of_sources(spark, {"hot": 900, "a": 300, "b": 300})
+    docs.write.parquet(f"{tmp_path}/in")
+    mixed_ = mixing.mix_documents(spark, spark.read.parquet(f"{tmp_path}/in"), "")
+    mixed_.write.parquet(f"{tmp_path}/mixed")
+    again = spark.read.parquet(f"{tmp_path}/mixed")
+    order = {r.doc_id: (r.slot, r.in_block) for r in mixing.mixed(docs, repeat=False).collect()}
+    got = sharding.shard_documents(spark, again, "").collect()
+    assert [r.doc_id for r in sorted(got, key=lambda r: (r.shard, r.slot))] == sorted(order, key=order.get)
+
+
+def test_documents_stay_when_no_language_could_be_learned(spark):
+    docs = of_sources(spark, {"a": 20}).selectExpr("doc_id", "if(doc_id = 3, '12', text) as text", "cast(null as string) as lang", "source", "n_chars")
+    assert {r.doc_id for r in languages.keep_identified(spark, docs, "").collect()} == set(range(20)) - {3}

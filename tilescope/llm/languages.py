@@ -224,6 +224,11 @@ def op6_language_id(spark, sf_dir: str) -> DataFrame:
 
 
 def keep_identified(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents whose language cannot be told at all go."""
+    """Pipeline stage: documents whose language cannot be told at all go.
+
+    If no language could be learned, those are the documents without a letter.
+    """
     model = fit(docs.where(fold(F.col("doc_id"), 3) != 1))
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     return identify(docs, model).where(F.col("lang_pred") != UNKNOWN).select(*docs.columns)

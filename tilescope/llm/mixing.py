@@ -25,6 +25,7 @@ replaced.  More than ``MAX_SOURCES`` sources raise ValueError.
 from __future__ import annotations
 
 import heapq
+import json
 import math
 from collections.abc import Iterator
 from fractions import Fraction
@@ -39,6 +40,8 @@ from tilescope.llm.sharding import KEY_BITS, bucket_bits, seeded_key
 
 MAX_SOURCES = 10_000
 CHUNK = 1 << 20
+NOTE = "tilescope_mixture"
+BLOCK_ROWS = 64
 ADDED = ["slot", "in_block", "block", "epoch", "release", "deadline", "weight", "given"]
 
 
@@ -120,7 +123,7 @@ def mixed(
     docs: DataFrame,
     weights: dict | None = None,
     alpha: float = 0.7,
-    block_rows: int = 64,
+    block_rows: int = BLOCK_ROWS,
     period: int = 1000,
     repeat: bool = True,
     seed: int = 5,
@@ -186,12 +189,24 @@ def op1_mixing(spark, sf_dir: str) -> DataFrame:
     return mixed(read(spark, sf_dir, "documents").select("doc_id", "source"))
 
 
-def mix_documents(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+def mix_documents(spark, docs: DataFrame, sf_dir: str, weights: dict | None = None, alpha: float = 0.7, seed: int = 5) -> DataFrame:
     """Pipeline stage: all documents, each once, in the mixture's order.
 
     Part files and the rows in them follow the schedule, so a reader that takes the
-    files in order sees the target weights as long as its sources last.
+    files in order sees the target weights as long as its sources last.  The mixture is
+    noted with the source column, from which the sharding stage cuts along it.
     """
-    placed = mixed(docs, repeat=False)
+    mixture = {"weights": None if weights is None else [[k, w] for k, w in weights.items()], "alpha": alpha, "seed": seed}
+    placed = mixed(docs, weights, alpha, seed=seed, repeat=False)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return placed.repartitionByRange(parts, "slot", "in_block").sortWithinPartitions("slot", "in_block").select(*docs.columns)
+    placed = placed.repartitionByRange(parts, "slot", "in_block").sortWithinPartitions("slot", "in_block")
+    noted = F.col("source").alias("source", metadata={NOTE: json.dumps(mixture)})
+    return placed.select(*[noted if c == "source" else F.col(f"`{c}`") for c in docs.columns])
+
+
+def mixture_of(docs: DataFrame) -> dict | None:
+    """Arguments of ``mixed`` that the mixing stage noted with the documents."""
+    if NOTE not in docs.schema["source"].metadata:
+        return None
+    noted = json.loads(docs.schema["source"].metadata[NOTE])
+    return noted | {"weights": None if noted["weights"] is None else dict(map(tuple, noted["weights"]))}

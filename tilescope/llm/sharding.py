@@ -46,20 +46,19 @@ def interleaved(df: DataFrame, source: str, key: str, ties: list[str], rows: int
     return ranked(placed, [], F.floor(F.col("_part") * F.lit(1 << bits)), order, position).drop("_part")
 
 
-def sharded(
-    docs: DataFrame, shards: int = 24, seed: int = 17, doc_id: str = "doc_id", source: str = "source", text: str = "text"
-) -> DataFrame:
-    """doc_id, size, text_crc32, law, shard, slot, grown_shard, source for every row."""
+def facts_of(docs: DataFrame, doc_id: str, source: str, text: str, *more: Column) -> DataFrame:
     body = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(
+    return docs.select(
         F.col(doc_id).alias("doc_id"),
         F.col(source).cast("string").alias("source"),
         (F.octet_length(body) + F.lit(8)).cast("long").alias("size"),
         F.crc32(F.encode(body, "UTF-8")).alias("text_crc32"),
+        *more,
     )
-    total = docs.count()
-    keyed = rows.withColumn("_key", seeded_key(seed, F.col("doc_id"), F.col("text_crc32")))
-    placed = interleaved(keyed, "source", "_key", ["doc_id", "text_crc32", "size"], total, "_at")
+
+
+def cut(placed: DataFrame, total: int, shards: int) -> DataFrame:
+    """Shards of equal row counts of rows with their place ``_at`` among all."""
     shard = F.expr(f"_at * {shards} div {max(total, 1)}")
     first = F.expr(f"(shard * {max(total, 1)} + {shards - 1}) div {shards}")
     return (
@@ -72,13 +71,42 @@ def sharded(
     )
 
 
+def sharded(
+    docs: DataFrame, shards: int = 24, seed: int = 17, doc_id: str = "doc_id", source: str = "source", text: str = "text"
+) -> DataFrame:
+    """doc_id, size, text_crc32, law, shard, slot, grown_shard, source for every row."""
+    rows = facts_of(docs, doc_id, source, text)
+    total = docs.count()
+    keyed = rows.withColumn("_key", seeded_key(seed, F.col("doc_id"), F.col("text_crc32")))
+    return cut(interleaved(keyed, "source", "_key", ["doc_id", "text_crc32", "size"], total, "_at"), total, shards)
+
+
+def sharded_along(docs: DataFrame, mixture: dict, shards: int = 24) -> DataFrame:
+    """As ``sharded``, but the rows are cut in the order of a mixture (arguments of ``mixing.mixed``)."""
+    from tilescope.llm.mixing import BLOCK_ROWS, mixed, row_hash
+
+    rows = facts_of(docs, "doc_id", "source", "text", row_hash(docs).alias("_content"))
+    placed = mixed(rows, **mixture, repeat=False, content="_content")
+    bucket = F.expr(f"slot div {max(1, BUCKET_ROWS // BLOCK_ROWS)}")
+    placed = ranked(placed, [], bucket, [F.col("slot"), F.col("in_block")], "_at")
+    return cut(placed, docs.count(), shards)
+
+
 def op4_sharding(spark, sf_dir: str) -> DataFrame:
     return sharded(read(spark, sf_dir, "documents"))
 
 
 def shard_documents(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the shard and slot of every document."""
-    return sharded(docs)
+    """Pipeline stage: the shard and slot of every document.
+
+    Documents that went through the mixing stage are cut along their mixture: the first
+    rows of the shards, taken in order, have the target weights until a source has given
+    all its rows; what the other sources still have follows by their weights.
+    """
+    from tilescope.llm.mixing import mixture_of
+
+    mixture = mixture_of(docs)
+    return sharded(docs) if mixture is None else sharded_along(docs, mixture)
 
 
 ORACLE_SQL = """
