@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import random
 from collections import Counter
 
 import pytest
 
 import corpus_pipeline
-from tilescope.llm import languages, mixing, sharding
+from tilescope.llm import jaccard, languages, links, mixing, sharding
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -77,3 +78,49 @@ def test_stages_of_the_pipeline_hand_the_mixture_on(spark, tmp_path):
 def test_documents_stay_when_no_language_could_be_learned(spark):
     docs = of_sources(spark, {"a": 20}).selectExpr("doc_id", "if(doc_id = 3, '12', text) as text", "cast(null as string) as lang", "source", "n_chars")
     assert {r.doc_id for r in languages.keep_identified(spark, docs, "").collect()} == set(range(20)) - {3}
+
+
+def components(rows):
+    """(id, least id of its class) by comparing all pairs."""
+    sets = {}
+    for i, t in rows:
+        w = t.split()
+        sets[i] = {tuple(w[a : a + 5]) for a in range(len(w) - 4)}
+    root = {i: i for i in sets}
+    top = lambda i: i if root[i] == i else top(root[i])
+    for i in sets:
+        for j in sets:
+            if i < j and 4 * len(sets[i] & sets[j]) >= 3 * len(sets[i] | sets[j]):
+                x, y = top(i), top(j)
+                root[max(x, y)] = min(x, y)
+    return {i: top(i) for i in sets}
+
+
+@pytest.mark.parametrize("brought", [1 << 20, -1])
+def test_texts_of_one_template_do_not_meet_pair_by_pair(spark, monkeypatch, brought):
+    monkeypatch.setattr(links, "BROADCAST_BYTES", brought)
+    monkeypatch.setattr(jaccard, "LEAF", 4)
+    monkeypatch.setattr(links, "LEAF", 4)
+    r = random.Random(4)
+    base = [f"t{i}" for i in range(10)]
+    rows = [" ".join([*base, f"x{i}", f"y{i}"]) for i in range(150)]  # 6 of 10 shingles shared: no links
+    rows += [" ".join([*base, f"x{i}", f"y{i}", "z"]) for i in range(0, 150, 10)]  # each links with one of these
+    rows += [" ".join([*base, *["u"] * (i % 2)]) + f" v{i}" * (i % 3 == 0) for i in range(12)]
+    long = [f"l{i}" for i in range(40)]
+    for i in range(90):  # parts of a longer template, with words of their own
+        words = long[r.randint(0, 3) : 40 - r.randint(0, 3)] + [f"q{i}w{k}" for k in range(r.choice([0, 2, 5, 9]))]
+        rows.append(" ".join(words))
+    rows = list(dict.fromkeys(rows))
+    r.shuffle(rows)
+    rows = list(enumerate(rows))
+    met, split = [], links.split
+
+    def seen(*args):
+        found, rest = split(*args)
+        met.append(rest.distinct().count())
+        return found, rest
+
+    monkeypatch.setattr(links, "split", seen)
+    got = links.jaccard_classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    assert {r.id: r.component_id for r in got.select("id", "component_id").collect()} == components(rows)
+    assert met[0] < 150 * 149 / 4, met
