@@ -5,6 +5,8 @@ from __future__ import annotations
 import random
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -124,3 +126,20 @@ def test_texts_of_one_template_do_not_meet_pair_by_pair(spark, monkeypatch, brou
     got = links.jaccard_classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
     assert {r.id: r.component_id for r in got.select("id", "component_id").collect()} == components(rows)
     assert met[0] < 150 * 149 / 4, met
+
+
+def test_every_letter_of_the_training_text_counts():
+    r = random.Random(2)
+    letters = [chr(0x4E00 + i) for i in range(4000)]
+    # two languages in one script that differ in the order of letters only
+    pairs = {"a": [x + y for x, y in zip(letters[::2], letters[1::2])], "b": [y + x for x, y in zip(letters[::2], letters[1::2])]}
+    text = lambda lang, n: "".join(r.choice(pairs[lang]) for _ in range(n))
+    train = {k: "".join(r.sample(v, len(v))) + text(k, 4000) for k, v in pairs.items()} | {"c": "abc xyz " * 40}
+    model = languages.Model(train)
+    lang = [x for x in "ab" for _ in range(20)]
+    tests = [text(x, 30) for x in lang]
+    assert model.predict(pa.array(tests), 512)[0] == lang
+    some = {k: v[:900] for k, v in train.items()}  # all letters in the dense table, and few of them
+    more = pa.array([*tests, "abc zzz 漢 xyz", "ああ", *(v[200:300] for v in some.values())])
+    few, dense = (languages.Model(some, alphabet=n).phrases(more, 16)[0] for n in (5, 5000))
+    assert np.array_equal(few, dense)

@@ -7,8 +7,10 @@ per character is least, wins.
 
 Text is reduced to lower-case letters with one blank between words.  Parsing runs
 over blocks of ``block`` characters (a phrase ends where a block ends), many
-blocks in step, through one dense transition table per language, so a task needs
-the tables and one slice of text and nothing that grows with the corpus.
+blocks in step, through one transition table per language, so a task needs
+the tables and one slice of text and nothing that grows with the corpus.  Every letter
+of the training text has a code: the transitions of the most frequent ``alphabet``
+letters are in a dense table, those of all others in a sorted list of (state, letter).
 
 The labelled sample is bounded: ``sample_docs`` documents a language, in the order
 of a hash of the id and none of over ``sample_length`` characters, up to
@@ -93,27 +95,38 @@ class Model:
             for c in t:
                 if c != " ":
                     seen[c] = seen.get(c, 0) + 1
-        chars = sorted(sorted(seen), key=lambda c: -seen[c])[:alphabet]
-        code = {" ": 0} | {c: i + 1 for i, c in enumerate(chars)}
-        self.width = len(code) + 1  # the last code: letters that no training text has
+        chars = sorted(sorted(seen), key=lambda c: -seen[c])
+        code = {" ": 0} | {c: i + 1 for i, c in enumerate(chars[:alphabet])}
+        self.width = len(code) + 1  # the last dense code: letters that no training text has
+        # letters beyond the dense table follow
+        code |= {c: self.width + i for i, c in enumerate(chars[alphabet:])}
+        self.letters = self.width + len(chars[alphabet:])
         letter, low = letter_codes()
-        table = np.zeros(0x110000, np.uint8)
-        table[letter] = self.width - 1
-        of = np.full(0x110000, self.width - 1, np.uint8)
+        table = np.zeros(0x110000, np.int32)
+        of = np.full(0x110000, self.width - 1, np.int32)
         for c, i in code.items():
             of[ord(c)] = i
         table[letter] = of[low[letter]]
         self.codes = table
         parts, base = [], []
-        at = 0
+        at = states = 0
         self.bits = []
-        for lang in self.languages:
+        first, keys, steps_to = [], [], []  # of the sparse part: a language's first state, (state, letter) and next state
+        self.roots = np.full((len(self.languages), self.letters - self.width), -1, np.int64)
+        for k, lang in enumerate(self.languages):
             auto = suffix_automaton(texts[lang])
             t = np.full((len(auto), self.width), -1, np.int64)
             for s, steps in enumerate(auto):
                 for c, to in steps.items():
-                    if c in code:
+                    if code[c] < self.width:
                         t[s, code[c]] = to
+                    else:
+                        keys.append((states + s) * self.letters + code[c])
+                        steps_to.append(to)
+                        if s == 0:
+                            self.roots[k, code[c] - self.width] = to
+            first.append(states)
+            states += len(auto)
             root = t[0].copy()
             # the phrase ends before this character; a character unknown to the language is one more
             restart = np.where(root >= 0, root * 4 + 1, 2)
@@ -125,6 +138,23 @@ class Model:
             self.bits.append(np.log2(max(2, len(texts[lang]))))
         self.table = np.concatenate(parts) if parts else np.zeros(0, np.int32)
         self.base = np.array(base, np.int64)[:, None]
+        self.first = np.array(first, np.int64)[:, None]
+        order = np.argsort(np.array(keys, np.int64))
+        self.keys, self.steps_to = np.array(keys, np.int64)[order], np.array(steps_to, np.int64)[order]
+
+    def step(self, state: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """Next states (times 4, plus the phrases that end) by language and text."""
+        rare = np.flatnonzero(code >= self.width)
+        if not len(rare):
+            return self.table[self.base + state * self.width + code]
+        out = self.table[self.base + state * self.width + np.minimum(code, self.width - 1)]
+        at, code = state[:, rare], code[rare]
+        key = (self.first + at) * self.letters + code
+        place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        root = self.roots[:, code - self.width]
+        ends = np.where(root >= 0, root * 4 + (at > 0), 1 + (at > 0))
+        out[:, rare] = np.where(self.keys[place] == key, self.steps_to[place] * 4, ends)
+        return out
 
     def phrases(self, column: pa.Array, block: int) -> tuple[np.ndarray, np.ndarray]:
         """Phrases by language and document, and reduced characters of each document."""
@@ -153,7 +183,7 @@ class Model:
         state = np.zeros((len(self.languages), len(doc)), np.int64)
         found = np.zeros_like(state, dtype=np.int32)
         for t, m in enumerate(active):
-            step = self.table[self.base + state[:, :m] * self.width + code[start[:m] + t]]
+            step = self.step(state[:, :m], code[start[:m] + t])
             state[:, :m] = step >> 2
             found[:, :m] += step & 3
         found += state > 0  # the phrase that the end cuts
