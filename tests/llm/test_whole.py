@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from tilescope.llm import jaccard, languages, links, mixing, sharding
+from tilescope.llm import jaccard, languages, links, mixing, scoring, sharding
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -143,3 +143,23 @@ def test_every_letter_of_the_training_text_counts():
     more = pa.array([*tests, "abc zzz 漢 xyz", "ああ", *(v[200:300] for v in some.values())])
     few, dense = (languages.Model(some, alphabet=n).phrases(more, 16)[0] for n in (5, 5000))
     assert np.array_equal(few, dense)
+
+
+def test_every_training_row_trains_the_attention_model(spark, monkeypatch):
+    docs = of_sources(spark, {"a": 60, "b": 30})
+    held_out = docs.doc_id % 5 == 0
+    trained, tokens, average, count_ids = [], [], scoring.average, scoring.count_ids
+
+    def averaged(rows):
+        rows = rows.cache()
+        trained.extend(r.weight for r in rows.collect())
+        return average(rows)
+
+    def counted(*args):
+        tokens.append(count_ids(*args))
+        return tokens[0]
+
+    monkeypatch.setattr(scoring, "average", averaged)
+    monkeypatch.setattr(scoring, "count_ids", counted)
+    assert scoring.scored(docs, held_out).count() == 90
+    assert sum(trained) == sum(tokens[0].values()) > 0
