@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tilescope.llm import contamination, fingerprints, links, repeats, scoring, sharding, warc
+from tilescope.llm import audit, contamination, fingerprints, links, packing, repeats, scoring, sharding, variants, warc
 from tilescope.llm.languages import op6_language_id
 from tilescope.llm.mixing import op1_mixing
 
@@ -17,6 +17,9 @@ QUERIES = {
     "op8_jaccard_join": links.op8_jaccard_join,
     "op9_warc": warc.op9_warc,
     "op10_substring_dedup": repeats.op10_substring_dedup,
+    "op11_packing": packing.op11_packing,
+    "op12_variants": variants.op12_variants,
+    "op13_filter_audit": audit.op13_filter_audit,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -25,4 +28,6 @@ ORACLE_SQL: dict[str, str] = {
     "op8_jaccard_join": links.ORACLE_SQL,
     "op9_warc": warc.ORACLE_SQL,
     **repeats.ORACLE_SQL,
+    "op12_variants": variants.ORACLE_SQL,
+    "op13_filter_audit": audit.ORACLE_SQL,
 }
