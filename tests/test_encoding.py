@@ -1,8 +1,9 @@
 """dense user codes, NULL last; two-phase equals the global window."""
 
 from conftest import SF_ORACLE, rows
+from plain_forms import dense_codes_window
 
-from tilescope.operators.encoding import dense_codes, dense_codes_window, encode
+from tilescope.operators.encoding import dense_codes, encode
 from tilescope.sources.canvas import read_canvas
 from tilescope.sources.raw import raw_from_canvas
 

@@ -4,14 +4,15 @@ from datetime import datetime
 
 import pyarrow.parquet as pq
 import pytest
-from conftest import SF_SMALL, rows
+from conftest import SF_ORACLE, SF_SMALL, rows
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
-from tilescope.config import scratch_path
+from tilescope.config import materialize, scratch_path
 from tilescope.plans.ingest import compact, export, load_log, parse_raw
 from tilescope.sources.canvas import read_canvas
 from tilescope.sources.raw import RAW_DDL, raw_from_canvas, read_raw_csv, write_raw_csv
-from tilescope.sources.sinks import export_parquet, stamped_path
+from tilescope.sources.sinks import day_layout, export_parquet, stamped_path
 
 
 def write_csv(tmp_path, lines):
@@ -156,6 +157,94 @@ def test_day_directories_prune_ranges(spark, tmp_path):
     assert rows(time_range(table, midnight, "both", day_column="day").drop("day")) == rows(time_range(canvas, midnight, "both"))
 
 
+def _file_ranges(path):
+    """(first, last, rows) of every file by day, from the footers."""
+    import glob
+    from collections import defaultdict
+
+    days = defaultdict(list)
+    for f in glob.glob(path + "/day=*/*.parquet"):
+        meta = pq.ParquetFile(f).metadata
+        stats = [meta.row_group(i).column(0).statistics for i in range(meta.num_row_groups)]
+        days[f.split("/")[-2]].append((min(x.min for x in stats), max(x.max for x in stats), meta.num_rows) if stats[0].has_min_max else (None, None, meta.num_rows))
+    return days
+
+
+def test_files_of_a_day_follow_each_other_in_time(spark, tmp_path):
+    canvas = read_canvas(spark, SF_ORACLE)
+    at = lambda df, t: df.withColumn("timestamp", F.lit(t).cast("timestamp_ntz"))
+    # a burst in one instant, a burst in one second, and rows without a time
+    canvas = canvas.unionAll(at(canvas.limit(300), "2024-01-15 10:10:10")).unionAll(at(canvas.limit(90), None))
+    burst = at(canvas.limit(200), "2024-01-16 00:00:00").withColumn("timestamp", F.col("timestamp") + F.expr("make_interval(0, 0, 0, 0, 0, 0, rand(3))"))
+    canvas = materialize(canvas.unionAll(burst))
+    path = export_parquet(canvas, str(tmp_path / "x"), rows_per_file=50)
+    days = _file_ranges(path)
+    assert len(days.pop("day=__HIVE_DEFAULT_PARTITION__")) == 2
+    assert len(days) == 30
+    for day, files in days.items():
+        files.sort()
+        together = [(a, b) for a, b in zip(files, files[1:]) if a[1] >= b[0]]
+        assert len(files) >= 7 and max(n for *_, n in files) <= 100
+        # only files of one instant may share it
+        assert all(a[1] == b[0] == datetime(2024, 1, 15, 10, 10, 10) for a, b in together), (day, together)
+        assert bool(together) == (day == "day=2024-01-15")
+    assert rows(spark.read.parquet(path).drop("day")) == rows(canvas)
+
+
+def test_every_ranged_operator_reads_its_days_only(spark, tmp_path):
+    from tilescope.functions.ranges import TimeRange, partition_day
+    from tilescope.operators import blocks, frequency, series, sessions, share
+
+    canvas = read_canvas(spark, SF_SMALL)
+    table = spark.read.parquet(export_parquet(canvas, str(tmp_path / "x")))
+    rng = TimeRange.parse("2024-01-10 00", "2024-01-11 06")
+    assert partition_day(table) == "day"
+    asked = {
+        "summary": lambda df: frequency.top_summary(df, rng),
+        "frequency": lambda df: frequency.frequency(df, ["pixel_color"], rng),
+        "top": lambda df: frequency.top_frequencies(df, rng),
+        "share": lambda df: share.category_share(df, "click", rng),
+        "share_at": lambda df: share.category_share_at(df, "click", 704, 0, rng),
+        "hours": lambda df: series.hourly_counts(df, [(704, 0), (900, 0)], rng),
+        "sessions": lambda df: sessions.sessions(df, rng=rng),
+    }
+    for name, ask in asked.items():
+        plan = ask(table)._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(day" in plan, name
+        assert rows(ask(table)) == rows(ask(canvas)), name
+    text = frequency.frequency(table.withColumn("timestamp", F.col("timestamp").cast("string")), ["pixel_color"], rng, "text")
+    assert "PartitionFilters: []" in text._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_day_that_is_not_the_partition_column_prunes_nothing(spark, tmp_path):
+    from tilescope.functions.ranges import TimeRange, partition_day, time_range
+
+    canvas = read_canvas(spark, SF_SMALL)
+    table = spark.read.parquet(export_parquet(canvas, str(tmp_path / "x")))
+    rng = TimeRange.parse("2024-01-10 00", "2024-01-11 06")
+    want = rows(time_range(canvas, rng))
+    others = [
+        table.withColumn("day", F.lit("1999-01-01").cast("date")),
+        table.drop("day"),
+        table.withColumn("timestamp", F.col("timestamp") + F.expr("interval 0 second")),
+        canvas.withColumn("day", F.lit("1999-01-01").cast("date")),
+        table.unionByName(table.limit(0).withColumn("day", F.lit("1999-01-01").cast("date"))),
+    ]
+    for other in others:
+        assert partition_day(other) is None
+        assert rows(time_range(other, rng).drop("day")) == want
+    shifted = table.withColumn("timestamp", F.col("timestamp") + F.expr("interval 5 day"))
+    assert time_range(shifted, rng).count() == canvas.filter("timestamp between timestamp_ntz'2024-01-05' and timestamp_ntz'2024-01-06 06:00:00'").count()
+    assert partition_day(table.filter("x_coord > 3").alias("t")) == "day"
+
+
+def test_layout_of_an_empty_table(spark, tmp_path):
+    empty = read_canvas(spark, SF_SMALL).limit(0)
+    path = export_parquet(empty, str(tmp_path / "x"), day_partitions=False)
+    assert spark.read.parquet(path).count() == 0
+    assert day_layout(empty).files == 1
+
+
 def test_ingest_csv_end_to_end(spark, tmp_path):
     from tilescope.plans.ingest import ingest_csv
     from tilescope.sources.sinks import latest_export

@@ -4,9 +4,10 @@ from datetime import timedelta
 
 import pytest
 from conftest import SF_ORACLE, rows
+from plain_forms import sessions_by_lag, sessions_by_window
 
 from tilescope.functions.ranges import TimeRange
-from tilescope.operators.sessions import event_gaps, session_stats, sessions, sessions_by_lag, sessions_by_window
+from tilescope.operators.sessions import SPANS, event_gaps, merge_fragments, session_buckets, session_stats, sessions
 from tilescope.sources.canvas import read_canvas
 from pyspark.sql import Window, functions as F
 
@@ -84,11 +85,17 @@ def test_gaps_equal_plain_lag(spark):
     w = Window.partitionBy("user_id_encoded").orderBy("timestamp")
     plain = df.select("user_id_encoded", "timestamp", F.lag("timestamp").over(w).alias("p"))
     expected = rows(plain)
-    for chunk in (1, 24):
-        got = rows(event_gaps(df, chunk_hours=chunk).select("user_id_encoded", "timestamp", "prev_timestamp"))
+    for size in (None, 1, 3, 1000):
+        got = rows(event_gaps(df, rows_per_slice=size).select("user_id_encoded", "timestamp", "prev_timestamp"))
         assert got == expected
 
 
+def test_gaps_move_the_rows_once(spark):
+    df = read_canvas(spark, SF_ORACLE)
+    plan = event_gaps(df, rows_per_slice=20)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("FileScan") == 1
+
+
 def test_gap_seconds(canvas):
     got = rows(event_gaps(canvas(F2[:3])).select("gap_seconds"))
     assert got == sorted([(None,), (899.999999,), (900.0,)], key=repr)
@@ -120,3 +127,34 @@ def test_wall_clock_under_dst_session_zone(spark, canvas):
     assert gaps == [600.0, 7200.5]
     assert hours == [1, 1, 1, 3]
     assert sess == [(2, 600_000_000)]
+
+
+def test_a_user_without_pause_is_spread_by_day(spark):
+    """An event each minute for two years: one fragment a day is left for the last step."""
+    minutes = 2 * 365 * 24 * 60
+    df = spark.range(minutes).select(
+        F.expr("timestamp_ntz'2020-01-01 00:00:30' + make_interval(0, 0, 0, 0, 0, id, 0)").alias("timestamp"), F.lit(1).cast("long").alias("user_id_encoded")
+    )
+    df = df.unionAll(df.limit(40).withColumn("user_id_encoded", F.lit(2).cast("long")))
+    got = rows(sessions(df).select("user_id_encoded", "events", "length_us"))
+    assert got == [(1, minutes, (minutes - 1) * 60_000_000), (2, 40, 39 * 60_000_000)]
+    day = F.date_trunc("day", "_s")
+    buckets = session_buckets(df).select("user_id_encoded", "_s", "_e", "_n", day.alias("_day"))
+    assert merge_fragments(buckets, ["user_id_encoded", "_day"], 900_000_000).count() == 730 + 1
+    assert SPANS[0] == 96
+
+
+@pytest.mark.parametrize("minutes", [7, 15])
+def test_fragments_meet_at_every_edge(spark, minutes):
+    """Sessions that end and start around midnight, at 64 days, and before 1970."""
+    gap = timedelta(minutes=minutes)
+    times = []
+    for start in ("1969-12-30", "1970-03-05", "2024-01-31", "2024-02-01"):
+        for offset in (-1800.0, -900.000001, -900.0, -420.0, -0.000001, 0.0, 0.000001, 419.999999, 420.0, 900.0, 900.000001, 86399.0):
+            times.append((start, offset))
+    df = spark.createDataFrame(times, "day string, offset double").select(
+        (F.col("day").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("offset").cast("decimal(18,6)"))).alias("timestamp"),
+        F.explode(F.expr("array(1L, 2L)")).alias("user_id_encoded"),
+    )
+    df = df.filter("user_id_encoded = 1 or hash(timestamp) % 2 = 0")
+    assert rows(sessions(df, gap=gap)) == rows(sessions_by_lag(df, gap=gap))

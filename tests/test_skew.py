@@ -4,11 +4,12 @@ from datetime import timedelta
 
 import pytest
 from conftest import SF_ORACLE, rows
+from plain_forms import sessions_by_lag
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tilescope.operators.blocks import block_unique_users
-from tilescope.operators.sessions import event_gaps, gap_slices, session_buckets, sessions, sessions_by_lag
+from tilescope.operators.sessions import event_gaps, gap_slices, session_buckets, sessions
 from tilescope.sources.canvas import read_canvas
 
 HOT = -1
@@ -34,21 +35,19 @@ def test_hot_user_reaches_merge_as_bucket_summaries(skewed):
     assert hot_buckets < hot_rows
 
 
-@pytest.mark.parametrize("rows_per_chunk", [None, 4, 1000])
-def test_hot_user_gaps_exact_and_split(skewed, rows_per_chunk):
+@pytest.mark.parametrize("rows_per_slice", [None, 4, 1000])
+def test_hot_user_gaps_exact_and_split(skewed, rows_per_slice):
     w = Window.partitionBy("user_id_encoded").orderBy("timestamp")
     plain = skewed.select("user_id_encoded", "timestamp", F.lag("timestamp").over(w).alias("p"))
-    got = event_gaps(skewed, rows_per_chunk=rows_per_chunk).select("user_id_encoded", "timestamp", "prev_timestamp")
+    got = event_gaps(skewed, rows_per_slice=rows_per_slice).select("user_id_encoded", "timestamp", "prev_timestamp")
     # equal multisets of (user, time, previous time)
     assert rows(got) == rows(plain)
-    chunks = (
-        skewed.filter(F.col("user_id_encoded") == HOT)
-        .groupBy(F.date_trunc("hour", "timestamp"))
-        .count()
-        .agg(F.count(F.lit(1)), F.max("count"))
-        .collect()[0]
-    )
-    assert chunks[0] > 500 and chunks[1] < 100  # many small (user, hour) groups
+    sizes = [r[0] for r in gap_slices(skewed, rows_per_slice).filter(F.col("user_id_encoded") == HOT).select("rows").collect()]
+    assert sum(sizes) == 10_000
+    if rows_per_slice is None:
+        assert len(sizes) == 1
+    else:
+        assert max(sizes) < 15 * rows_per_slice and len(sizes) > 10_000 / rows_per_slice / 4
 
 
 def test_hot_block_distinct_users(skewed):
@@ -62,24 +61,12 @@ def test_hot_block_distinct_users(skewed):
     assert got == exact
 
 
-def test_hot_hours_are_sliced(spark, canvas):
-    # one user, 40 events inside one hour: with 10 rows per chunk it becomes 4 slices
-    data = [(f"2022-04-02 10:{m:02d}:{s:02d}", 1, 0, 0, "a") for m in range(0, 60, 3) for s in (0, 30)]
-    df = canvas(data)
-    got = rows(event_gaps(df, rows_per_chunk=10).select("gap_seconds"))
-    assert got == sorted([(None,)] + [(30.0,), (150.0,)] * 19 + [(30.0,)], key=repr)
-    sizes = sorted(r[0] for r in gap_slices(df, rows_per_chunk=10).select("rows").collect())
-    assert sizes == [10, 10, 10, 10]
-
-
-def test_burst_is_split_by_count(spark, canvas):
-    # 60 events in one minute (one per second) plus 10 spread over the hour:
-    # slices follow row counts, not equal time spans
-    data = [(f"2022-04-02 10:30:{s:02d}", 1, 0, 0, "a") for s in range(60)]
+def test_a_burst_of_one_user_is_split_and_ties_stay_together(spark, canvas):
+    data = [(f"2022-04-02 10:30:{s:02d}", 1, 0, 0, "a") for s in range(60)] * 3
     data += [(f"2022-04-02 10:{m:02d}:00", 1, 0, 0, "a") for m in (0, 5, 10, 15, 20, 40, 45, 50, 55, 59)]
     df = canvas(data)
-    sizes = [r[0] for r in gap_slices(df, rows_per_chunk=10).select("rows").collect()]
-    assert sum(sizes) == 70 and max(sizes) <= 11 and len(sizes) >= 7
+    sizes = [r[0] for r in gap_slices(df, rows_per_slice=8).select("rows").collect()]
+    assert sum(sizes) == 190 and len(sizes) >= 4 and max(sizes) < 120
     w = Window.partitionBy("user_id_encoded").orderBy("timestamp")
     plain = df.select("user_id_encoded", "timestamp", F.lag("timestamp").over(w).alias("p"))
-    assert rows(event_gaps(df, rows_per_chunk=10).select("user_id_encoded", "timestamp", "prev_timestamp")) == rows(plain)
+    assert rows(event_gaps(df, rows_per_slice=8).select("user_id_encoded", "timestamp", "prev_timestamp")) == rows(plain)

@@ -68,9 +68,3 @@ def encode(df: DataFrame, key: str, code: str, partitions: int | None = None) ->
     joined = df.join(broadcast_if_bounded(codes, total), df[key].eqNullSafe(codes["_key"]), "left")
     cols = [F.col("_code").alias(code) if c == key else F.col(c) for c in df.columns]
     return joined.select(*cols)
-
-
-def dense_codes_window(df: DataFrame, key: str, code: str = "code") -> DataFrame:
-    """Single-partition window form; only used as a test oracle."""
-    w = Window.orderBy(F.col(key).asc_nulls_last())
-    return df.select(key).distinct().select(key, F.dense_rank().over(w).cast("bigint").alias(code))

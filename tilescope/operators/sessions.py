@@ -5,37 +5,36 @@ sends all rows of one user to one task.
 
 Sessions: any two events of a user that fall into the same ``gap``-wide time
 bucket are less than ``gap`` apart, so they always share a session.  Rows are
-therefore first reduced to one (min, max, count) per (user, bucket) with a
-plain hash aggregate, which combines map-side before the shuffle.  The
-per-user merge that follows sees at most ``span / gap`` rows per user,
-independent of how many events the user has.
-
-Gaps: every event needs its predecessor, so rows cannot be reduced; ``lag``
-runs per (user, day chunk, slice), where only (user, day) pairs with very
-many rows are cut into slices of about ``rows_per_chunk`` rows, and the first
-row of a slice takes the user's last event of the previous active slice from
-a per-slice summary.
+therefore first reduced to one (min, max, count) fragment per (user, bucket) with a
+plain hash aggregate, which combines map-side before the shuffle.  Fragments are
+merged by (user, day); only those within ``gap`` of their day's edges can belong to a
+longer session, and go on to be merged by longer spans and at last by user.  So a
+user's work is spread over tasks by day, and the last step sees at most one fragment
+for each span of a user who never pauses.
+
+Gaps: every event needs its predecessor, so rows cannot be reduced.  One event in
+``rows_per_slice``, chosen by a hash of user and time, ends a slice of its user's
+events.  A first scan finds these few events; a second moves every row once, to its
+(user, slice), where ``lag`` runs.  The event before a slice is the one that ended the
+slice before it, so nothing has to be carried over by another pass.
 """
 
 from __future__ import annotations
 
 from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tilescope.config import CANVAS, Columns, broadcast_if_bounded, materialize
 from tilescope.constants import SESSION_GAP
-from tilescope.functions.exprs import hours_since_epoch, micros_between, seconds_between
+from tilescope.functions.exprs import micros_between, seconds_between
 from tilescope.functions.ranges import TimeRange, time_range
 
 DEFAULT_GAP = SESSION_GAP
 
 
-def _chunk(ts: str, chunk_hours: int) -> Column:
-    return F.floor(hours_since_epoch(ts) / F.lit(int(chunk_hours))).cast("bigint")
-
-
 def _micros(gap: timedelta) -> int:
     us = int(round(gap.total_seconds() * 1_000_000))
     if us <= 0:
@@ -47,105 +46,49 @@ def _epoch_micros(ts: str) -> Column:
     return micros_between(F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(ts))
 
 
-ROWS_PER_CHUNK = 5_000_000
-_SECOND_US = 1_000_000
-
-
-def _gap_base(df: DataFrame, chunk_hours: int, cols: Columns) -> DataFrame:
-    return (
-        df.filter(F.col(cols.user).isNotNull() & F.col(cols.time).isNotNull())
-        .select(cols.user, cols.time)
-        .withColumn("_chunk", _chunk(cols.time, chunk_hours))
-    )
+ROWS_PER_SLICE = 1_000_000
 
 
-def _with_slices(base: DataFrame, chunk_hours: int, rows_per_chunk: int | None, cols: Columns) -> DataFrame:
-    """Add ``_slice``: 0 for ordinary (user, chunk) pairs; for a pair with more
-    than ``rows_per_chunk`` rows, consecutive time slices of about
-    ``rows_per_chunk`` rows each.
+def _sliced(df: DataFrame, rows_per_slice: int | None, cols: Columns) -> DataFrame:
+    """User and time of each event, its ``_slice``, and the event that ended the slice before it (``_before``).
 
-    Slice bounds come from per-second counts of the hot pairs only (a
-    map-side combined aggregate, at most chunk seconds rows per pair); a
-    running sum over them marks the seconds where a new slice starts.  Each
-    hot pair keeps a short sorted array of those seconds (all arrays together
-    hold at most rows / rows_per_chunk entries), broadcast under that proven
-    bound.  A slice holds at most ``rows_per_chunk`` rows plus one second of
-    the user's rows, whatever the shape of a burst.
+    Slices end at events whose hash is 0 modulo ``rows_per_slice``, so their sizes are
+    those of a geometric distribution with that mean, whatever the shape of a burst;
+    all events of one microsecond of one user share a slice.  All ends together are about
+    rows / rows_per_slice entries, broadcast under that bound if they are few.
     """
-    zero = base.withColumn("_slice", F.lit(0).cast("bigint"))
-    if rows_per_chunk is None:
-        return zero
-    r = int(rows_per_chunk)
-    hot = materialize(
-        base.groupBy(cols.user, "_chunk")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > F.lit(r))
-        .select(cols.user, "_chunk")
-    )
-    n_hot = hot.count()
-    if n_hot == 0:
-        return zero
-    chunk_us = int(chunk_hours) * 3_600_000_000
-    second = F.floor((_epoch_micros(cols.time) - F.col("_chunk") * F.lit(chunk_us)) / F.lit(_SECOND_US)).cast("bigint")
-    hot_rows = base.join(broadcast_if_bounded(hot, n_hot), [cols.user, "_chunk"], "left_semi")
-    per_second = hot_rows.groupBy(cols.user, "_chunk", second.alias("_sec")).agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy(cols.user, "_chunk").orderBy("_sec")
-    before = F.coalesce(F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    piece = per_second.select(cols.user, "_chunk", "_sec", F.floor(before / F.lit(r)).alias("_piece"))
-    starts = piece.select(
-        cols.user, "_chunk", "_sec", (F.col("_piece") > F.lag("_piece", 1, 0).over(w)).alias("_new")
-    ).filter("_new")
-    bounds = materialize(
-        starts.groupBy(cols.user, "_chunk").agg(F.array_sort(F.collect_list("_sec")).alias("_bounds"))
-    )
-    with_bounds = base.join(broadcast_if_bounded(bounds, n_hot), [cols.user, "_chunk"], "left")
-    sliced = F.when(F.col("_bounds").isNull(), F.lit(0)).otherwise(
-        F.size(F.filter("_bounds", lambda b: b <= second))
-    )
-    return with_bounds.withColumn("_slice", sliced.cast("bigint")).drop("_bounds")
-
-
-def gap_slices(
-    df: DataFrame, chunk_hours: int = 24, rows_per_chunk: int | None = ROWS_PER_CHUNK, cols: Columns = CANVAS
-) -> DataFrame:
-    """Rows per (user, chunk, slice): the task sizes of :func:`event_gaps`."""
-    base = _gap_base(df, chunk_hours, cols)
-    return (
-        _with_slices(base, chunk_hours, rows_per_chunk, cols)
-        .groupBy(cols.user, "_chunk", "_slice")
-        .agg(F.count(F.lit(1)).alias("rows"))
-    )
-
-
-def event_gaps(
-    df: DataFrame, chunk_hours: int = 24, rows_per_chunk: int | None = ROWS_PER_CHUNK, cols: Columns = CANVAS
-) -> DataFrame:
+    base = df.filter(F.col(cols.user).isNotNull() & F.col(cols.time).isNotNull()).select(cols.user, cols.time)
+    whole = base.select(cols.user, cols.time, F.lit(0).alias("_slice"), F.lit(None).cast("timestamp_ntz").alias("_before"))
+    if rows_per_slice is None:
+        return whole
+    chosen = F.pmod(F.xxhash64(cols.user, _epoch_micros(cols.time)), F.lit(int(rows_per_slice))) == 0
+    ends = base.filter(chosen).groupBy(cols.user).agg(F.array_sort(F.collect_set(cols.time)).alias("_ends"))
+    ends = materialize(ends)
+    users = ends.count()
+    if users == 0:
+        return whole
+    t = F.col(cols.time)
+    joined = base.join(broadcast_if_bounded(ends, users), cols.user, "left")
+    number = F.when(F.col("_ends").isNull(), 0).otherwise(F.size(F.filter("_ends", lambda e: e < t)))
+    joined = joined.withColumn("_slice", number)
+    return joined.select(cols.user, cols.time, "_slice", F.when(F.col("_slice") > 0, F.get("_ends", F.col("_slice") - 1)).alias("_before"))
+
+
+def gap_slices(df: DataFrame, rows_per_slice: int | None = ROWS_PER_SLICE, cols: Columns = CANVAS) -> DataFrame:
+    """Rows per (user, slice): the task sizes of :func:`event_gaps`."""
+    return _sliced(df, rows_per_slice, cols).groupBy(cols.user, "_slice").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def event_gaps(df: DataFrame, rows_per_slice: int | None = ROWS_PER_SLICE, cols: Columns = CANVAS) -> DataFrame:
     """Each event with its user's previous event time and the gap in seconds.
 
-    ``lag`` runs per (user, chunk, slice): chunks are ``chunk_hours`` of wall
-    clock (a day by default, so a sparse user has few chunk summaries), and a
-    (user, chunk) pair with more than ``rows_per_chunk`` rows is cut into
-    consecutive slices of about that many rows (see :func:`_with_slices`).  The first row of a slice takes the user's last
-    event of the previous active slice from a per-slice maximum (a map-side
-    combined aggregate), so only the ``lag`` pass shuffles data-sized rows.
-    Rows with a NULL user or time are skipped.  ``rows_per_chunk=None``
-    skips the hot-pair pass (chunks only).
+    Two scans, one shuffle of the rows by (user, slice), one sort.  Rows with a NULL user
+    or time are skipped.  ``rows_per_slice=None`` leaves users whole and scans once.
     """
-    sliced = _with_slices(_gap_base(df, chunk_hours, cols), chunk_hours, rows_per_chunk, cols)
-    keys = [cols.user, "_chunk", "_slice"]
-    local = sliced.withColumn("_prev", F.lag(cols.time).over(Window.partitionBy(*keys).orderBy(cols.time)))
-    last = sliced.groupBy(*keys).agg(F.max(cols.time).alias("_last"))  # combines map-side
-    carried = last.select(
-        *keys, F.lag("_last").over(Window.partitionBy(cols.user).orderBy("_chunk", "_slice")).alias("_carry")
-    )
-    joined = local.join(carried, keys, "left")
-    prev = F.coalesce(F.col("_prev"), F.col("_carry"))
-    return joined.select(
-        cols.user,
-        cols.time,
-        prev.alias("prev_timestamp"),
-        seconds_between(prev, F.col(cols.time)).alias("gap_seconds"),
-    )
+    w = Window.partitionBy(cols.user, "_slice").orderBy(cols.time)
+    prev = F.coalesce(F.lag(cols.time).over(w), F.col("_before"))
+    found = _sliced(df, rows_per_slice, cols).select(cols.user, cols.time, prev.alias("prev_timestamp"))
+    return found.select("*", seconds_between("prev_timestamp", F.col(cols.time)).alias("gap_seconds"))
 
 
 def session_buckets(df: DataFrame, gap: timedelta = DEFAULT_GAP, cols: Columns = CANVAS) -> DataFrame:
@@ -163,6 +106,26 @@ def session_buckets(df: DataFrame, gap: timedelta = DEFAULT_GAP, cols: Columns =
     )
 
 
+# Widths of the spans in which fragments are merged: 96 gaps (a day of quarter hours),
+# 64 of these, then all.
+SPANS = (96, 64)
+
+
+def merge_fragments(fragments: DataFrame, keys: list[str], gap_us: int) -> DataFrame:
+    """Merge (first ``_s``, last ``_e``, count ``_n``) fragments that do not overlap, by ``keys``.
+
+    Two that follow each other within the gap become one; the merge is associative, so
+    it may run on any consecutive parts of a user's fragments first.
+    """
+    w = Window.partitionBy(*keys).orderBy("_s")
+    previous = F.lag("_e").over(w)
+    starts = F.when(previous.isNull() | (micros_between(previous, F.col("_s")) > F.lit(gap_us)), 1).otherwise(0)
+    flagged = fragments.select(*keys, "_s", "_e", "_n", starts.alias("_new"))
+    numbered = flagged.withColumn("_id", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    merged = numbered.groupBy(*keys, "_id").agg(F.min("_s").alias("_s"), F.max("_e").alias("_e"), F.sum("_n").alias("_n"))
+    return merged.drop("_id")
+
+
 def sessions(
     df: DataFrame,
     gap: timedelta = DEFAULT_GAP,
@@ -179,25 +142,23 @@ def sessions(
     zero-length sessions are dropped unless ``keep_zero_length``.
     """
     gap_us = _micros(gap)
-    buckets = session_buckets(time_range(df, rng, bounds, cols.time), gap, cols)
-    w = Window.partitionBy(cols.user).orderBy("_bucket")
-    prev_end = F.lag("_e").over(w)
-    brk = F.when(prev_end.isNull() | (micros_between(prev_end, F.col("_s")) > F.lit(gap_us)), 1).otherwise(0)
-    flagged = buckets.select(cols.user, "_bucket", "_s", "_e", "_n", brk.alias("_brk"))
-    numbered = flagged.withColumn(
-        "_sid", F.sum("_brk").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    )
-    merged = numbered.groupBy(cols.user, "_sid").agg(
-        F.min("_s").alias("session_start"),
-        F.max("_e").alias("session_end"),
-        F.sum("_n").cast("bigint").alias("events"),
-    )
+    left = session_buckets(time_range(df, rng, bounds, cols.time), gap, cols).select(cols.user, "_s", "_e", "_n")
+    whole, span = [], gap_us
+    for fan_out in SPANS:
+        span *= fan_out
+        at = _epoch_micros("_s")
+        merged = merge_fragments(left.withColumn("_span", at - F.pmod(at, F.lit(span))), [cols.user, "_span"], gap_us)
+        # Within the gap of an edge of its span a fragment may go on on the other side.
+        edge = (at - F.col("_span") <= F.lit(gap_us)) | (F.col("_span") + F.lit(span) - _epoch_micros("_e") <= F.lit(gap_us))
+        whole.append(merged.filter(~edge).drop("_span"))
+        left = merged.filter(edge).drop("_span")
+    merged = reduce(DataFrame.unionByName, whole, merge_fragments(left, [cols.user], gap_us))
     out = merged.select(
         cols.user,
-        "session_start",
-        "session_end",
-        "events",
-        micros_between("session_start", "session_end").cast("bigint").alias("length_us"),
+        F.col("_s").alias("session_start"),
+        F.col("_e").alias("session_end"),
+        F.col("_n").cast("bigint").alias("events"),
+        micros_between("_s", "_e").cast("bigint").alias("length_us"),
     )
     return out if keep_zero_length else out.filter(F.col("length_us") > 0)
 
@@ -210,42 +171,3 @@ def session_stats(sess: DataFrame) -> DataFrame:
         "total_sessions",
         (F.try_divide(F.col("_us").cast("double"), F.col("total_sessions")) / F.lit(1e6)).alias("avg_session_seconds"),
     )
-
-
-def sessions_by_lag(df: DataFrame, gap: timedelta = DEFAULT_GAP, cols: Columns = CANVAS) -> DataFrame:
-    """Straightforward lag + running-sum sessionisation, one user per window.
-
-    Kept as the differential-test reference for :func:`sessions`; it puts a
-    whole user in one task and is not meant for skewed data.
-    """
-    gap_us = _micros(gap)
-    base = df.filter(F.col(cols.user).isNotNull())
-    w = Window.partitionBy(cols.user).orderBy(cols.time)
-    prev = F.lag(cols.time).over(w)
-    brk = F.when(prev.isNull() | (micros_between(prev, F.col(cols.time)) > F.lit(gap_us)), 1).otherwise(0)
-    numbered = base.withColumn("_brk", brk).withColumn(
-        "_sid", F.sum("_brk").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    )
-    out = numbered.groupBy(cols.user, "_sid").agg(
-        F.min(cols.time).alias("session_start"), F.max(cols.time).alias("session_end"), F.count(F.lit(1)).alias("events")
-    )
-    out = out.select(
-        cols.user, "session_start", "session_end", "events",
-        micros_between("session_start", "session_end").cast("bigint").alias("length_us"),
-    )
-    return out.filter(F.col("length_us") > 0)
-
-
-def sessions_by_window(df: DataFrame, gap: timedelta = DEFAULT_GAP, cols: Columns = CANVAS) -> DataFrame:
-    """Spark's own ``session_window`` per user; a second differential reference
-    (it also sends every row of a user to one task)."""
-    gap_us = _micros(gap)
-    base = df.filter(F.col(cols.user).isNotNull())
-    out = base.groupBy(cols.user, F.session_window(cols.time, f"{gap_us} microseconds")).agg(
-        F.min(cols.time).alias("session_start"), F.max(cols.time).alias("session_end"), F.count(F.lit(1)).alias("events")
-    )
-    out = out.select(
-        cols.user, "session_start", "session_end", "events",
-        micros_between("session_start", "session_end").cast("bigint").alias("length_us"),
-    )
-    return out.filter(F.col("length_us") > 0)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tilescope.config import CANVAS
 from tilescope.operators.encoding import encode
 from tilescope.sources.raw import CORRUPT, read_raw_csv
-from tilescope.sources.sinks import export_parquet, stamped_path
+from tilescope.sources.sinks import ROWS_PER_FILE, day_layout, export_parquet, stamped_path
 
 
 @dataclass

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tilescope.config import CANVAS, Columns, scratch_path
@@ -212,6 +212,44 @@ def q_compact_roundtrip(spark, d):
     return spark.read.parquet(path).drop("day")
 
 
+def _exported(spark, d, rows_per_file=500):
+    path = scratch_path(spark, "export")
+    export_parquet(_canvas(spark, d), path, rows_per_file=rows_per_file)
+    return spark.read.parquet(path)
+
+
+def q_export_time_disjoint(spark, d):
+    """Per day of an export: rows, first and last time, and files that start before the one before them ends."""
+    table = _exported(spark, d, rows_per_file=100).withColumn("_file", F.input_file_name())
+    files = table.groupBy("day", "_file").agg(
+        F.count(F.lit(1)).alias("_n"), F.min(CANVAS.time).alias("_first"), F.max(CANVAS.time).alias("_last")
+    )
+    before = F.max("_last").over(Window.partitionBy("day").orderBy("_first", "_last").rowsBetween(Window.unboundedPreceding, -1))
+    return (
+        files.withColumn("_overlaps", F.coalesce(F.col("_first") < before, F.lit(False)))
+        .groupBy("day")
+        .agg(
+            F.sum("_n").alias("placements"),
+            F.min("_first").alias("first_time"),
+            F.max("_last").alias("last_time"),
+            F.count_if("_overlaps").alias("overlapping_files"),
+            (F.count(F.lit(1)) > 1).alias("is_split"),
+        )
+    )
+
+
+def q_range_on_export(spark, d):
+    return time_range(_exported(spark, d), RANGE).drop("day")
+
+
+def q_summary_on_export(spark, d):
+    return frequency.top_summary(_exported(spark, d), RANGE)
+
+
+def q_sessions_on_export(spark, d):
+    return sessions.sessions(_exported(spark, d), rng=RANGE, bounds="left")
+
+
 def q_csv_roundtrip(spark, d):
     path = scratch_path(spark, "rawlog")
     write_raw_csv(raw_from_canvas(_canvas(spark, d)), path)
@@ -575,4 +613,13 @@ ORACLE_SQL["table_describe"] = """SELECT col_name, data_type, (SELECT count(*) F
 FROM (VALUES ('timestamp', 'string'), ('user_id', 'string'), ('pixel_color', 'string'), ('coordinate', 'string'))
      AS d(col_name, data_type)"""
 
+# At most 100 rows a file, so a day of more rows is split.
+ORACLE_SQL["export_time_disjoint"] = _w(
+    """SELECT CAST("timestamp" AS DATE) AS day, count(*) AS placements, min("timestamp") AS first_time, max("timestamp") AS last_time,
+       0::BIGINT AS overlapping_files, count(*) > 100 AS is_split FROM canvas GROUP BY 1"""
+)
+ORACLE_SQL["range_on_export"] = ORACLE_SQL["range_closed"]
+ORACLE_SQL["summary_on_export"] = ORACLE_SQL["top_summary"]
+ORACLE_SQL["sessions_on_export"] = ORACLE_SQL["sessions_in_range"]
+
 NO_ORACLE: set[str] = set()

@@ -18,7 +18,7 @@ import sys
 import tempfile
 from pathlib import Path
 
-sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+sys.path[:0] = [str(Path(__file__).resolve().parents[1]), str(Path(__file__).resolve().parents[1] / "tests")]
 
 from pyspark.sql import Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
@@ -28,14 +28,16 @@ def variants(hot_user, hot_point):
     from tilescope.operators.blocks import block_unique_users, top_blocks
     from tilescope.operators.histogram import user_histogram
     from tilescope.operators.points import top_categories_at, top_points
-    from tilescope.operators.sessions import event_gaps, sessions, sessions_by_window
+    from tilescope.operators.sessions import event_gaps, sessions
+
+    from plain_forms import sessions_by_window
 
     w = Window.partitionBy("user_id_encoded").orderBy("timestamp")
     at_origin = (F.col("x_coord") == 0) & (F.col("y_coord") == 0)
     return {
         "hot user: sessions (bucket summaries)": lambda: sessions(hot_user),
         "hot user: Spark session_window per user": lambda: sessions_by_window(hot_user),
-        "hot user: event_gaps (slices of 20k rows)": lambda: event_gaps(hot_user, rows_per_chunk=20_000),
+        "hot user: event_gaps (slices of 20k rows)": lambda: event_gaps(hot_user, rows_per_slice=20_000),
         "hot user: plain lag per user": lambda: hot_user.select("user_id_encoded", "timestamp", F.lag("timestamp").over(w)),
         "hot point: block_unique_users": lambda: block_unique_users(hot_point),
         "hot point: top_blocks (dense grid)": lambda: top_blocks(hot_point),
