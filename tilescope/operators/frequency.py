@@ -114,7 +114,11 @@ def top_summary(
     (-count, key) ordering, which is a partial + final aggregate, never a
     single-task sort.  Ties go to the smallest key.  Empty input -> no row.
     """
-    m = multi_frequency(df, rng, bounds, cols, count="n")
+    return summary_of(multi_frequency(df, rng, bounds, cols, count="n"), cols)
+
+
+def summary_of(m: DataFrame, cols: Columns = CANVAS) -> DataFrame:
+    """:func:`top_summary` of counts that :func:`multi_frequency` made, in column ``n``."""
     is_cat = F.col("grouping_set") == "category"
     is_pt = ~is_cat
     def key(c: str):  # NULL keys sort last, as in top_k

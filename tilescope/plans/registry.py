@@ -8,6 +8,7 @@ table; the parameters below play the role of the reference's arguments.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from tilescope.config import CANVAS, Columns, scratch_path
 from tilescope.constants import BLOCK_SIZE, HISTOGRAM_CAP
 from tilescope.functions.exprs import block_index, block_label, count_label, thousands
 from tilescope.functions.ranges import TimeRange, time_range
-from tilescope.operators import blocks, frequency, histogram, points, series, sessions, share
+from tilescope.operators import blocks, frequency, histogram, points, rollup, series, sessions, share
 from tilescope.operators.encoding import dense_codes
 from tilescope.plans.ingest import compact, load_log, parse_raw
 from tilescope.plans.sql import sql_top_summary
@@ -26,6 +27,7 @@ from tilescope.sources.sinks import export_parquet
 
 # Fixed query parameters (the reference passes these as script arguments).
 RANGE = TimeRange.parse("2024-01-10 00", "2024-01-20 00")
+RAGGED = TimeRange(datetime(2024, 1, 10, 0, 20, 30, 500_000), datetime(2024, 1, 19, 23, 47, 11))
 POINTS = [(704, 0), (900, 0), (304, 30)]
 SHARE_VALUE = "Click"
 SHARE_POINT = (704, 0)
@@ -220,7 +222,7 @@ def _exported(spark, d, rows_per_file=500):
 
 def q_export_time_disjoint(spark, d):
     """Per day of an export: rows, first and last time, and files that start before the one before them ends."""
-    table = _exported(spark, d, rows_per_file=100).withColumn("_file", F.input_file_name())
+    table = _exported(spark, d, rows_per_file=200).withColumn("_file", F.input_file_name())
     files = table.groupBy("day", "_file").agg(
         F.count(F.lit(1)).alias("_n"), F.min(CANVAS.time).alias("_first"), F.max(CANVAS.time).alias("_last")
     )
@@ -250,6 +252,20 @@ def q_sessions_on_export(spark, d):
     return sessions.sessions(_exported(spark, d), rng=RANGE, bounds="left")
 
 
+def _kept_counts(spark, d):
+    path = scratch_path(spark, "rollup")
+    rollup.write_rollup(rollup.hourly_rollup(_canvas(spark, d)), path)
+    return spark.read.parquet(path)
+
+
+def q_rollup_frequency(spark, d):
+    return rollup.frequency_from(_canvas(spark, d), _kept_counts(spark, d), [CANVAS.x, CANVAS.y], RAGGED)
+
+
+def q_rollup_summary(spark, d):
+    return rollup.top_summary_from(_exported(spark, d), _kept_counts(spark, d), RAGGED)
+
+
 def q_csv_roundtrip(spark, d):
     path = scratch_path(spark, "rawlog")
     write_raw_csv(raw_from_canvas(_canvas(spark, d)), path)
@@ -425,6 +441,13 @@ FROM (SELECT pixel_color, count(*) AS n FROM f GROUP BY 1 ORDER BY n DESC, pixel
     f"f AS (SELECT * FROM canvas WHERE {IN_RANGE})",
 )
 
+def _top_summary_sql(where: str) -> str:
+    return _TOP_SUMMARY.replace(IN_RANGE, where)
+
+
+_RLO, _RHI = RAGGED.literal_bounds()
+IN_RAGGED = f"\"timestamp\" BETWEEN TIMESTAMP '{_RLO}' AND TIMESTAMP '{_RHI}'"
+
 _HIST_CTE = f"""u AS (SELECT user_id_encoded, count(*) AS placements FROM canvas
           WHERE {BLOCK_X} = {HIST_BLOCK_X} GROUP BY 1)"""
 
@@ -613,13 +636,16 @@ ORACLE_SQL["table_describe"] = """SELECT col_name, data_type, (SELECT count(*) F
 FROM (VALUES ('timestamp', 'string'), ('user_id', 'string'), ('pixel_color', 'string'), ('coordinate', 'string'))
      AS d(col_name, data_type)"""
 
-# At most 100 rows a file, so a day of more rows is split.
+# About 200 rows a file, so a day of more rows is split.
 ORACLE_SQL["export_time_disjoint"] = _w(
     """SELECT CAST("timestamp" AS DATE) AS day, count(*) AS placements, min("timestamp") AS first_time, max("timestamp") AS last_time,
-       0::BIGINT AS overlapping_files, count(*) > 100 AS is_split FROM canvas GROUP BY 1"""
+       0::BIGINT AS overlapping_files, count(*) > 200 AS is_split FROM canvas GROUP BY 1"""
 )
 ORACLE_SQL["range_on_export"] = ORACLE_SQL["range_closed"]
 ORACLE_SQL["summary_on_export"] = ORACLE_SQL["top_summary"]
 ORACLE_SQL["sessions_on_export"] = ORACLE_SQL["sessions_in_range"]
 
+ORACLE_SQL["rollup_frequency"] = ORACLE_SQL["point_frequency"].replace(IN_RANGE, IN_RAGGED)
+ORACLE_SQL["rollup_summary"] = _top_summary_sql(IN_RAGGED)
+
 NO_ORACLE: set[str] = set()
