@@ -1,0 +1,193 @@
+"""Committed exports, inferred types, persistent loads, refused times, damaged input set aside, ordered forms."""
+
+from datetime import datetime
+
+import pytest
+from conftest import SF_SMALL, rows
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from tilescope.config import scratch_path
+from tilescope.functions.exprs import raw_time
+from tilescope.functions.ranges import partition_day
+from tilescope.operators.frequency import frequency
+from tilescope.operators.points import top_categories_at
+from tilescope.plans.ingest import export, ingest_csv, load_log, parse_raw
+from tilescope.sources.canvas import read_canvas
+from tilescope.sources.commits import commit, committed, read_latest
+from tilescope.sources.infer import infer_types, observed, typed
+from tilescope.sources.raw import RAW_DDL, raw_from_canvas, read_raw_csv, write_raw_csv
+from tilescope.sources.sinks import export_parquet
+
+
+@pytest.fixture(scope="module")
+def log(spark):
+    path = scratch_path(spark, "t-log")
+    write_raw_csv(raw_from_canvas(read_canvas(spark, SF_SMALL)), path)
+    return path
+
+
+# ---- committed exports
+
+
+def test_the_pointer_names_the_newest_finished_export(spark, tmp_path):
+    canvas, home = read_canvas(spark, SF_SMALL), str(tmp_path)
+    assert committed(spark, home) is None
+    with pytest.raises(FileNotFoundError):
+        read_latest(spark, home)
+    first = export(canvas.limit(10), home, "placements_1.parquet")
+    old = read_latest(spark, home)
+    second = export(canvas, home, "placements_2.parquet")
+    manifest = committed(spark, home)
+    assert (manifest.path, manifest.rows) == (second, 1000) and manifest.files == 30 and manifest.bytes > 0
+    assert read_latest(spark, home).count() == 1000
+    assert partition_day(read_latest(spark, home)) == "day"
+    assert old.count() == 10  # a reader keeps what it resolved
+    assert first != second and not list(tmp_path.glob("_latest*"))
+
+
+def test_a_failed_export_never_shows(spark, tmp_path):
+    canvas, home = read_canvas(spark, SF_SMALL), str(tmp_path)
+    export(canvas, home, "placements_1.parquet")
+    broken = canvas.withColumn("pixel_color", F.when(F.col("x_coord") > 500, F.raise_error(F.lit("broken"))).otherwise(F.col("pixel_color")))
+    with pytest.raises(Exception, match="broken"):
+        export(broken, home, "placements_2.parquet")
+    assert read_latest(spark, home).count() == 1000
+    unfinished = export_parquet(canvas.limit(5), f"{home}/placements_3.parquet")
+    (tmp_path / "placements_3.parquet" / "_SUCCESS").unlink()
+    with pytest.raises(ValueError, match="not a finished export"):
+        commit(spark, home, unfinished)
+    assert committed(spark, home).path.endswith("placements_1.parquet")
+
+
+def test_a_changed_export_is_refused(spark, tmp_path):
+    home = str(tmp_path)
+    path = export(read_canvas(spark, SF_SMALL), home, "placements_1.parquet")
+    next((tmp_path / "placements_1.parquet").glob("day=*/*.parquet")).unlink()
+    with pytest.raises(ValueError, match="not those that were committed"):
+        read_latest(spark, home)
+    assert path
+
+
+# ---- types
+
+
+def test_the_narrowest_type_that_fits_all(spark):
+    data = [
+        ("1", "1", "2022-04-01 00:00:00 UTC", "true", "x", None, "2022-04-01 00:00:00 UTC"),
+        (None, "2.5", "2022-04-01 00:00:00.25", "false", "1", None, "2022-04-01 00:00:00+02:00"),
+        ("-9000000000", "1e3", None, None, "2", None, None),
+    ]
+    df = spark.createDataFrame(data, "a string, b string, c string, d string, e string, `f.g` string, h string")
+    want = {"a": "bigint", "b": "double", "c": "timestamp_ntz", "d": "boolean", "e": "string", "f.g": "string", "h": "string"}
+    assert infer_types(df) == want
+    watched, kinds = observed(df, "t")
+    assert watched.count() == 3 and watched.write.format("noop").mode("overwrite").save() is None
+    assert kinds() == want
+    out = typed(df, want)
+    assert [t for _, t in out.dtypes] == list(want.values())
+    assert rows(out.select("a", "c"))[0] == (-9000000000, None)
+    assert set(infer_types(df.limit(0)).values()) == {"string"}
+
+
+def test_inferred_scan_has_the_values(spark, log):
+    got, text = read_raw_csv(spark, log, infer=True), read_raw_csv(spark, log)
+    assert dict(got.dtypes) == {"timestamp": "timestamp_ntz", "user_id": "bigint", "pixel_color": "string", "coordinate": "string"}
+    assert rows(parse_raw(got)[0].drop("user_id")) == rows(parse_raw(text)[0].drop("user_id"))
+
+
+def test_unchecked_scan_prunes_columns(spark, log):
+    plan = read_raw_csv(spark, log, check_lines=False).select("user_id")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<user_id:string>" in plan
+    assert read_raw_csv(spark, log, check_lines=False).select("user_id").exceptAll(read_raw_csv(spark, log).select("user_id")).isEmpty()
+
+
+# ---- persistent loads
+
+
+def test_times_with_offsets_become_utc_in_either_load(spark, tmp_path):
+    source = tmp_path / "log.csv"
+    source.write_text('timestamp,user_id,pixel_color,coordinate\n2022-04-01T12:00:00.5+02:00,1,a,"1,2"\n2022-04-01 12:00:00Z,1,a,"1,2"\n')
+    want = [datetime(2022, 4, 1, 10, 0, 0, 500_000), datetime(2022, 4, 1, 12)]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        assert sorted(r.timestamp for r in read_raw_csv(spark, str(source), infer=True).collect()) == want
+        load_log(spark, str(source), "t_offsets", infer=True, persistent=True)
+        assert sorted(r.timestamp for r in spark.table("t_offsets").collect()) == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_persistent_load_types_and_replaces(spark, log):
+    name = "t_loaded"
+    spark.sql(f"DROP VIEW IF EXISTS {name}")
+    table = load_log(spark, log, name, infer=True, persistent=True)
+    assert rows(table.describe()) == sorted([("timestamp", "timestamp_ntz"), ("user_id", "bigint"), ("pixel_color", "string"), ("coordinate", "string")])
+    assert table.row_count() == 1000
+    with pytest.raises(AnalysisException):
+        load_log(spark, log, name, infer=True, persistent=True)
+    again = load_log(spark, log, name, infer=True, persistent=True, replace=True)
+    assert again.row_count() == 1000
+    assert rows(spark.table(name)) == rows(read_raw_csv(spark, log, infer=True))
+
+
+def test_bucketed_table_counts_users_without_a_shuffle(spark, log):
+    load_log(spark, log, "t_bucketed", persistent=True, buckets=3, replace=True)
+    counts = spark.table("t_bucketed").groupBy("user_id").count()
+    assert "Exchange" not in counts._jdf.queryExecution().executedPlan().toString()
+    assert rows(counts) == rows(read_raw_csv(spark, log).groupBy("user_id").count())
+
+
+# ---- times
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["2022-04-04 00:53:51.577+02:00", "2022-04-04 00:53:51 CET", "2022-04-04 00:53:51Z", "2022-04-04", "2022-04-04 00:53:51.1234567 UTC", "2022-13-04 00:53:51", "x"],
+)
+def test_a_time_that_is_not_the_logs_is_refused(spark, text):
+    raw = spark.createDataFrame([(text, "u", "c", "1,2"), ("2022-04-04 00:53:51 UTC", "u", "c", "1,2"), (None, "u", "c", "1,2")], RAW_DDL)
+    with pytest.raises(Exception):
+        parse_raw(raw)[0].collect()
+    good, bad = parse_raw(raw, "quarantine")
+    assert [r.timestamp for r in bad.collect()] == [text]
+    assert {r.timestamp for r in good.collect()} == {datetime(2022, 4, 4, 0, 53, 51), None}
+
+
+def test_times_of_the_log(spark):
+    data = ["2022-04-04 00:53:51.577 UTC", "2022-04-04 00:53:51.577", "2022-04-04 00:53:51.000001 UTC"]
+    df = spark.createDataFrame([(t,) for t in data], "t string")
+    for strict in (True, False):
+        got = [r[0].microsecond for r in df.select(raw_time("t", strict)).collect()]
+        assert got == [577_000, 577_000, 1]
+
+
+def test_ingest_sets_damaged_rows_and_lines_aside(spark, tmp_path):
+    lines = ["timestamp,user_id,pixel_color,coordinate", '2022-04-01 12:00:00 UTC,a,#1,"1,2"', '2022-04-02 12:00:00+01:00,b,#1,"1,2"', "2022-04-01 12:00:00 UTC,c,#1", '2022-04-01 12:00:00 UTC,d,#1,"1"']
+    source = tmp_path / "log.csv"
+    source.write_text("\n".join(lines) + "\n")
+    path, rejected = ingest_csv(spark, str(source), str(tmp_path / "out"), mode="quarantine")
+    assert rows(spark.read.parquet(path).drop("day")) == [(datetime(2022, 4, 1, 12), 1, 1, 2, "#1")]
+    assert sorted(r.user_id for r in spark.read.parquet(rejected).collect()) == ["b", "c", "d"]
+    assert read_latest(spark, str(tmp_path / "out")).count() == 1
+    with pytest.raises(Exception):
+        ingest_csv(spark, str(source), str(tmp_path / "strict"))
+    assert committed(spark, str(tmp_path / "strict")) is None
+
+
+# ---- order
+
+
+def test_ordered_frequencies(canvas):
+    data = [("2022-04-02 10:00:00", 1, x, 0, c) for x, c in [(3, "b"), (3, "a"), (1, "b"), (2, "b"), (2, "a"), (9, None)]]
+    got = [tuple(r) for r in frequency(canvas(data), ["pixel_color"], ordered=True).collect()]
+    assert got == [("b", 3), ("a", 2), (None, 1)]
+    got = [tuple(r) for r in frequency(canvas(data), ["x_coord", "y_coord"], ordered=True).collect()]
+    assert got == [(2, 0, 2), (3, 0, 2), (1, 0, 1), (9, 0, 1)]
+
+
+def test_ordered_categories_by_point(canvas):
+    data = [("2022-04-02 10:00:00", 1, x, 0, c) for x, c in [(3, "b"), (3, "b"), (3, "a"), (1, "b"), (1, "a"), (1, "c"), (1, "d")]]
+    got = [(r.x_coord, r.pixel_color, r.rn) for r in top_categories_at(canvas(data), [(3, 0), (1, 0)], k=3, ordered=True).collect()]
+    assert got == [(1, "a", 1), (1, "b", 2), (1, "c", 3), (3, "b", 1), (3, "a", 2)]

@@ -25,5 +25,6 @@ PARQUET_COMPRESSION = "zstd"  # compacted table codec
 ROW_GROUP_ROWS = 100_000  # compacted table row-group size
 RAW_TIME_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"  # raw log time text, followed by " UTC"
 RAW_TIME_SUFFIX = " UTC"
+RAW_TIME_PATTERN = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}(\.\d{1,6})?( UTC)?$"
 HOUR_ARGUMENT_FORMAT = "%Y-%m-%d %H"  # time-range arguments are given to the hour
 # ----------------------------------------------------------------------------

@@ -10,7 +10,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tilescope.constants import LABEL_MAX_DECIMALS, LABEL_SIGNIFICANT_DIGITS, LABEL_UNITS, PERCENT_DECIMALS
+from tilescope.constants import (
+    LABEL_MAX_DECIMALS,
+    LABEL_SIGNIFICANT_DIGITS,
+    LABEL_UNITS,
+    PERCENT_DECIMALS,
+    RAW_TIME_PATTERN,
+    RAW_TIME_SUFFIX,
+)
 
 
 def _c(c: str | Column) -> Column:
@@ -143,6 +150,30 @@ def hour_of(ts: str | Column) -> Column:
     return F.make_timestamp_ntz(F.year(t), F.month(t), F.day(t), F.hour(t), none, none.cast("decimal(16,6)"))
 
 
+def raw_time(text: str | Column, strict: bool = False) -> Column:
+    """``timestamp_ntz`` of the raw log's time text: ``YYYY-MM-DD HH:MM:SS``, up to six
+    fraction digits, and `` UTC`` or nothing.
+
+    Anything else, also a time with another zone or an offset, is NULL, or raises if
+    ``strict``: dropping the zone would shift the event.
+    """
+    c = _c(text)
+    time = F.regexp_replace(c, f"{RAW_TIME_SUFFIX}$", "")
+    if not strict:
+        return F.when(c.rlike(RAW_TIME_PATTERN), time.try_cast("timestamp_ntz"))
+    refused = F.raise_error(F.concat(F.lit("not a time of the raw log: "), c)).cast("timestamp_ntz")
+    return F.when(c.isNull(), F.lit(None)).when(c.rlike(RAW_TIME_PATTERN), time.cast("timestamp_ntz")).otherwise(refused)
+
+
+ZONED_TIME_PATTERN = r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2}(\.\d{1,6})?(Z|[+-]\d{2}:\d{2})$"
+
+
+def zoned_time(text: str | Column) -> Column:
+    """UTC wall clock of a time text that says its offset (``Z`` or ``+hh:mm``); NULL for any other text."""
+    c = _c(text)
+    return F.when(c.rlike(ZONED_TIME_PATTERN), wall_clock(c.try_cast("timestamp")))
+
+
 def micros_between(a: str | Column, b: str | Column) -> Column:
     """``b - a`` in whole microseconds; on ``timestamp_ntz`` no time zone is involved."""
     return F.timestamp_diff("MICROSECOND", _c(a), _c(b))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tilescope.config import CANVAS, Columns
@@ -18,14 +18,22 @@ def frequency(
     bounds: str = "both",
     cols: Columns = CANVAS,
     count: str = "count",
+    ordered: bool = False,
 ) -> DataFrame:
     """Count rows per key inside an optional time range.
 
     Plan: pushed range filter -> partial HashAggregate -> Exchange(keys) ->
     final HashAggregate.  A hot key is collapsed map-side before the shuffle.
-    NULL keys are kept as their own group (SQL semantics).
+    NULL keys are kept as their own group (SQL semantics).  ``ordered`` sorts by
+    descending count, then ascending keys.
     """
-    return time_range(df, rng, bounds, cols.time).groupBy(*keys).agg(F.count(F.lit(1)).alias(count))
+    out = time_range(df, rng, bounds, cols.time).groupBy(*keys).agg(F.count(F.lit(1)).alias(count))
+    return out.orderBy(*by_count(count, keys)) if ordered else out
+
+
+def by_count(count: str, keys: Sequence[str]) -> list[Column]:
+    """Descending count, ties by ascending keys (NULL last)."""
+    return [F.col(count).desc(), *(F.col(c).asc_nulls_last() for c in keys)]
 
 
 def top_k(df: DataFrame, k: int, by: str, keys: Sequence[str]) -> DataFrame:
@@ -34,8 +42,7 @@ def top_k(df: DataFrame, k: int, by: str, keys: Sequence[str]) -> DataFrame:
     ``orderBy(...).limit(k)`` plans as TakeOrderedAndProject: each task keeps
     its own k best rows, so only k rows per task meet in the final merge.
     """
-    order = [F.col(by).desc()] + [F.col(c).asc_nulls_last() for c in keys]
-    return df.orderBy(*order).limit(k)
+    return df.orderBy(*by_count(by, keys)).limit(k)
 
 
 def top_frequency(

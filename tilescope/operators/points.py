@@ -52,20 +52,26 @@ def top_points(df: DataFrame, k: int = TOP_POINTS, cols: Columns = CANVAS, count
 
 
 def top_categories_at(
-    df: DataFrame, points: Points | DataFrame, k: int = TOP_CATEGORIES_PER_POINT, bound: int | None = None, cols: Columns = CANVAS
+    df: DataFrame,
+    points: Points | DataFrame,
+    k: int = TOP_CATEGORIES_PER_POINT,
+    bound: int | None = None,
+    cols: Columns = CANVAS,
+    ordered: bool = False,
 ) -> DataFrame:
     """For each listed point, its k most frequent categories.
 
     Counts are aggregated first (one row per point and category), then
     ``row_number <= k`` plans as WindowGroupLimit (partial before the shuffle,
     final after), so a point's window holds at most one row per category.
+    ``ordered`` sorts by point (NULL last), then rank.
     """
     counts = frequency(at_points(df, points, bound, cols), [cols.x, cols.y, cols.category], cols=cols, count="placement_count")
     w = Window.partitionBy(cols.x, cols.y).orderBy(
         F.col("placement_count").desc(), F.col(cols.category).asc_nulls_last()
     )
     ranked = counts.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= k)
-    return ranked.select(
+    out = ranked.select(
         cols.x,
         cols.y,
         point_label(cols.x, cols.y).alias("pixel"),
@@ -73,3 +79,4 @@ def top_categories_at(
         "placement_count",
         F.col("rn").cast("int").alias("rn"),
     )
+    return out.orderBy(F.col(cols.x).asc_nulls_last(), F.col(cols.y).asc_nulls_last(), "rn") if ordered else out

@@ -19,11 +19,12 @@ from tilescope.functions.exprs import block_index, block_label, count_label, tho
 from tilescope.functions.ranges import TimeRange, time_range
 from tilescope.operators import blocks, frequency, histogram, points, rollup, series, sessions, share
 from tilescope.operators.encoding import dense_codes
-from tilescope.plans.ingest import compact, load_log, parse_raw
+from tilescope.plans.ingest import compact, export, load_log, parse_raw
 from tilescope.plans.sql import sql_top_summary
 from tilescope.sources.canvas import read_canvas, read_events
+from tilescope.sources.commits import manifest_frame, read_latest
 from tilescope.sources.raw import raw_from_canvas, read_raw_csv, write_raw_csv
-from tilescope.sources.sinks import export_parquet
+from tilescope.sources.sinks import export_parquet, stamped_path
 
 # Fixed query parameters (the reference passes these as script arguments).
 RANGE = TimeRange.parse("2024-01-10 00", "2024-01-20 00")
@@ -272,6 +273,69 @@ def q_csv_roundtrip(spark, d):
     return read_raw_csv(spark, path)
 
 
+def q_csv_inferred(spark, d):
+    path = scratch_path(spark, "rawlog")
+    write_raw_csv(raw_from_canvas(_canvas(spark, d)), path)
+    return read_raw_csv(spark, path, infer=True)
+
+
+def q_csv_quarantine(spark, d):
+    """A log in which every seventh user's points lost a part and every eleventh user's times
+    got an offset: good rows typed, bad rows as they came."""
+    raw = raw_from_canvas(_canvas(spark, d))
+    user = F.col("user_id").cast("bigint")
+    raw = raw.withColumn("coordinate", F.when(user % 7 == 0, F.split_part("coordinate", F.lit(","), F.lit(1))).otherwise(F.col("coordinate")))
+    raw = raw.withColumn("timestamp", F.when(user % 11 == 0, F.replace("timestamp", F.lit(" UTC"), F.lit("+02:00"))).otherwise(F.col("timestamp")))
+    path = scratch_path(spark, "rawlog")
+    write_raw_csv(raw, path)
+    good, bad = parse_raw(read_raw_csv(spark, path, mode="quarantine"), "quarantine")
+    none = F.lit(None)
+    accepted = good.select(
+        F.lit("good").alias("status"), "user_id", CANVAS.time, CANVAS.x, CANVAS.y, none.cast("string").alias("time_text"), none.cast("string").alias("coordinate")
+    )
+    rejected = bad.select(
+        F.lit("bad").alias("status"),
+        "user_id",
+        none.cast("timestamp_ntz").alias(CANVAS.time),
+        none.cast("int").alias(CANVAS.x),
+        none.cast("int").alias(CANVAS.y),
+        F.col("timestamp").alias("time_text"),
+        "coordinate",
+    )
+    return accepted.unionByName(rejected)
+
+
+def _loaded(spark, d, **kwargs):
+    path = scratch_path(spark, "rawlog")
+    write_raw_csv(raw_from_canvas(_canvas(spark, d)), path)
+    table = "placement_log_" + path.rsplit("-", 1)[1]
+    return load_log(spark, path, table, persistent=True, location=scratch_path(spark, "table"), **kwargs)
+
+
+def q_table_load_persistent(spark, d):
+    """Rows of a table loaded with inferred types, with the types as its DESCRIBE gives them and its row count."""
+    table = _loaded(spark, d, infer=True)
+    kinds = ", ".join(f"{r.col_name} {r.data_type}" for r in table.describe().collect())  # one row a column
+    rows = spark.table(table.name).select(F.count(F.lit(1))).scalar()
+    return spark.table(table.name).select("*", F.lit(kinds).alias("types"), rows.alias("row_count"))
+
+
+def q_bucketed_user_counts(spark, d):
+    table = _loaded(spark, d, buckets=4)
+    return frequency.frequency(spark.table(table.name), ["user_id"], count="placements")
+
+
+def q_latest_export(spark, d):
+    """The second of two exports, read through the directory's pointer, with its manifest; a third, unfinished one is not seen."""
+    directory = scratch_path(spark, "exports")
+    canvas = _canvas(spark, d)
+    export(time_range(canvas, RANGE), directory, "placements_1.parquet")
+    export(canvas, directory, "placements_2.parquet")
+    export_parquet(time_range(canvas, RANGE), stamped_path(directory, "placements_3.parquet"))
+    rows = manifest_frame(spark, directory).select("rows").scalar()
+    return read_latest(spark, directory).drop("day").withColumn("committed_rows", rows)
+
+
 def q_table_describe(spark, d):
     path = scratch_path(spark, "rawlog")
     write_raw_csv(raw_from_canvas(_canvas(spark, d)), path)
@@ -311,17 +375,16 @@ def q_table_scan(spark, d):
 
 
 def q_path_scan(spark, d):
-    path = f"{d}/events.parquet"
-    if "`" in path:
-        raise ValueError("path must not contain a backtick")
+    source = "parquet.`" + f"{d}/events.parquet".replace("`", "``") + "`"
     return spark.sql(
-        f"""
+        """
         SELECT CAST(ts AS TIMESTAMP_NTZ) AS `timestamp`, user_id AS user_id_encoded,
                CAST(100 * (k % 20) + floor(k / 20) AS INT) AS x_coord,
                CAST(30 * floor(value / 10) AS INT) AS y_coord,
                event_type AS pixel_color
-        FROM (SELECT *, CAST(get_json_object(props, '$.k') AS INT) AS k FROM parquet.`{path}`)
-        """
+        FROM (SELECT *, CAST(get_json_object(props, '$.k') AS INT) AS k FROM IDENTIFIER(:source))
+        """,
+        args={"source": source},
     )
 
 
@@ -648,4 +711,25 @@ ORACLE_SQL["sessions_on_export"] = ORACLE_SQL["sessions_in_range"]
 ORACLE_SQL["rollup_frequency"] = ORACLE_SQL["point_frequency"].replace(IN_RANGE, IN_RAGGED)
 ORACLE_SQL["rollup_summary"] = _top_summary_sql(IN_RAGGED)
 
+_TYPED_RAW = """SELECT CAST(replace("timestamp", ' UTC', '') AS TIMESTAMP) AS "timestamp", CAST(user_id AS BIGINT) AS user_id,
+       pixel_color, coordinate"""
+ORACLE_SQL["csv_inferred"] = _w(f"{_TYPED_RAW} FROM raw", RAW_CTE)
+ORACLE_SQL["table_load_persistent"] = _w(
+    f"""{_TYPED_RAW}, 'timestamp timestamp_ntz, user_id bigint, pixel_color string, coordinate string' AS types,
+       (SELECT count(*) FROM events) AS row_count FROM raw""",
+    RAW_CTE,
+)
+ORACLE_SQL["bucketed_user_counts"] = _w("SELECT user_id, count(*) AS placements FROM raw GROUP BY 1", RAW_CTE)
+ORACLE_SQL["csv_quarantine"] = _w(
+    """SELECT CASE WHEN ok THEN 'good' ELSE 'bad' END AS status, user_id,
+       CASE WHEN ok THEN CAST(replace("timestamp", ' UTC', '') AS TIMESTAMP) END AS "timestamp",
+       CASE WHEN ok THEN CAST(split_part(coordinate, ',', 1) AS INTEGER) END AS x_coord,
+       CASE WHEN ok THEN CAST(split_part(coordinate, ',', 2) AS INTEGER) END AS y_coord,
+       CASE WHEN NOT ok THEN CASE WHEN CAST(user_id AS BIGINT) % 11 = 0 THEN replace("timestamp", ' UTC', '+02:00') ELSE "timestamp" END END AS time_text,
+       CASE WHEN NOT ok THEN CASE WHEN CAST(user_id AS BIGINT) % 7 = 0 THEN split_part(coordinate, ',', 1) ELSE coordinate END END AS coordinate
+FROM (SELECT *, CAST(user_id AS BIGINT) % 7 <> 0 AND CAST(user_id AS BIGINT) % 11 <> 0 AS ok FROM raw)""",
+    RAW_CTE,
+)
+ORACLE_SQL["latest_export"] = _w("SELECT *, (SELECT count(*) FROM events) AS committed_rows FROM canvas")
+
 NO_ORACLE: set[str] = set()

@@ -8,7 +8,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tilescope.config import CANVAS, Columns
 from tilescope.constants import RAW_TIME_SUFFIX, RAW_TIME_TEXT
-from tilescope.functions.exprs import wall_clock
+from tilescope.sources.infer import infer_types, typed
 
 RAW_DDL = "timestamp STRING, user_id STRING, pixel_color STRING, coordinate STRING"
 RAW_COLUMNS = ("timestamp", "user_id", "pixel_color", "coordinate")
@@ -33,31 +33,30 @@ def raw_from_canvas(df: DataFrame, cols: Columns = CANVAS) -> DataFrame:
     )
 
 
-def read_raw_csv(spark: SparkSession, path: str, infer: bool = False, mode: str = "strict") -> DataFrame:
+def read_raw_csv(spark: SparkSession, path: str, infer: bool = False, mode: str = "strict", check_lines: bool = True) -> DataFrame:
     """Scan the CSV log: header row, quoted fields, one record per line (splittable).
 
-    ``infer=False`` uses the fixed four-string schema.  ``infer=True`` lets the
-    reader pick types; a timestamp it infers is zoned, so it is turned into
-    the ``timestamp_ntz`` of its UTC wall clock.
+    ``infer=False`` gives the four text columns.  ``infer=True`` gives each the narrowest
+    type that all its values fit (:mod:`tilescope.sources.infer`: one aggregate over the
+    text); times are ``timestamp_ntz``.
 
     A line with too few or too many fields raises in ``strict``; in ``quarantine`` its
-    text is in a further column, ``_corrupt_record``, which :func:`parse_raw` sends to
-    the bad side.  A header with other names or another order than the fixed schema
-    raises in both.  Lines are checked whole, so columns are not pruned in this scan.
+    text is in a further column, ``_corrupt_record``, which
+    :func:`tilescope.plans.ingest.parse_raw` sends to the bad side.  A header with other
+    names or another order than the fixed schema raises in both.  Lines are checked
+    whole, so this scan parses all columns.  ``check_lines=False`` is for a log that was
+    checked before: only the columns that a query uses are parsed.
     """
     if mode not in ("strict", "quarantine"):
         raise ValueError("mode must be 'strict' or 'quarantine'")
     reader = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", False)
-    reader = reader.option("enforceSchema", False).option("columnPruning", False)
-    strict = mode == "strict"
-    schema = spark.createDataFrame([], RAW_DDL).schema if not infer else reader.option("inferSchema", True).csv(path).schema
-    if strict:
+    reader = reader.option("enforceSchema", False).option("columnPruning", not check_lines)
+    schema = spark.createDataFrame([], RAW_DDL).schema
+    if mode == "strict":
         df = reader.option("mode", "FAILFAST").schema(schema).csv(path)
     else:
         df = reader.option("columnNameOfCorruptRecord", CORRUPT).schema(StructType([*schema.fields, StructField(CORRUPT, StringType())])).csv(path)
-    if dict(df.dtypes).get("timestamp") == "timestamp":
-        df = df.withColumn("timestamp", wall_clock("timestamp"))
-    return df
+    return typed(df, infer_types(df.select(*RAW_COLUMNS))) if infer else df
 
 
 def write_raw_csv(df: DataFrame, path: str, mode: str = "error") -> None:

@@ -48,10 +48,10 @@ def day_layout(df: DataFrame, time_col: str = "timestamp", rows_per_file: int =
     """
     if rows_per_file < 1:
         raise ValueError("rows_per_file must be positive")
-    grid = [i / SKETCH_GRID for i in range(SKETCH_GRID + 1)]
+    grid = F.expr(f"array({', '.join(f'{i / SKETCH_GRID}D' for i in range(SKETCH_GRID + 1))})")
     base = df.select(hour_of(time_col).alias("hour"), _micros(time_col).alias("_us"))
     counted = base.groupBy("hour").agg(F.count(F.lit(1)).alias("_n"), F.kll_sketch_agg_bigint("_us").alias("_sketch"))
-    ranks = F.when(F.col("hour").isNotNull(), F.kll_sketch_get_quantile_bigint("_sketch", F.array(*map(F.lit, grid))))
+    ranks = F.when(F.col("hour").isNotNull(), F.kll_sketch_get_quantile_bigint("_sketch", grid))
     counted = counted.select("hour", F.to_date("hour").alias("_day"), "_n", ranks.alias("_times"))
     day = Window.partitionBy("_day")
     so_far = F.sum("_n").over(day.orderBy("hour").rowsBetween(Window.unboundedPreceding, Window.currentRow))
