@@ -1,0 +1,110 @@
+"""Large point sets by bitmap, wide rows as maps, hole filling, and user sketches that roll up."""
+
+import random
+from collections import defaultdict
+
+import pytest
+from conftest import SF_ORACLE, rows
+from pyspark.sql import functions as F
+
+import tilescope.operators.points as points_module
+from tilescope.operators.blocks import block_unique_users
+from tilescope.operators.points import at_points, cell_bitmap, in_cells, points_frame
+from tilescope.operators.series import hourly_map, hourly_melt, hourly_series, hourly_unmap, hourly_wide
+from tilescope.operators.sketches import error_bound, estimated_users, roll_up, user_sketches
+from tilescope.sources.canvas import read_canvas
+
+
+def cells(spark, pairs):
+    return spark.createDataFrame(pairs, "x_coord int, y_coord int")
+
+
+@pytest.mark.parametrize("limit", [16_384, 0])
+def test_bitmap_holds_exactly_its_cells(spark, canvas, monkeypatch, limit):
+    monkeypatch.setattr(points_module, "TILE_LIMIT", limit)
+    r = random.Random(2)
+    data = [("2022-04-02 10:00:00", i, r.randint(-600, 600), r.randint(-300, 300), "a") for i in range(3000)]
+    data += [("2022-04-02 10:00:00", 1, None, 5, "a"), ("2022-04-02 10:00:00", 1, 5, None, "b"), ("2022-04-02 10:00:00", 1, 255, 127, "c"), ("2022-04-02 10:00:00", 1, -256, -128, "c")]
+    some = [(d[2], d[3]) for d in data[::3]] + [(None, 5), (5, None), (None, None), (255, 127), (-256, -128), (-1, -1), (2**31 - 1, -(2**31))]
+    wanted = {p for p in some if None not in p}
+    got = rows(in_cells(canvas(data), cells(spark, some + some[:50])).select("user_id_encoded", "x_coord", "y_coord"))
+    assert got == sorted([(u, x, y) for _, u, x, y, _ in data if (x, y) in wanted], key=repr)
+    assert in_cells(canvas(data), cells(spark, some).limit(0)).count() == 0
+
+
+def test_a_million_points_without_a_shuffle_of_the_log(spark):
+    log = read_canvas(spark, SF_ORACLE)
+    million = spark.range(1_000_000).select((F.col("id") % 1000).cast("int").alias("x_coord"), F.floor(F.col("id") / 1000).cast("int").alias("y_coord"))
+    assert cell_bitmap(million).count() == 4 * 8
+    found = in_cells(log, million)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning(x_coord" not in plan
+    assert rows(found) == rows(log.filter("x_coord between 0 and 999 and y_coord between 0 and 999"))
+
+
+def test_bitmap_equals_the_semi_join(spark):
+    log = read_canvas(spark, SF_ORACLE)
+    some = log.filter("user_id_encoded % 5 = 0").select("x_coord", "y_coord").distinct()
+    assert rows(in_cells(log, some)) == rows(at_points(log, some, bound=some.count()))
+
+
+def test_map_rows_equal_the_pivot(spark):
+    log = read_canvas(spark, SF_ORACLE)
+    series = hourly_series(log, [(704, 0), (900, 0), (304, 30)])
+    mapped = hourly_map(series)
+    assert rows(hourly_unmap(mapped)) == rows(hourly_melt(hourly_wide(series)))
+    assert mapped.filter(F.map_keys("counts") != F.sort_array(F.map_keys("counts"))).isEmpty()
+
+
+def test_more_points_than_a_pivot_may_have(spark):
+    hours = spark.range(2).select((F.lit("2022-04-01 00:00:00").cast("timestamp_ntz") + F.make_interval(hours=F.col("id").cast("int"))).alias("hour"))
+    series = hours.join(spark.range(50_000).select(F.concat(F.lit("("), "id", F.lit(", 0)")).alias("pixel"), F.col("id").alias("placement_count")))
+    wide = hourly_map(series)
+    assert [r[0] for r in wide.select(F.size("counts")).collect()] == [50_000, 50_000]
+    assert wide.select(F.sum(F.aggregate(F.map_values("counts"), F.lit(0).cast("bigint"), lambda a, b: a + b))).first()[0] == 50_000 * 49_999
+
+
+def test_holes_are_filled_without_grid_or_join(spark, canvas):
+    r = random.Random(5)
+    data = [(f"2022-04-{r.randint(1, 4):02d} {r.randint(0, 23):02d}:{r.randint(0, 59):02d}:00", 1, r.choice([1, 2, None]), r.choice([0, 7]), "a") for _ in range(60)]
+    data += [(None, 1, 1, 0, "a"), (None, 1, 50, 50, "a"), ("2022-04-09 00:00:00", 1, 9, 9, "a")]
+    df = canvas(data)
+    counts, hours = defaultdict(int), [d[0][:13] for d in data if d[0]]
+    for d in data:
+        if d[0]:
+            counts[d[0][:13], d[2], d[3]] += 1
+    from datetime import datetime, timedelta
+
+    at = datetime.strptime(min(hours), "%Y-%m-%d %H")
+    want = []
+    while at <= datetime.strptime(max(hours), "%Y-%m-%d %H"):
+        for x, y in {(d[2], d[3]) for d in data}:
+            want.append((at, None if x is None else f"({x}, {y})", counts[at.strftime("%Y-%m-%d %H"), x, y]))
+        at += timedelta(hours=1)
+    series = hourly_series(df)
+    assert rows(series) == sorted(want, key=repr)
+    assert "Join" not in series._jdf.queryExecution().executedPlan().toString()
+    assert hourly_series(df.limit(0)).count() == 0
+
+
+def test_sketches_roll_up_to_larger_blocks(spark, tmp_path):
+    log = read_canvas(spark, SF_ORACLE)
+    user_sketches(log.filter("user_id_encoded % 2 = 0")).write.parquet(str(tmp_path / "a"))
+    user_sketches(log.filter("user_id_encoded % 2 = 1")).write.parquet(str(tmp_path / "b"))
+    kept = roll_up(spark.read.parquet(str(tmp_path / "a")).unionByName(spark.read.parquet(str(tmp_path / "b"))), 1)
+    for factor in (1, 3, 50):
+        exact = {(r.block_x, r.block_y): (r.placements, r.unique_users) for r in block_unique_users(log, 100 * factor).collect()}
+        got = {(r.block_x, r.block_y): (r.placements, r.unique_users) for r in estimated_users(roll_up(kept, factor)).collect()}
+        assert got.keys() == exact.keys()
+        for k in exact:
+            assert got[k][0] == exact[k][0] and abs(got[k][1] - exact[k][1]) <= error_bound() * exact[k][1]
+
+
+@pytest.mark.parametrize("lg_k", [8, 12])
+def test_estimates_of_many_users_keep_their_bound(spark, lg_k):
+    users = spark.range(200_000).select(F.lit(0).alias("x_coord"), (F.col("id") % 5 * 100).cast("int").alias("y_coord"), F.col("id").alias("user_id_encoded"))
+    for r in estimated_users(user_sketches(users, lg_k=lg_k)).collect():
+        assert abs(r.unique_users - 40_000) <= error_bound(lg_k) * 40_000
+        assert r.ppu == 40_000 / r.unique_users
+    with pytest.raises(ValueError):
+        roll_up(user_sketches(users), 0)

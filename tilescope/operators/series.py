@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tilescope.config import CANVAS, Columns, materialize
@@ -44,27 +44,26 @@ def hourly_series(
 
     The hourly counts (points x active hours, a small aggregate) are
     checkpointed once, so the base table is scanned once although the
-    calendar bounds (scalar subqueries), the point list and the join all read
-    them.  The grid is points x hours, i.e. as large as the output itself.
+    calendar bounds (scalar subqueries) and the series both read them.  Each
+    counted hour of a point then generates itself and the empty hours up to the
+    point's next one (the first also those before it), so no grid is made and
+    nothing is joined.
     """
     counts = materialize(hourly_counts(df, points, rng, bound, cols))
     lo = counts.select(F.min("hour")).scalar()
     hi = counts.select(F.max("hour")).scalar()
-    grid = (
-        counts.select(cols.x, cols.y)
-        .distinct()
-        .select(cols.x, cols.y, F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 HOUR"))).alias("hour"))
-    )
-    c = counts.select(*[F.col(n).alias(f"_{n}") for n in ("hour", cols.x, cols.y)], "placement_count")
-    # a point with a null coordinate is a point like others
-    same = F.col("hour") == F.col("_hour")
-    for n in (cols.x, cols.y):
-        same = same & F.col(n).eqNullSafe(F.col(f"_{n}"))
-    dense = grid.join(c, same, "left")
+    hour = F.expr("INTERVAL 1 HOUR")
+    w = Window.partitionBy(cols.x, cols.y).orderBy(F.col("hour").asc_nulls_first())
+    # a row without an hour is not counted in any, but its point is one of the series
+    start = F.when(F.row_number().over(w) == 1, lo).otherwise(F.col("hour"))
+    stop = F.coalesce(F.lead("hour").over(w) - hour, hi)
+    spans = counts.select(cols.x, cols.y, F.col("hour").alias("_at"), "placement_count", start.alias("_start"), stop.alias("_stop"))
+    hours = F.when(F.col("_stop") >= F.col("_start"), F.sequence("_start", "_stop", hour))
+    dense = spans.select(cols.x, cols.y, "_at", "placement_count", F.explode(hours).alias("hour"))
     return dense.select(
         F.col("hour").cast("timestamp_ntz").alias("hour"),
         point_label(cols.x, cols.y).alias("pixel"),
-        F.coalesce(F.col("placement_count"), F.lit(0)).cast("bigint").alias("placement_count"),
+        F.when(F.col("hour") == F.col("_at"), F.col("placement_count")).otherwise(F.lit(0)).cast("bigint").alias("placement_count"),
     )
 
 
@@ -92,3 +91,19 @@ def hourly_melt(wide: DataFrame) -> DataFrame:
     """Wide hourly table back to (hour, pixel, placement_count)."""
     value_cols = [c for c in wide.columns if c != "hour"]
     return wide.unpivot(["hour"], value_cols, "pixel", "placement_count")
+
+
+def hourly_map(series: DataFrame) -> DataFrame:
+    """The wide form without a column a point: one row per hour with ``counts``, a map from
+    point label to placements, keys in order.
+
+    The points need not be known or few: nothing goes to the driver, and no pivot limit
+    holds.  A row is as wide as the wide form's; it is put together by the hour's own task.
+    """
+    entries = F.sort_array(F.collect_list(F.struct("pixel", "placement_count")))
+    return series.groupBy("hour").agg(F.map_from_entries(entries).alias("counts"))
+
+
+def hourly_unmap(wide: DataFrame) -> DataFrame:
+    """:func:`hourly_map` back to (hour, pixel, placement_count)."""
+    return wide.select("hour", F.explode("counts").alias("pixel", "placement_count"))

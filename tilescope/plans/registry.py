@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from tilescope.config import CANVAS, Columns, scratch_path
 from tilescope.constants import BLOCK_SIZE, HISTOGRAM_CAP
 from tilescope.functions.exprs import block_index, block_label, count_label, thousands
 from tilescope.functions.ranges import TimeRange, time_range
-from tilescope.operators import blocks, frequency, histogram, points, rollup, series, sessions, share
+from tilescope.operators import blocks, frequency, histogram, points, rollup, series, sessions, share, sketches
 from tilescope.operators.encoding import dense_codes
 from tilescope.plans.ingest import compact, export, load_log, parse_raw
 from tilescope.plans.sql import sql_top_summary
@@ -32,6 +33,7 @@ RAGGED = TimeRange(datetime(2024, 1, 10, 0, 20, 30, 500_000), datetime(2024, 1,
 POINTS = [(704, 0), (900, 0), (304, 30)]
 SHARE_VALUE = "Click"
 SHARE_POINT = (704, 0)
+BUSY = 5  # events that make a point one of the large point set
 HIST_BLOCK_X = 0
 BLOCK = BLOCK_SIZE
 CAP = HISTOGRAM_CAP
@@ -118,6 +120,12 @@ def q_points_semi_join(spark, d):
     return points.at_points(canvas, points.top_points(canvas, k=3), bound=3)
 
 
+def q_points_by_bitmap(spark, d):
+    canvas = _canvas(spark, d)
+    busy = frequency.frequency(canvas, [CANVAS.x, CANVAS.y]).filter(F.col("count") >= BUSY)
+    return points.in_cells(canvas, busy)
+
+
 def q_top_categories_at(spark, d):
     return points.top_categories_at(_canvas(spark, d), POINTS, k=3)
 
@@ -134,6 +142,12 @@ def q_hourly_wide(spark, d):
     return series.hourly_wide(series.hourly_series(_canvas(spark, d), POINTS), series.point_labels(POINTS))
 
 
+def q_hourly_map(spark, d):
+    wide = series.hourly_map(series.hourly_series(_canvas(spark, d), POINTS))
+    text = F.transform(F.map_entries("counts"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))
+    return wide.select("hour", F.size("counts").alias("points"), F.array_join(text, "; ").alias("counts"))
+
+
 def q_hourly_melt(spark, d):
     series_ = series.hourly_series(_canvas(spark, d), POINTS)
     return series.hourly_melt(series.hourly_wide(series_, series.point_labels(POINTS), ordered=False))
@@ -183,6 +197,23 @@ def q_block_unique_users(spark, d):
     return blocks.block_unique_users(_canvas(spark, d), BLOCK)
 
 
+def q_block_users_sketched(spark, d):
+    """Placements and exact distinct users of blocks of three sizes, and whether the estimate
+    that sketches of the smallest size roll up to keeps within its error."""
+    canvas = _canvas(spark, d)
+    path = scratch_path(spark, "sketches")
+    sketches.user_sketches(canvas, BLOCK).write.parquet(path)
+    kept = spark.read.parquet(path)
+    found = []
+    for factor in (1, 2, 5):
+        guess = sketches.estimated_users(sketches.roll_up(kept, factor)).select("block_x", "block_y", F.col("unique_users").alias("_guess"))
+        exact = blocks.block_unique_users(canvas, BLOCK * factor)
+        same = [exact[c].eqNullSafe(guess[c]) for c in ("block_x", "block_y")]
+        near = F.abs(F.col("_guess") - F.col("unique_users")) <= F.lit(sketches.error_bound()) * F.col("unique_users")
+        found.append(exact.join(guess, same).select(F.lit(BLOCK * factor).alias("size"), exact.block_x, exact.block_y, "placements", "unique_users", near.alias("within_error")))
+    return reduce(DataFrame.unionByName, found)
+
+
 def q_block_intensity(spark, d):
     return blocks.block_intensity(_canvas(spark, d), BLOCK, k=10)
 
@@ -732,4 +763,21 @@ FROM (SELECT *, CAST(user_id AS BIGINT) % 7 <> 0 AND CAST(user_id AS BIGINT) % 1
 )
 ORACLE_SQL["latest_export"] = _w("SELECT *, (SELECT count(*) FROM events) AS committed_rows FROM canvas")
 
+ORACLE_SQL["points_by_bitmap"] = _w(
+    "SELECT canvas.* FROM canvas JOIN busy USING (x_coord, y_coord)",
+    f"busy AS (SELECT x_coord, y_coord FROM canvas GROUP BY 1, 2 HAVING count(*) >= {BUSY})",
+)
+ORACLE_SQL["hourly_map"] = _w(
+    """SELECT hour, CAST(count(*) AS INTEGER) AS points, string_agg(pixel || '=' || CAST(placement_count AS VARCHAR), '; ' ORDER BY pixel) AS counts
+FROM s GROUP BY hour""",
+    *_SERIES_CTES,
+)
+ORACLE_SQL["block_users_sketched"] = _w(
+    " UNION ALL ".join(
+        f"""SELECT {BLOCK * f} AS size, CAST(floor(x_coord / {BLOCK * f}) AS INTEGER) AS block_x, CAST(floor(y_coord / {BLOCK * f}) AS INTEGER) AS block_y,
+       count(*) AS placements, count(DISTINCT user_id_encoded) AS unique_users, true AS within_error FROM canvas GROUP BY 2, 3"""
+        for f in (1, 2, 5)
+    )
+)
+
 NO_ORACLE: set[str] = set()
