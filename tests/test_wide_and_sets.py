@@ -79,7 +79,7 @@ def test_holes_are_filled_without_grid_or_join(spark, canvas):
     want = []
     while at <= datetime.strptime(max(hours), "%Y-%m-%d %H"):
         for x, y in {(d[2], d[3]) for d in data}:
-            want.append((at, None if x is None else f"({x}, {y})", counts[at.strftime("%Y-%m-%d %H"), x, y]))
+            want.append((at, f"({'null' if x is None else x}, {y})", counts[at.strftime("%Y-%m-%d %H"), x, y]))
         at += timedelta(hours=1)
     series = hourly_series(df)
     assert rows(series) == sorted(want, key=repr)
