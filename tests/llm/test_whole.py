@@ -128,6 +128,37 @@ def test_texts_of_one_template_do_not_meet_pair_by_pair(spark, monkeypatch, brou
     assert met[0] < 150 * 149 / 4, met
 
 
+@pytest.mark.parametrize("paired", [4096, 0])
+def test_near_copies_that_meet_in_many_regions(spark, monkeypatch, paired):
+    """Copies of one text with up to two fifths of the words changed: links, chains and texts apart."""
+    monkeypatch.setattr(links, "PAIRED", paired)
+    monkeypatch.setattr(links, "HOMES", 3)
+    monkeypatch.setattr(jaccard, "LEAF", 3)
+    monkeypatch.setattr(links, "LEAF", 3)
+    r = random.Random(9)
+    base = [f"t{i}" for i in range(120)]
+    rows = []
+    for i in range(110):
+        at = r.randrange(120)
+        span = r.choice([0, 3, 8, 14, 20, 30])  # changed words in a run, some elsewhere
+        rows.append(" ".join(f"c{i}x{k}" if at <= k < at + span or r.random() < r.choice([0, 0.01, 0.02]) else w for k, w in enumerate(base)))
+    rows = list(enumerate(dict.fromkeys(rows)))
+    want = components(rows)
+    assert 3 < len(set(want.values())) < len(rows) - 20
+    got = links.jaccard_classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    assert {r.id: r.component_id for r in got.select("id", "component_id").collect()} == want
+
+
+def test_bitmaps_of_several_sizes_bound_the_difference():
+    r = np.random.default_rng(3)
+    sets = [np.unique(r.integers(0, 1 << 62, n).astype(np.uint64)) for n in (10, 100, 100, 400)]
+    sets.append(np.union1d(sets[3][:380], sets[1][:5]))
+    maps = links._bitmaps(pa.chunked_array([pa.array([links.parity(x, links.NARROW) for x in sets])]))
+    for i in range(5):
+        for j in range(5):
+            assert np.bitwise_count(maps[i] ^ maps[j]).sum() <= len(np.setxor1d(sets[i], sets[j]))
+
+
 def test_every_letter_of_the_training_text_counts():
     r = random.Random(2)
     letters = [chr(0x4E00 + i) for i in range(4000)]
