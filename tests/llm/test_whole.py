@@ -132,7 +132,6 @@ def test_texts_of_one_template_do_not_meet_pair_by_pair(spark, monkeypatch, brou
 def test_near_copies_that_meet_in_many_regions(spark, monkeypatch, paired):
     """Copies of one text with up to two fifths of the words changed: links, chains and texts apart."""
     monkeypatch.setattr(links, "PAIRED", paired)
-    monkeypatch.setattr(links, "HOMES", 3)
     monkeypatch.setattr(jaccard, "LEAF", 3)
     monkeypatch.setattr(links, "LEAF", 3)
     r = random.Random(9)
