@@ -246,15 +246,15 @@ def q_compact_roundtrip(spark, d):
     return spark.read.parquet(path).drop("day")
 
 
-def _exported(spark, d, rows_per_file=500):
+def _exported(spark, d, **layout):
     path = scratch_path(spark, "export")
-    export_parquet(_canvas(spark, d), path, rows_per_file=rows_per_file)
+    export_parquet(_canvas(spark, d), path, **layout)
     return spark.read.parquet(path)
 
 
 def q_export_time_disjoint(spark, d):
     """Per day of an export: rows, first and last time, and files that start before the one before them ends."""
-    table = _exported(spark, d, rows_per_file=200).withColumn("_file", F.input_file_name())
+    table = _exported(spark, d, rows_per_file=300).withColumn("_file", F.input_file_name())
     files = table.groupBy("day", "_file").agg(
         F.count(F.lit(1)).alias("_n"), F.min(CANVAS.time).alias("_first"), F.max(CANVAS.time).alias("_last")
     )
@@ -730,10 +730,10 @@ ORACLE_SQL["table_describe"] = """SELECT col_name, data_type, (SELECT count(*) F
 FROM (VALUES ('timestamp', 'string'), ('user_id', 'string'), ('pixel_color', 'string'), ('coordinate', 'string'))
      AS d(col_name, data_type)"""
 
-# About 200 rows a file, so a day of more rows is split.
+# About 300 rows a file, so a day of more rows is split.
 ORACLE_SQL["export_time_disjoint"] = _w(
     """SELECT CAST("timestamp" AS DATE) AS day, count(*) AS placements, min("timestamp") AS first_time, max("timestamp") AS last_time,
-       0::BIGINT AS overlapping_files, count(*) > 200 AS is_split FROM canvas GROUP BY 1"""
+       0::BIGINT AS overlapping_files, count(*) > 300 AS is_split FROM canvas GROUP BY 1"""
 )
 ORACLE_SQL["range_on_export"] = ORACLE_SQL["range_closed"]
 ORACLE_SQL["summary_on_export"] = ORACLE_SQL["top_summary"]
