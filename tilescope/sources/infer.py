@@ -17,13 +17,14 @@ from pyspark.sql import functions as F
 from tilescope.functions.exprs import raw_time, zoned_time
 
 # From narrow to wide; a value of an earlier type may be one of a later type too.
+# The patterns come first because a cast that fails costs an exception.
 # ``instant``: times that all say their offset; as a column they are UTC wall clocks.
 LATTICE: dict[str, Callable[[Column], Column]] = {
-    "bigint": lambda c: c.try_cast("bigint"),
-    "double": lambda c: c.try_cast("double"),
+    "bigint": lambda c: F.when(c.rlike(r"^[+-]?\d{1,19}$"), c.try_cast("bigint")),
+    "double": lambda c: F.when(c.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d{1,3})?$"), c.try_cast("double")),
     "timestamp_ntz": raw_time,
     "instant": zoned_time,
-    "boolean": lambda c: c.try_cast("boolean"),
+    "boolean": lambda c: F.when(F.lower(c).isin("true", "false"), c.try_cast("boolean")),
 }
 
 
