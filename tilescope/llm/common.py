@@ -55,6 +55,25 @@ def widened(schema: StructType, ddl: str) -> StructType:
     return StructType([*schema.fields, *StructType.fromDDL(ddl).fields])
 
 
+def wrapped(df: DataFrame, **more: Column) -> DataFrame:
+    """All columns of ``df`` as one, ``row``, and ``more``, whose names cannot clash with them then.
+
+    ``select("row.*")`` gives the columns back.
+    """
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *[c.alias(k) for k, c in more.items()])
+
+
+def unused(columns: list[str], *names: str) -> list[str]:
+    """``names``, each with as many underscores before it as make it differ from ``columns``."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        out.append(name)
+    return out
+
+
 BROADCAST_ROWS = 1_000_000
 
 

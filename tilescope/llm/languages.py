@@ -12,12 +12,13 @@ the tables and one slice of text and nothing that grows with the corpus.  Every
 of the training text has a code: the transitions of the most frequent ``alphabet``
 letters are in a dense table, those of all others in a sorted list of (state, letter).
 
-The labelled sample is bounded: ``sample_docs`` documents a language, in the order
-of a hash of the id and none of over ``sample_length`` characters, up to
-``train_chars`` reduced characters.  The automata are built on the driver from it.
+The labelled sample is bounded: ``sample_docs`` documents a language, in the order of
+a hash of the id, up to ``train_chars`` reduced characters.  Documents of over
+``sample_length`` characters come after all others and give so many characters.  The
+automata are built on the driver from it.
 
 Nulls, empty texts and texts without a letter are ``und`` with score 0.  Repeated
-rows are predicted alike.  A null id is neither held out nor learned from.  An
+rows are predicted alike; of rows with one id and language the least text is learned from.  A null id is neither held out nor learned from.  An
 empty table gives no rows; without any label everything is ``und``.
 """
 
@@ -30,10 +31,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tilescope.llm.common import fold, widened
+from tilescope.llm.common import fold, widened, wrapped
 from tilescope.llm.textkit import slices, text_array
 
 UNKNOWN = "und"
+ALPHABET = 120  # letters in the dense table, if it has room for them
+TABLE_BYTES = 160 << 20  # of the dense table
 
 
 def letter_codes() -> tuple[np.ndarray, np.ndarray]:
@@ -85,17 +88,31 @@ def suffix_automaton(text: str) -> list[dict[str, int]]:
     return nxt
 
 
+def transitions(text: str) -> tuple[int, np.ndarray]:
+    """States of the suffix automaton of ``text``, and (state, code point, next state) of its transitions."""
+    auto = suffix_automaton(text)
+    rows = [(s, ord(c), to) for s, steps in enumerate(auto) for c, to in steps.items()]
+    return len(auto), np.array(rows, np.int64).reshape(-1, 3)
+
+
 class Model:
-    """Parsing tables of all languages: code of each code point, and next state and phrases by state and code."""
+    """Parsing tables of all languages: code of each code point, and next state and phrases by state and code.
+
+    ``alphabet`` letters have a column in the dense table of all states, by default so many
+    that it takes ``TABLE_BYTES`` at most.  It only saves time.
+    """
 
-    def __init__(self, texts: dict[str, str], alphabet: int = 120):
+    def __init__(self, texts: dict[str, str], alphabet: int | None = None):
         self.languages = sorted(texts)
+        automata = [transitions(texts[k]) for k in self.languages]
         seen: dict[str, int] = {}
         for t in texts.values():
             for c in t:
                 if c != " ":
                     seen[c] = seen.get(c, 0) + 1
         chars = sorted(sorted(seen), key=lambda c: -seen[c])
+        if alphabet is None:
+            alphabet = min(ALPHABET, max(0, TABLE_BYTES // (4 * max(1, sum(n for n, _ in automata))) - 2))
         code = {" ": 0} | {c: i + 1 for i, c in enumerate(chars[:alphabet])}
         self.width = len(code) + 1  # the last dense code: letters that no training text has
         # letters beyond the dense table follow
@@ -110,23 +127,19 @@ class Model:
         self.codes = table
         parts, base = [], []
         at = states = 0
-        self.bits = []
         first, keys, steps_to = [], [], []  # of the sparse part: a language's first state, (state, letter) and next state
-        self.roots = np.full((len(self.languages), self.letters - self.width), -1, np.int64)
-        for k, lang in enumerate(self.languages):
-            auto = suffix_automaton(texts[lang])
-            t = np.full((len(auto), self.width), -1, np.int64)
-            for s, steps in enumerate(auto):
-                for c, to in steps.items():
-                    if code[c] < self.width:
-                        t[s, code[c]] = to
-                    else:
-                        keys.append((states + s) * self.letters + code[c])
-                        steps_to.append(to)
-                        if s == 0:
-                            self.roots[k, code[c] - self.width] = to
+        self.roots = np.full((len(self.languages), self.letters - self.width), -1, np.int32)
+        for k, (size, steps) in enumerate(automata):
+            state, symbol, to = steps[:, 0], of[steps[:, 1]].astype(np.int64), steps[:, 2]
+            t = np.full((size, self.width), -1, np.int64)
+            dense = symbol < self.width
+            t[state[dense], symbol[dense]] = to[dense]
+            keys.append((states + state[~dense]) * self.letters + symbol[~dense])
+            steps_to.append(to[~dense].astype(np.int32))
+            start = ~dense & (state == 0)
+            self.roots[k, symbol[start] - self.width] = to[start]
             first.append(states)
-            states += len(auto)
+            states += size
             root = t[0].copy()
             # the phrase ends before this character; a character unknown to the language is one more
             restart = np.where(root >= 0, root * 4 + 1, 2)
@@ -135,12 +148,22 @@ class Model:
             parts.append(full.astype(np.int32).ravel())
             base.append(at)
             at += full.size
-            self.bits.append(np.log2(max(2, len(texts[lang]))))
+        self.bits = np.array([np.log2(max(2, len(texts[k]))) for k in self.languages])
+        # a character of random letters and blanks
+        self.random = np.array([np.log2(max(2, len(set(texts[k])))) for k in self.languages])
         self.table = np.concatenate(parts) if parts else np.zeros(0, np.int32)
         self.base = np.array(base, np.int64)[:, None]
         self.first = np.array(first, np.int64)[:, None]
-        order = np.argsort(np.array(keys, np.int64))
-        self.keys, self.steps_to = np.array(keys, np.int64)[order], np.array(steps_to, np.int64)[order]
+        keys, steps_to = (np.concatenate([np.zeros(0, x), *c]).astype(x) for c, x in ((keys, np.int64), (steps_to, np.int32)))
+        order = np.argsort(keys)
+        self.keys, self.steps_to = keys[order], steps_to[order]
+
+    @classmethod
+    def of(cls, tables: dict) -> Model:
+        """The model whose ``vars`` these are, so that only plain arrays are broadcast."""
+        out = cls.__new__(cls)
+        out.__dict__.update(tables)
+        return out
 
     def step(self, state: np.ndarray, code: np.ndarray) -> np.ndarray:
         """Next states (times 4, plus the phrases that end) by language and text."""
@@ -158,6 +181,10 @@ class Model:
 
     def phrases(self, column: pa.Array, block: int) -> tuple[np.ndarray, np.ndarray]:
         """Phrases by language and document, and reduced characters of each document."""
+        return self.parse(column, block)[:2]
+
+    def parse(self, column: pa.Array, block: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """What ``phrases`` gives, and each document's bits if every block takes its own best language."""
         texts = text_array(column).to_pylist()
         n_docs = len(texts)
         points = np.frombuffer("\0".join([*texts, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -173,7 +200,7 @@ class Model:
         blocks = -(-chars // block)
         doc = np.repeat(np.arange(n_docs), blocks)
         if not len(doc) or not self.languages:
-            return count, chars
+            return count, chars, np.zeros(n_docs)
         nth = np.arange(len(doc)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
         start = have[:-1][doc] + nth * block
         length = np.minimum(block, have[1:][doc] - start)
@@ -189,33 +216,38 @@ class Model:
         found += state > 0  # the phrase that the end cuts
         for k in range(len(self.languages)):
             count[k] = np.bincount(doc, found[k], n_docs).astype(np.int64)
-        return count, chars
+        return count, chars, np.bincount(doc, (found * self.bits[:, None]).min(0), n_docs)
 
-    def predict(self, column: pa.Array, block: int) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """Language, score and mean phrase length of each text."""
-        count, chars = self.phrases(column, block)
+    def predict(self, column: pa.Array, block: int) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """Language, score, mean phrase length and excess bits of each text."""
+        count, chars, least = self.parse(column, block)
         some = chars > 0
         if not self.languages:
-            return [UNKNOWN] * len(chars), np.zeros(len(chars)), np.zeros(len(chars))
-        bits = count * np.array(self.bits)[:, None]
+            nothing = np.zeros(len(chars))
+            return [UNKNOWN] * len(chars), nothing, nothing, nothing
+        bits = count * self.bits[:, None]
         best = bits.argmin(0)
         # two-to-the-minus code lengths as odds, over at most 50 characters' worth of evidence
         gap = (bits - bits.min(0)) / np.maximum(chars, 1) * np.minimum(chars, 50)
         score = np.where(some, 1 / np.exp2(-np.minimum(gap, 1000)).sum(0), 0.0)
         phrase = np.where(some, chars / np.maximum(count.min(0), 1), 0.0)
-        return [self.languages[b] if s else UNKNOWN for b, s in zip(best, some)], score, phrase
+        excess = np.where(some, least - chars * self.random[best], 0.0)
+        return [self.languages[b] if s else UNKNOWN for b, s in zip(best, some)], score, phrase, excess
 
 
 def fit(labelled: DataFrame, train_chars: int = 30_000, sample_docs: int = 48, sample_length: int = 20_000) -> Model:
     """Learn from (doc_id, lang, text) rows; see the module's text for the bounds."""
-    w = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    fit_for = labelled.where("lang is not null and text is not null").where(F.length("text").between(1, sample_length))
-    # only ids are ranked; the texts of the few chosen ones follow
-    chosen = fit_for.select("lang", "doc_id").withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= sample_docs)
-    chosen = F.broadcast(chosen.select("lang", "doc_id").distinct())  # languages * sample_docs rows at most
-    rows = fit_for.join(chosen, ["lang", "doc_id"], "left_semi").select("lang", "doc_id", "text").collect()
+    w = Window.partitionBy("lang").orderBy("_long", F.xxhash64("doc_id"), "doc_id")
+    rows = labelled.where("lang is not null and doc_id is not null").where(F.length("text") > 0)
+    rows = rows.select("lang", "doc_id", "text", (F.length("text") > sample_length).alias("_long"))
+    # only ids are ranked; one text of each of the few chosen ones follows
+    ids = rows.select("lang", "doc_id", "_long").distinct()
+    chosen = ids.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= sample_docs).drop("_r")
+    chosen = F.broadcast(chosen)  # languages * sample_docs rows at most
+    body = F.substring("text", 1, sample_length)
     texts: dict[str, list[str]] = {}
-    for r in sorted(rows, key=lambda r: (r.lang, r.doc_id, r.text)):
+    few = rows.join(chosen, ["lang", "doc_id", "_long"], "left_semi").groupBy("lang", "doc_id", "_long").agg(F.min(body).alias("text"))
+    for r in sorted(few.collect(), key=lambda r: (r.lang, r._long, r.doc_id)):
         have = texts.setdefault(r.lang, [])
         if sum(map(len, have)) < train_chars:
             have.append(reduced(r.text))
@@ -224,24 +256,26 @@ def fit(labelled: DataFrame, train_chars: int = 30_000, sample_docs: int = 48, s
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text", block: int = 512) -> DataFrame:
-    """``docs`` with lang_pred, score (0 to 1) and phrase_length (mean, in characters).
+    """``docs`` with lang_pred, score (0 to 1), phrase_length (mean, in characters) and excess_bits.
 
-    Columns of those names in ``docs`` are replaced.
+    ``excess_bits`` is the length of the text's parse, each block in its best language, less
+    that of as many random letters and blanks of the predicted one; text of the learned
+    languages, also of several in turn, is far below 0.  Columns of those names in ``docs`` are replaced.
     """
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)  # bounded by train_chars * languages
-    added = ["lang_pred", "score", "phrase_length"]
+    shared = spark.sparkContext.broadcast(vars(model))  # TABLE_BYTES, and some 50 bytes for each character learned from
+    added = ["lang_pred", "score", "phrase_length", "excess_bits"]
     base = docs.drop(*added)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
+        m = Model.of(shared.value)
         for batch in batches:
             for part in slices(batch, text):
-                lang, score, phrase = m.predict(part.column(text), block)
-                new = [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(phrase, pa.float64())]
+                lang, *numbers = m.predict(part.column(text), block)
+                new = [pa.array(lang, pa.string()), *[pa.array(x, pa.float64()) for x in numbers]]
                 yield pa.RecordBatch.from_arrays([*part.columns, *new], names=[*part.schema.names, *added])
 
-    schema = widened(base.schema, "lang_pred string, score double, phrase_length double")
+    schema = widened(base.schema, "lang_pred string, score double, phrase_length double, excess_bits double")
     return base.mapInArrow(run, schema)
 
 
@@ -253,12 +287,17 @@ def op6_language_id(spark, sf_dir: str) -> DataFrame:
     return found.drop("text")
 
 
-def keep_identified(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents whose language cannot be told at all go.
+def keep_identified(spark, docs: DataFrame, sf_dir: str, margin_bits: float = 250.0) -> DataFrame:
+    """Pipeline stage: documents without a letter go, and those in none of the learned languages.
 
-    If no language could be learned, those are the documents without a letter.
+    The latter are parsed, each block in its best language, into phrases no longer than
+    those of random letters: their parse takes over ``margin_bits`` more than random
+    letters and blanks would.  The margin spares texts too short to tell.  If no language could be
+    learned, only the documents without a letter go.
     """
     model = fit(docs.where(fold(F.col("doc_id"), 3) != 1))
     if not model.languages:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    return identify(docs, model).where(F.col("lang_pred") != UNKNOWN).select(*docs.columns)
+    found = identify(wrapped(docs, text=F.col("text")), model)
+    found = found.where(F.col("lang_pred") != UNKNOWN).where(F.col("excess_bits") <= margin_bits)
+    return found.select("row.*")
