@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tilescope.llm.common import BROADCAST_ROWS, kept, read, small
+from tilescope.llm.common import BROADCAST_ROWS, kept, read, small, wrapped
 
 
 def words(text: Column) -> Column:
@@ -122,8 +122,8 @@ def decontaminate(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that hold a benchmark item go."""
     found = contaminated(docs, read(spark, sf_dir, "benchmark")).select("doc_id", "text_key").distinct()
     found = small(kept(found.select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_t"))), BROADCAST_ROWS)
-    key = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("_d")) & (key == F.col("_t")), "left_anti")
+    rows = wrapped(docs, _id=F.col("doc_id"), _key=F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+    return rows.join(found, F.col("_id").eqNullSafe(F.col("_d")) & (F.col("_key") == F.col("_t")), "left_anti").select("row.*")
 
 
 ORACLE_SQL = r"""

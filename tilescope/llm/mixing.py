@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tilescope.config import scratch_path
-from tilescope.llm.common import BROADCAST_ROWS, ranked, read
+from tilescope.llm.common import BROADCAST_ROWS, ranked, read, wrapped
 from tilescope.llm.sharding import KEY_BITS, bucket_bits, seeded_key
 
 MAX_SOURCES = 10_000
@@ -165,16 +165,16 @@ def mixed(
     total = sum(r.n for r in counts)
     # rank the ids within their sources; ties are rows that are alike in every column
     rest = [F.col(content) if content else row_hash(base)]
-    keyed = base.withColumn("_key", seeded_key(seed, F.col(doc_id), *rest)).withColumn("_tie", rest[0])
+    keyed = wrapped(base, _of=F.col(source), _key=seeded_key(seed, F.col(doc_id), *rest), _tie=rest[0])
     placed = ranked(
-        keyed, [source], F.shiftright("_key", KEY_BITS - bucket_bits(total)), [F.col("_key"), F.col("_tie")], "_rank"
+        keyed, ["_of"], F.shiftright("_key", KEY_BITS - bucket_bits(total)), [F.col("_key"), F.col("_tie")], "_rank"
     ).drop("_key", "_tie")
-    rows = placed.join(F.broadcast(facts), F.col(source).eqNullSafe(F.col("_source")))
+    rows = placed.join(F.broadcast(facts), F.col("_of").eqNullSafe(F.col("_source")))
     rows = rows.withColumn("_block", F.expr(f"_rank div {block_rows}"))
     rows = rows.withColumn("epoch", F.explode(F.expr("sequence(0, cast((_take - 1 - _block) div _blocks as int))")))
     rows = rows.withColumn("block", F.col("_block") + F.col("epoch") * F.col("_blocks")).join(plan, ["_s", "block"])
     return rows.select(
-        *[F.col(f"`{c}`") for c in base.columns],
+        "row.*",
         "slot",
         F.expr(f"cast(_rank % {block_rows} as int)").alias("in_block"),
         *ADDED[2:],
@@ -182,7 +182,9 @@ def mixed(
 
 
 def row_hash(docs: DataFrame) -> Column:
-    return F.coalesce(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]), F.lit(0))
+    """Hash of all columns; those that hold a map are taken as JSON."""
+    plain = lambda f: F.to_json(f"`{f.name}`") if "map<" in f.dataType.simpleString() else F.col(f"`{f.name}`")
+    return F.coalesce(F.xxhash64(*[plain(f) for f in docs.schema.fields]), F.lit(0))
 
 
 def op1_mixing(spark, sf_dir: str) -> DataFrame:
