@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tilescope.llm.common import read, widened
+from tilescope.llm.common import read, unused, widened
 from tilescope.llm.textkit import Words, mix, pack, slices, text_array, unpack, words_of
 
 FILTER_BITS = 28  # log2 of the filter's size in bits: 32 MB
@@ -48,9 +48,9 @@ FLUSH = 1_000_000  # rows a task gathers before it hands them on
 class Filter:
     """A Bloom filter in segments, one a bucket of hashes."""
 
-    def __init__(self, segments: list[np.ndarray], bits: int):
+    def __init__(self, words: np.ndarray, bits: int):
         self.bits = bits
-        self.words = np.concatenate(segments)
+        self.words = words
 
     @staticmethod
     def positions(h: np.ndarray, segment_bits: int) -> Iterator[np.ndarray]:
@@ -108,8 +108,8 @@ def _fresh(batch: pa.RecordBatch, seen: dict) -> pa.RecordBatch:
 
 def index_filter(
     keyed: DataFrame, marks: Callable[[Words], np.ndarray], gram: int, bits: int, once: bool
-) -> list[Filter]:
-    """Filters of the ``gram``-word hashes at the marked positions.
+) -> list[tuple[np.ndarray, int]]:
+    """Arguments of the filters of the ``gram``-word hashes at the marked positions.
 
     The second holds those that are marked in two documents or more; the first (only if
     ``once``) all of them.
@@ -146,7 +146,8 @@ def index_filter(
     out = []
     for name, size in (("a", inner), ("b", inner - FEWER_BITS)) if once else (("b", inner - FEWER_BITS),):
         empty = np.zeros((1 << size) // 8, np.uint8)
-        out.append(Filter([np.frombuffer(by[k][name], np.uint8) if k in by else empty for k in range(1 << bits)], size + bits))
+        segments = [np.frombuffer(by[k][name], np.uint8) if k in by else empty for k in range(1 << bits)]
+        out.append((np.concatenate(segments), size + bits))
     return out
 
 
@@ -251,22 +252,23 @@ def later_copies(keyed: DataFrame) -> DataFrame:
 def without_repeats(docs: DataFrame, windows: DataFrame, keyed: DataFrame, k: int, doc_id: str, text: str) -> DataFrame:
     """``docs`` with kept_text, n_words, n_removed and the removed spans (first word, words)."""
     added = {"kept_text": "string", "n_words": "long", "n_removed": "long", "spans": "array<struct<at:long,words:long>>"}
-    base = docs.drop(*added, "_id", "_k1", "_whole", "_at")
+    base = docs.drop(*added)
+    id_, k1_, whole_, at_ = unused(base.columns, "_id", "_k1", "_whole", "_at")
     whole = later_copies(keyed).select("id", "k1", F.lit(True).alias("whole"), F.lit(None).cast("binary").alias("at"))
     marks = windows.select("id", "k1", F.lit(False).alias("whole"), "at").unionByName(whole)
     # two rows a document at most
-    marks = marks.groupBy(F.col("id").alias("_id"), F.col("k1").alias("_k1")).agg(
-        F.max("whole").alias("_whole"), F.first("at", ignorenulls=True).alias("_at")
+    marks = marks.groupBy(F.col("id").alias(id_), F.col("k1").alias(k1_)).agg(
+        F.max("whole").alias(whole_), F.first("at", ignorenulls=True).alias(at_)
     )
     body = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
-    joined = base.join(marks, (F.col(doc_id).cast("long") == F.col("_id")) & (body == F.col("_k1")), "left").drop("_id", "_k1")
+    joined = base.join(marks, (F.col(doc_id).cast("long") == F.col(id_)) & (body == F.col(k1_)), "left").drop(id_, k1_)
     names = [*base.columns, *added]
     span_type = pa.list_(pa.struct([("at", pa.int64()), ("words", pa.int64())]))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, text):
-                texts, whole, at = text_array(part.column(text)), part.column("_whole"), part.column("_at")
+                texts, whole, at = text_array(part.column(text)), part.column(whole_), part.column(at_)
                 kept_text, n_words, n_removed, spans = [], [], [], []
                 for i in range(part.num_rows):
                     words = texts[i].as_buffer().to_pybytes().split()
@@ -286,7 +288,7 @@ def without_repeats(docs: DataFrame, windows: DataFrame, keyed: DataFrame, k: in
                     n_words.append(len(words))
                     n_removed.append(len(words) - len(left))
                     spans.append([{"at": a, "words": n} for a, n in runs])
-                rest = [c for n, c in zip(part.schema.names, part.columns) if n not in ("_whole", "_at")]
+                rest = [c for n, c in zip(part.schema.names, part.columns) if n not in (whole_, at_)]
                 new = [
                     pa.array(kept_text, pa.binary()).cast(pa.string()),
                     pa.array(n_words, pa.int64()),
@@ -296,7 +298,7 @@ def without_repeats(docs: DataFrame, windows: DataFrame, keyed: DataFrame, k: in
                 yield pa.RecordBatch.from_arrays([*rest, *new], names=names)
 
     schema = widened(base.schema, ", ".join(f"{n} {t}" for n, t in added.items()))
-    return joined.select(*base.columns, "_whole", "_at").mapInArrow(cut, schema)
+    return joined.mapInArrow(cut, schema)
 
 
 def fixed_block_anchors(docs: DataFrame, k: int = 13, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -311,7 +313,7 @@ def fixed_block_anchors(docs: DataFrame, k: int = 13, doc_id: str = "doc_id", te
     filters = keyed.sparkSession.sparkContext.broadcast(index_filter(keyed, blocks, block, bits, once=True))
 
     def pick(w: Words) -> np.ndarray:
-        some, twice = filters.value
+        some, twice = (Filter(*f) for f in filters.value)
         h, own = w.grams(block), w.index % block == 0
         hit = np.zeros(len(h), bool)
         for where, f in ((~own, some), (own, twice)):
@@ -333,7 +335,7 @@ def sparse_suffixes(docs: DataFrame, k: int = 50, prefix: int = 8, doc_id: str =
     filters = keyed.sparkSession.sparkContext.broadcast(index_filter(keyed, retained, prefix, bits, once=False))
 
     def pick(w: Words) -> np.ndarray:
-        (twice,) = filters.value
+        (twice,) = (Filter(*f) for f in filters.value)
         starts, at = minimisers(w, k, prefix)
         suffixes = np.unique(at)
         known = suffixes[twice.hold(w.grams(prefix)[suffixes], bits)]
