@@ -1,0 +1,124 @@
+"""Clashing names, languages of long texts and many languages, broadcasts without library classes."""
+
+from __future__ import annotations
+
+import pickle
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from tilescope.llm import contamination, languages, links, mixing, repeats
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+SF = "/root/testdata/sf0.001"
+NAMES = "row key _id _k1 _whole _at __at _key _tie _of _s _rank _bucket _inside _block _take _blocks _source _n _t _i _d text_key id h".split()
+
+
+def language(seed):
+    r = random.Random(seed)
+    syllables = ["".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=r.randint(2, 4))) for _ in range(40)]
+    return lambda r, n: " ".join("".join(r.choices(syllables, k=r.randint(1, 3))) for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def clashing(spark):
+    r = random.Random(4)
+    write = language(0)
+    texts = [write(r, r.randint(20, 90)) for _ in range(30)]
+    texts += [texts[0], texts[1] + " more", "", None]
+    rows = [(i, t, "en", f"s{i % 3}", 1) for i, t in enumerate(texts)] + [(5, texts[5], "en", "s2", 1)]
+    docs = spark.createDataFrame(rows, DOCS)
+    docs = docs.select("*", *[F.concat(F.lit(f"{n} "), F.col("doc_id").cast("string")).alias(n) for n in NAMES])
+    return docs.withColumn("a.b", F.lit(1)).withColumn("m", F.create_map(F.lit("x"), F.col("doc_id"))).repartition(3)
+
+
+def whole(df, columns):
+    return sorted(str([r[c] for c in columns]) for r in df.collect())
+
+
+def test_other_columns_are_kept_whatever_their_names(spark, clashing):
+    all_rows = whole(clashing, clashing.columns)
+    benchmark = spark.createDataFrame([(1, clashing.where("doc_id = 2").first().text)], "item_id long, text string")
+    for stage in (mixing.mix_documents, links.one_per_class):
+        out = stage(spark, clashing, SF)
+        assert out.columns == clashing.columns
+        kept = whole(out, clashing.columns)
+        assert set(kept) <= set(all_rows)
+        assert len(kept) == len(all_rows) - (0 if stage is mixing.mix_documents else 3)
+    left = contamination.decontaminate(spark, clashing, SF)
+    assert left.columns == clashing.columns and set(whole(left, clashing.columns)) <= set(all_rows)
+    assert {r.doc_id for r in contamination.contaminated(clashing, benchmark).collect()} == {2}
+    left = languages.keep_identified(spark, clashing, SF)
+    assert left.columns == clashing.columns and set(whole(left, clashing.columns)) <= set(all_rows)
+    mixed = mixing.mixed(clashing)
+    assert set(whole(mixed, clashing.columns)) == set(all_rows)
+
+
+@pytest.mark.parametrize("find", [repeats.sparse_suffixes, repeats.fixed_block_anchors])
+def test_repeats_keep_columns_of_any_name(clashing, find):
+    plain = clashing.drop("m", "a.b")
+    got = find(plain, k=13)
+    assert got.columns[: len(plain.columns)] == plain.columns
+    assert whole(got, plain.columns) == whole(plain, plain.columns)
+    bare = find(plain.select("doc_id", "text"), k=13)
+    facts = ["doc_id", "kept_text", "n_words", "n_removed", "spans"]
+    assert whole(got, facts) == whole(bare, facts) and any(r.n_removed for r in bare.collect())
+
+
+def test_languages_of_long_documents_only_are_learned(spark):
+    r = random.Random(1)
+    write = {k: language(k) for k in ("aa", "bb", "cc")}
+    rows = [(i, write[k](r, 5000), k, "s", 1) for i, k in enumerate(["aa", "bb", "cc"] * 3)]
+    model = languages.fit(spark.createDataFrame(rows, DOCS), sample_length=20_000)
+    assert model.languages == ["aa", "bb", "cc"] and all(len(t) > 20_000 for _, t, *_ in rows)
+    tests = [write[k](r, 60) for k in ("aa", "bb", "cc")]
+    assert model.predict(pa.array(tests), 512)[0] == ["aa", "bb", "cc"]
+
+
+def test_repeated_rows_are_learned_from_once(spark):
+    r = random.Random(2)
+    text = language(7)(r, 40)
+    more = [(i, language(8)(r, 40), "bb", "s", 1) for i in range(2, 9)]
+    many = spark.createDataFrame([(1, text, "aa", "s", 1)] * 5000 + more, DOCS)
+    once = spark.createDataFrame([(1, text, "aa", "s", 1)] + more, DOCS)
+    a, b = languages.fit(many), languages.fit(once)
+    assert a.languages == b.languages and np.array_equal(a.table, b.table)
+
+
+def test_tables_of_a_hundred_languages_are_bounded(monkeypatch):
+    monkeypatch.setattr(languages, "TABLE_BYTES", 2 << 20)
+    r = random.Random(3)
+    write = {f"l{k:02}": language(k) for k in range(100)}
+    train = {k: languages.reduced(w(r, 200)) for k, w in write.items()}
+    model = languages.Model(train)
+    assert model.table.nbytes <= 2 << 20
+    assert model.keys.nbytes + model.steps_to.nbytes <= 50 * sum(map(len, train.values()))
+    tests = [w(r, 60) for w in write.values()]
+    assert np.mean([a == b for a, b in zip(model.predict(pa.array(tests), 512)[0], write)]) > 0.97
+    dense = languages.Model(train, alphabet=26)
+    assert np.array_equal(dense.phrases(pa.array(tests), 512)[0], model.phrases(pa.array(tests), 512)[0])
+
+
+def test_the_language_stage_drops_texts_of_no_learned_language(spark):
+    r = random.Random(6)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    noise = ["".join(r.choices("abcdefghijklmnopqrstuvwxyz    ", k=400)), "漢字仮名交文" * 20, "x" * 900]
+    halves = [x.text for x in docs.where("lang in ('en', 'fr') and length(text) > 700").limit(6).collect()]
+    mixed = [a[:600] + " " + b[:600] for a, b in zip(halves, halves[::-1])]
+    bad = [(10**6 + i, t, None, "s", 1) for i, t in enumerate(noise)]
+    good = [(2 * 10**6 + i, t, None, "s", 1) for i, t in enumerate([*mixed, "xq", "Zß 12"])]
+    both = docs.unionByName(spark.createDataFrame(bad + good, DOCS))
+    want = {x.doc_id for x in docs.where(F.col("text").rlike(r"\p{L}")).collect()} | {i for i, *_ in good}
+    assert all(any(c.isalpha() for c in t) for t in noise)
+    assert {x.doc_id for x in languages.keep_identified(spark, both, SF).collect()} == want
+
+
+def test_broadcasts_hold_no_library_class(spark):
+    model = languages.Model({"a": "some text", "b": "other words"})
+    keyed = repeats._with_keys(spark.createDataFrame([(1, "a b c d e f g h")], "id long, text string"), "id", "text")
+    blocks = lambda w: np.flatnonzero(w.index % 4 == 0)
+    for thing in (vars(model), repeats.index_filter(keyed, blocks, 4, 3, True)):
+        assert b"tilescope" not in pickle.dumps(thing)
