@@ -98,9 +98,7 @@ def components(rows):
     return {i: top(i) for i in sets}
 
 
-@pytest.mark.parametrize("brought", [1 << 20, -1])
-def test_texts_of_one_template_do_not_meet_pair_by_pair(spark, monkeypatch, brought):
-    monkeypatch.setattr(links, "BROADCAST_BYTES", brought)
+def test_texts_of_one_template_do_not_meet_pair_by_pair(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "LEAF", 4)
     monkeypatch.setattr(links, "LEAF", 4)
     r = random.Random(4)
