@@ -399,3 +399,18 @@ def test_a_persistent_load_does_not_overwrite(spark, tmp_path):
     assert t.row_count() == 1 and t.describe().count() == 4
     with pytest.raises(AnalysisException):
         load_log(spark, path, "default.kept_log", persistent=True)
+
+
+def test_small_files_share_tasks(spark, tmp_path):
+    from tilescope.sources.sinks import laid_out
+
+    canvas = materialize(read_canvas(spark, SF_ORACLE))
+    layout = day_layout(canvas, rows_per_file=300)
+    assert layout.files > 30 and laid_out(canvas, layout).rdd.getNumPartitions() == 1
+    assert laid_out(canvas, day_layout(canvas)).rdd.getNumPartitions() == 30
+    path = export_parquet(canvas, str(tmp_path / "x"), rows_per_file=300)
+    days = _file_ranges(path)
+    assert len(days) == 30 and max(n for f in days.values() for *_, n in f) <= 300
+    assert all((len(f) > 1) == (sum(n for *_, n in f) > 300) for f in days.values())
+    assert all(a[1] <= b[0] for f in days.values() for a, b in zip(sorted(f), sorted(f)[1:]))
+    assert rows(spark.read.parquet(path).drop("day")) == rows(canvas)

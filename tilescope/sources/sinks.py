@@ -15,6 +15,8 @@ from tilescope.functions.ranges import DAY_COLUMN, DAY_KEY
 
 DEFAULT_TEMPLATE = "placements_%Y%m%d_%H%M%S.parquet"
 ROWS_PER_FILE = 10_000_000
+# Files of fewer rows are written by one task until it has about this many rows.
+TASK_ROWS = 100_000
 # Ranks read from each hour's sketch; an hour is cut into at most this many pieces.
 SKETCH_GRID = 1024
 
@@ -31,6 +33,11 @@ class DayLayout:
     hours: DataFrame
     files: int
     rows: int  # of ``hours``
+    rows_per_file: int = ROWS_PER_FILE
+
+    @property
+    def files_per_task(self) -> int:
+        return max(1, TASK_ROWS // self.rows_per_file)
 
 
 def _micros(time_col: str):
@@ -71,14 +78,15 @@ def day_layout(df: DataFrame, time_col: str = "timestamp", rows_per_file: int =
     joined = hours.join(offsets, F.col("_day").eqNullSafe(F.col("_d")))
     out = materialize(joined.select("hour", (F.col("_before") + F.col("_a")).alias("first"), "pieces", "splits"))
     files = days.agg(F.sum("_k")).first()[0] or 1
-    return DayLayout(out, int(files), out.count())
+    return DayLayout(out, int(files), out.count(), rows_per_file)
 
 
 def laid_out(df: DataFrame, layout: DayLayout, time_col: str = "timestamp") -> DataFrame:
-    """``df`` with its day, one partition a file, sorted by time.
+    """``df`` with its day, one partition a file, or for each ``files_per_task`` files that follow each other.
 
     Rows of one instant that fills several files are dealt over these by hash; any
-    two files of a day share at most such an instant.  Rows without a time are dealt
+    two files of a day share at most an instant: such a one or, of a task's files, which
+    are cut by their number of rows, the one at the cut.  Rows without a time are dealt
     over the files of their own directory.  One shuffle, no sampling.
     """
     at = F.col("_micros")
@@ -93,7 +101,9 @@ def laid_out(df: DataFrame, layout: DayLayout, time_col: str = "timestamp") -> D
     dated = joined.select(
         *[F.col(f"d.`{c}`") for c in df.columns], F.to_date(F.col(f"d.`{time_col}`")).alias(DAY_COLUMN), (F.col("first") + start + spread).cast("int").alias("_file")
     )
-    return dated.repartitionById(layout.files, "_file").drop("_file")
+    per = layout.files_per_task
+    task = F.expr(f"cast(_file div {per} as int)")
+    return dated.withColumn("_file", task).repartitionById(-(-layout.files // per), "_file").drop("_file")
 
 
 def export_parquet(
@@ -138,6 +148,9 @@ def export_parquet(
             out = laid_out(df, layout, time_col).sortWithinPartitions(DAY_COLUMN, *keys)
             out = out.withMetadata(time_col, {**df.schema[time_col].metadata, DAY_KEY: DAY_COLUMN})
             writer = out.write.partitionBy(DAY_COLUMN)
+            if layout.files_per_task > 1:
+                # a task's rows are in the order of time, so it cuts them into files by their number
+                writer = writer.option("maxRecordsPerFile", layout.rows_per_file)
         else:
             n = files or target_partitions(df)
             out = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
