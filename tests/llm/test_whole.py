@@ -191,3 +191,19 @@ def test_every_training_row_trains_the_attention_model(spark, monkeypatch):
     monkeypatch.setattr(scoring, "count_ids", counted)
     assert scoring.scored(docs, held_out).count() == 90
     assert sum(trained) == sum(tokens[0].values()) > 0
+
+
+def test_ranked_rows_move_once(spark):
+    from pyspark.sql import functions as F
+
+    from tilescope.llm.common import ranked
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(1000).select("id", F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("g"))
+        got = ranked(df, ["g"], F.expr("id div 100"), [F.col("id")], "r", total="n")
+        assert "SortMergeJoin" not in got._jdf.queryExecution().executedPlan().toString()
+        assert {(r.id, r.r, r.n) for r in got.collect()} == {(i, i // 3, len(range(i % 3, 1000, 3))) for i in range(1000)}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
