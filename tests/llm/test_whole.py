@@ -207,3 +207,34 @@ def test_ranked_rows_move_once(spark):
         assert {(r.id, r.r, r.n) for r in got.collect()} == {(i, i // 3, len(range(i % 3, 1000, 3))) for i in range(1000)}
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+@pytest.mark.parametrize("leaf", [24, 4])
+def test_only_pairs_that_may_link_become_candidates(spark, monkeypatch, leaf):
+    monkeypatch.setattr(jaccard, "LEAF", leaf)
+    r = random.Random(8)
+    rows = []
+    for g in range(40):
+        base = [f"b{g}_{i}" for i in range(r.choice([30, 60, 90]))]
+        for c in range(6):  # from near copies to texts with little in common
+            cut_ = r.randrange(len(base))
+            rows.append(" ".join(base[: cut_ if c % 2 else len(base) - c] + [f"x{g}_{c}_{i}" for i in range(r.randrange(2, 40))]))
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    keyed = links._keyed(docs, "doc_id", "text")
+    h, bounds = jaccard.shingle_sets(pa.array(rows), 5)
+    sets = {s: h[a:b].tolist() for s, a, b in zip(jaccard.set_ids(h, bounds).tolist(), bounds, bounds[1:])}
+    got = jaccard.regions(keyed, 5, 75, np.zeros(1 << jaccard.CELL_BITS, np.uint8), 3).collect()
+    pairs = {(x.a, x.b) for x in got if x.b is not None}
+    large = {}
+    for x in got:
+        if x.b is None:
+            large.setdefault(x.region, {})[x.a] = x.core
+    assert all(any(m.values()) for m in large.values())
+    for a, b in pairs:  # what is left of both from some shared shingle on may reach the limit
+        least = 3 / 7 * (len(sets[a]) + len(sets[b]))
+        assert a < b and any(min(len(sets[s]) - 1.01 * sets[s].index(x) for s in (a, b)) >= least - 2 for x in set(sets[a]) & set(sets[b]))
+    for a in sets:
+        for b in sets:
+            both = len(set(sets[a]) & set(sets[b]))
+            if a < b and 4 * both >= 3 * (len(sets[a]) + len(sets[b]) - both):
+                assert (a, b) in pairs or any(a in m and b in m and (m[a] or m[b]) for m in large.values())
