@@ -156,6 +156,48 @@ def test_bitmaps_of_several_sizes_bound_the_difference():
             assert np.bitwise_count(maps[i] ^ maps[j]).sum() <= len(np.setxor1d(sets[i], sets[j]))
 
 
+def test_small_tables_of_the_join_have_few_tasks(spark, monkeypatch):
+    """With a task for each of 12 partitions, every table that is kept was as many files."""
+    edges = spark.createDataFrame([(i + 1, i) for i in range(40)], "u long, v long").repartition(6)
+    tasks, kept = [], links.kept
+
+    def seen(df):
+        out = kept(df)
+        tasks.append(out.rdd.getNumPartitions())
+        return out
+
+    monkeypatch.setattr(links, "kept", seen)
+    held = {"spark.sql.shuffle.partitions": "12", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        assert {r.set_id: r.root for r in links.classes(edges).collect()} == {i + 1: 0 for i in range(40)}
+        assert links.fewer(spark.range(40).repartition(8), 40 * links.TASK_ROWS).rdd.getNumPartitions() == 8
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(tasks) > 2 and set(tasks) == {1}, tasks
+
+
+def test_pairs_of_a_leaf_that_bitmaps_rule_out_stay_in_its_task():
+    r = np.random.default_rng(7)
+    sets = [np.unique(r.integers(0, 1 << 62, n).astype(np.uint64)) for n in (300, 310, 90, 100, 1200)]
+    sets += [np.union1d(sets[0][5:], sets[1][:4]), sets[3][2:], sets[4][100:]]
+    n = [len(x) for x in sets]
+    table = pa.table({
+        "region": [1] * 8, "s": list(range(8)), "n": pa.array(n, pa.int32()), "core": [True] * 8, "d": [0.0] * 8,
+        "bits": [links.parity(x, links.NARROW) for x in sets],
+    })
+    got = links._leaf_pairs(75, 0.25)(table)
+    # no pair but the three that link is left open
+    assert {(a, b) for a, b in zip(got["a"].to_pylist(), got["b"].to_pylist())} == {(0, 5), (3, 6), (4, 7)}
+    differ = links.differing(table["bits"])
+    for i in range(8):
+        each = differ(i, np.arange(8))
+        assert all(each[j] <= len(np.setxor1d(sets[i], sets[j])) for j in range(8))
+
+
 def test_every_letter_of_the_training_text_counts():
     r = random.Random(2)
     letters = [chr(0x4E00 + i) for i in range(4000)]
